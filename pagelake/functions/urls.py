@@ -96,33 +96,38 @@ def absolute_url(base, href) -> Column:
     b_query = F.regexp_extract(b, r"^[^?#]*(\?[^#]*)?", 1)
     h_path, h_query, h_frag = _split_ref(href)
 
-    def build(org, path, query, frag):
-        return F.concat(
-            org,
-            percent_encode(remove_dot_segments(path), _PATH_KEEP),
-            percent_encode(query, _QUERY_KEEP),
-            percent_encode(frag, _FRAGMENT_KEEP),
-        )
-
-    abs_org = origin(href)
+    abs_org = F.lower(origin(href))
     abs_path = F.when(url_path(href) == "", F.lit("/")).otherwise(url_path(href))
-    abs_rest = F.regexp_extract(href, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*[^?#]*(\?[^#]*)?", 1)
-    abs_frag = F.regexp_extract(href, r"^[^#]*(#.*)?$", 1)
+    abs_query = F.regexp_extract(href, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*[^?#]*(\?[^#]*)?", 1)
     scheme = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.\-]*:)", 1)
-    net = F.concat(scheme, href)  # scheme-relative reference takes the base scheme
-    net_org = origin(net)
+    net = F.concat(scheme, href)  # a scheme-relative reference takes the base scheme
+    net_org = F.lower(origin(net))
     net_path = F.when(url_path(net) == "", F.lit("/")).otherwise(url_path(net))
 
-    return (
-        F.when(href.isNull() | (href == ""), _c(href))
-        .when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*://"), build(F.lower(abs_org), abs_path, abs_rest, abs_frag))
-        .when(href.rlike(SCHEME_RE), href)
-        .when(href.startswith("//"), build(F.lower(net_org), net_path, h_query, h_frag))
-        .when(href.startswith("/"), build(b_origin, h_path, h_query, h_frag))
-        .when(href.startswith("?"), build(b_origin, b_path, h_query, h_frag))
-        .when(href.startswith("#"), build(b_origin, b_path, b_query, h_frag))
-        .otherwise(build(b_origin, F.concat(b_dir, h_path), h_query, h_frag))
+    # (origin, path, query, fragment) per reference form; encoded once below.
+    cases = [
+        (href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*://"), (abs_org, abs_path, abs_query, h_frag)),
+        (href.startswith("//"), (net_org, net_path, h_query, h_frag)),
+        (href.startswith("/"), (b_origin, h_path, h_query, h_frag)),
+        (href.startswith("?"), (b_origin, b_path, h_query, h_frag)),
+        (href.startswith("#"), (b_origin, b_path, b_query, h_frag)),
+    ]
+    rel = (b_origin, F.concat(b_dir, h_path), h_query, h_frag)
+
+    def pick(i):
+        out = F.when(cases[0][0], cases[0][1][i])
+        for cond, parts in cases[1:]:
+            out = out.when(cond, parts[i])
+        return out.otherwise(rel[i])
+
+    built = F.concat(
+        pick(0),
+        percent_encode(remove_dot_segments(pick(1)), _PATH_KEEP),
+        percent_encode(pick(2), _QUERY_KEEP),
+        percent_encode(pick(3), _FRAGMENT_KEEP),
     )
+    other_scheme = href.rlike(SCHEME_RE) & ~href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*://")
+    return F.when(href.isNull() | (href == ""), _c(href)).when(other_scheme, href).otherwise(built)
 
 
 def course_id_from_url(url) -> Column:

@@ -12,7 +12,8 @@ from ..sources import pages_as_responses, read_table
 def shredded_pages(spark: SparkSession, sf_dir: str, keep_html: bool = False) -> DataFrame:
     """``pages`` as responses with their node arrays (page_id kept as BIGINT)."""
     resp = pages_as_responses(read_table(spark, sf_dir, "pages")).select(
-        F.col("page_key").cast("bigint").alias("page_id"), "page_key", "url", "base_url", "status", "body"
+        F.col("page_key").cast("bigint").alias("page_id"), "page_key", "url", "base_url", "status", "body",
+        F.length("body").cast("bigint").alias("html_len"),
     )
     return shred_html(resp, keep_html=keep_html)
 
