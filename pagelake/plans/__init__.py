@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import page_queries
+from . import page_queries, table_queries
 
-_MODULES = [page_queries]
+_MODULES = [page_queries, table_queries]
 
 
 def all_queries():
