@@ -21,53 +21,60 @@ GERMAN_MONTHS = [
     ("jan", "Jan"), ("feb", "Feb"), ("mär", "Mar"), ("apr", "Apr"),
     ("jun", "Jun"), ("jul", "Jul"), ("aug", "Aug"), ("sep", "Sep"), ("okt", "Oct"), ("nov", "Nov"), ("dez", "Dec"),
 ]
-ENGLISH_MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+ENGLISH_MONTHS = [
+    ("january", 1), ("february", 2), ("march", 3), ("april", 4), ("may", 5), ("june", 6),
+    ("july", 7), ("august", 8), ("september", 9), ("october", 10), ("november", 11), ("december", 12),
+    ("jan", 1), ("feb", 2), ("mar", 3), ("apr", 4), ("jun", 6), ("jul", 7), ("aug", 8), ("sep", 9),
+    ("oct", 10), ("nov", 11), ("dec", 12),
+]
 
 _WS = "[" + JS_WS_CLASS + "]"
-_MONTH = r"([A-Za-z]{3,9})\.?"
+_MONTH = r"(\p{L}{3,9})\.?"
 _TIME = r"(?:," + _WS + r"*|" + _WS + r"+)(\d{1,2}):(\d{2})(?::(\d{2}))?(?:" + _WS + r"*([AaPp][Mm]))?"
 # "1 April 2026[, 12:20 PM]"  and  "April 1, 2026[, 12:20 PM]"
 DMY_RE = r"^(\d{1,2})\.?" + _WS + r"+" + _MONTH + _WS + r"+(\d{4})(?:" + _TIME + r")?" + _WS + r"*$"
 MDY_RE = r"^" + _MONTH + _WS + r"+(\d{1,2})," + _WS + r"*(\d{4})(?:" + _TIME + r")?" + _WS + r"*$"
+WEEKDAY_RE = r"^[^\d,]*\p{L}+\.?," + _WS + r"*"
 
 
 def english_months(x) -> Column:
-    """Replace German month names by English ones (whole words, any case)."""
+    """Replace German month names by English ones (whole words, any case), as the
+    reference does before parsing; kept for callers that need the text itself."""
     out = _c(x)
     for de, en in GERMAN_MONTHS:
         out = F.regexp_replace(out, r"(?iu)(?<![\p{L}\p{N}_])" + de + r"(?![\p{L}\p{N}_])", en)
     return out
 
 
-def _month_number(name: Column) -> Column:
-    key = F.lower(F.substring(name, 1, 3))
-    out = None
-    for i, m in enumerate(ENGLISH_MONTHS, start=1):
-        out = F.when(key == m, F.lit(i)) if out is None else out.when(key == m, F.lit(i))
-    return out
+def _month_lookup() -> Column:
+    """Lower-case month word (German or English, full or short) -> month number."""
+    pairs: dict[str, int] = dict(ENGLISH_MONTHS)
+    for de, en in GERMAN_MONTHS:
+        pairs[de] = pairs[en.lower()]
+    args = []
+    for k, v in pairs.items():
+        args += [F.lit(k), F.lit(v)]
+    return F.create_map(*args)
 
 
 def parse_lms_date(x, tz: str = "Europe/Berlin") -> Column:
     """F8: a display date ('Mittwoch, 1. April 2026, 12:20' or 'Wednesday, 1 April
-    2026, 12:20 PM') -> TIMESTAMP, the wall time read in ``tz``; null if invalid."""
-    s = F.trim(english_months(_c(x)))
-    s = F.regexp_replace(s, r"^[^\d,]*[A-Za-z\p{L}]+\.?," + _WS + r"*", "")  # leading weekday
-    def fields(pat, d, m, y):
-        return [F.regexp_extract(s, pat, i) for i in (d, m, y, 4, 5, 6, 7)]
-
-    a = fields(DMY_RE, 1, 2, 3)
-    b = fields(MDY_RE, 2, 1, 3)
-    use_a = s.rlike(DMY_RE)
-    use_b = s.rlike(MDY_RE)
-    pick = [F.when(use_a, pa).when(use_b, pb) for pa, pb in zip(a, b)]
-    day, mon, year, hh, mm, ss, ampm = pick
+    2026, 12:20 PM') -> TIMESTAMP, the wall time read in ``tz``; null if invalid.
+
+    Two ``regexp_replace`` calls rewrite either shape into ``d|month|y|h|m|s|ampm``;
+    a literal map turns the month word (German or English) into its number."""
+    s = F.regexp_replace(F.trim(_c(x)), WEEKDAY_RE, "")
+    canon = F.regexp_replace(s, DMY_RE, "$1|$2|$3|$4|$5|$6|$7")
+    canon = F.regexp_replace(canon, MDY_RE, "$2|$1|$3|$4|$5|$6|$7")
+    parts = F.when(canon.rlike(r"^[^|]*\|[^|]*\|[^|]*\|[^|]*\|[^|]*\|[^|]*\|[^|]*$"), F.split(canon, r"\|"))
+    day, mon, year, hh, mm, ss, ampm = [F.get(parts, i) for i in range(7)]
     h = F.coalesce(F.nullif(hh, F.lit("")).try_cast("int"), F.lit(0))
     ampm = F.upper(ampm)
     h24 = F.when(ampm == "PM", F.when(h < 12, h + 12).when(h == 12, h).otherwise(F.lit(99))).when(
         ampm == "AM", F.when(h == 12, F.lit(0)).when(h < 12, h).otherwise(F.lit(99))
     ).otherwise(h)
     return F.try_make_timestamp(
-        year.try_cast("int"), _month_number(mon), day.try_cast("int"), h24,
+        year.try_cast("int"), _month_lookup()[F.lower(mon)], day.try_cast("int"), h24,
         F.coalesce(F.nullif(mm, F.lit("")).try_cast("int"), F.lit(0)),
         F.coalesce(F.nullif(ss, F.lit("")).try_cast("int"), F.lit(0)).cast("decimal(16,6)"),
         F.lit(tz),
