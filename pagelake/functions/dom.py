@@ -152,14 +152,34 @@ def select_within(nodes: Column, outer: Pred, inner: Pred) -> Column:
     return F.transform(pres, lambda i: F.get(nodes, i))
 
 
+def inside(nodes: Column, root: Column, d: Column, pred: Pred) -> Column:
+    """``d`` has an ancestor strictly between ``root`` and ``d`` that matches ``pred``
+    (the descendant combinator evaluated relative to ``root``)."""
+    between = F.slice(nodes, root["pre"] + 2, F.greatest(d["pre"] - root["pre"] - 1, F.lit(0)))
+    return F.exists(between, lambda a: (a["post"] >= d["pre"]) & pred(a))
+
+
+def find(nodes: Column, root: Column, pred: Pred, within: Pred | None = None) -> Column:
+    """``root.find('<within> <pred>')``: descendants of ``root`` matching ``pred``,
+    optionally only those with an ancestor matching ``within`` below ``root``."""
+    sub = subtree(nodes, root)
+    if within is None:
+        return F.filter(sub, pred)
+    return F.filter(sub, lambda d: pred(d) & inside(nodes, root, d, within))
+
+
+def parent_of(nodes: Column, d: Column) -> Column:
+    return F.get(nodes, d["parent"])
+
+
 def first(arr: Column) -> Column:
     """First element in document order or null (``get`` never raises)."""
     return F.get(arr, 0)
 
 
 def last(arr: Column) -> Column:
-    """W2 inside a page: the last match or null."""
-    return F.get(arr, F.size(arr) - 1)
+    """W2 inside a page: the last match or null (``arr`` is evaluated once)."""
+    return F.try_element_at(arr, F.lit(-1))
 
 
 def closest(nodes: Column, x: Column, pred: Pred) -> Column:
