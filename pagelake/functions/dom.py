@@ -172,6 +172,14 @@ def parent_of(nodes: Column, d: Column) -> Column:
     return F.get(nodes, d["parent"])
 
 
+def let(arr: Column, **fields) -> Column:
+    """A ``let`` for array lambdas: each element becomes ``struct(_ = element,
+    <name> = fn(element), …)``.  Later stages read the fields instead of
+    re-evaluating (and re-copying) the expressions; Catalyst cannot share
+    sub-expressions across freshly named lambda variables by itself."""
+    return F.transform(arr, lambda x: F.struct(x.alias("_"), *[fn(x).alias(k) for k, fn in fields.items()]))
+
+
 def first(arr: Column) -> Column:
     """First element in document order or null (``get`` never raises)."""
     return F.get(arr, 0)

@@ -162,3 +162,101 @@ ORACLES = {
     "quiz_status": SQL_QUIZ_STATUS,
     "quiz_attempts": SQL_QUIZ_ATTEMPTS,
 }
+
+
+# ------------------------------------------------------------------ S3 / E19d
+from ..operators.events import extract_month, read_event_feed, timeline_source, upcoming_items  # noqa: E402
+from ..operators.events import EVENT_FIELDS  # noqa: E402
+
+
+def q_feed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + E19d: every event of every rendered feed, or one error row per bad envelope."""
+    return read_event_feed(R.feed_pages(spark, sf_dir).select("page_key", "base_url", "body"))
+
+
+_EV = """
+SELECT event_id, user_id, event_type, ts,
+  CASE event_type WHEN 'purchase' THEN 'assign' WHEN 'signup' THEN 'quiz' WHEN 'click' THEN 'forum' END AS modtype,
+  floor(epoch(ts))::BIGINT AS epoch, floor(epoch(date_trunc('day', ts)))::BIGINT AS day_epoch
+FROM events
+"""
+_ISO = "strftime(to_timestamp({x}), '%Y-%m-%dT%H:%M:%S.%g') || 'Z'"
+
+SQL_FEED_EVENTS = f"""
+WITH e AS (SELECT *, event_id // 50 AS block FROM ({_EV})),
+good AS (
+  SELECT 'feed-' || block AS page_key, (row_number() OVER (PARTITION BY block ORDER BY event_id) - 1)::BIGINT AS pos,
+    'Event ' || event_id AS title, nullif(user_id, 0) AS course_id, 'Course ' || user_id AS course_name, modtype,
+    event_type, CASE WHEN modtype IS NOT NULL THEN nullif(event_id, 0) END AS cmid, nullif(event_id, 0) AS event_id,
+    CASE WHEN event_type <> 'error' AND epoch > 0 THEN {_ISO.format(x='epoch')} END AS due_at,
+    CASE WHEN event_type <> 'error' AND epoch > 0 THEN epoch END AS due_at_unix,
+    CASE WHEN modtype IS NOT NULL THEN '{B}/mod/' || modtype || '/view.php?id=' || event_id
+         ELSE '{B}/calendar/view.php?view=day&time=' || epoch END AS url,
+    NULL::VARCHAR AS error_code, NULL::VARCHAR AS message
+  FROM e WHERE block % 17 <> 5),
+bad AS (
+  SELECT DISTINCT 'feed-' || block AS page_key, NULL::BIGINT AS pos, NULL::VARCHAR AS title, NULL::BIGINT AS course_id,
+    NULL::VARCHAR AS course_name, NULL::VARCHAR AS modtype, NULL::VARCHAR AS event_type, NULL::BIGINT AS cmid,
+    NULL::BIGINT AS event_id, NULL::VARCHAR AS due_at, NULL::BIGINT AS due_at_unix, NULL::VARCHAR AS url,
+    'ajax_error' AS error_code, 'invalidsesskey' AS message
+  FROM e WHERE block % 17 = 5)
+SELECT * FROM good UNION ALL SELECT * FROM bad
+"""
+
+
+# ------------------------------------------------------------------ E20 / F10
+def q_events_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E20 + F10: events of every rendered month view; drifted pages give a parse-error row."""
+    pages = _shred(R.month_pages(spark, sf_dir))
+    return extract_month(pages)
+
+
+SQL_EVENTS_MONTH = f"""
+WITH e AS (SELECT *, event_id // 1000 AS block FROM ({_EV})),
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id, block ORDER BY day_epoch, event_id) - 1 AS rn FROM e),
+good AS (
+  SELECT 'month-' || user_id || '-' || block AS page_key, rn::BIGINT AS pos,
+    CASE WHEN event_type = 'error' THEN 'error ' || event_id ELSE 'Event ' || event_id END AS title,
+    nullif(user_id, 0) AS course_id, 'Tag ' || day_epoch AS course_name,
+    CASE WHEN modtype IS NOT NULL THEN modtype WHEN event_type = 'view' THEN 'user' END AS modtype,
+    event_type, nullif(event_id, 0) AS cmid, nullif(event_id, 0) AS event_id,
+    {_ISO.format(x="CASE WHEN modtype IS NOT NULL AND epoch > 0 THEN epoch ELSE day_epoch END")} AS due_at,
+    CASE WHEN modtype IS NOT NULL AND epoch > 0 THEN epoch ELSE day_epoch END AS due_at_unix,
+    CASE WHEN modtype IS NOT NULL THEN '{B}/mod/' || modtype || '/view.php?id=' || event_id || '&course=' || user_id
+         ELSE '{B}/calendar/view.php?view=day&id=' || event_id END AS url,
+    NULL::VARCHAR AS error_code
+  FROM o WHERE user_id % 10 <> 3),
+bad AS (
+  SELECT DISTINCT 'month-' || user_id || '-' || block AS page_key, NULL::BIGINT AS pos, NULL::VARCHAR AS title,
+    NULL::BIGINT AS course_id, NULL::VARCHAR AS course_name, NULL::VARCHAR AS modtype, NULL::VARCHAR AS event_type,
+    NULL::BIGINT AS cmid, NULL::BIGINT AS event_id, NULL::VARCHAR AS due_at, NULL::BIGINT AS due_at_unix,
+    NULL::VARCHAR AS url, 'parse_error' AS error_code
+  FROM e WHERE user_id % 10 = 3)
+SELECT * FROM good UNION ALL SELECT * FROM bad
+"""
+
+
+# ------------------------------------------------------------------ E19a / E19e
+def q_events_upcoming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E19a + E19e: upcoming lists (first non-empty HTML source, else the feed)."""
+    pages = _shred(R.upcoming_pages(spark, sf_dir))
+    return timeline_source(pages, tz="Europe/Berlin")
+
+
+SQL_EVENTS_UPCOMING = f"""
+WITH e AS (SELECT *, event_id // 1000 AS block,
+                  floor(epoch(timezone('Europe/Berlin', date_trunc('minute', ts))))::BIGINT AS shown_epoch FROM ({_EV}))
+SELECT 'upcoming-' || user_id || '-' || block AS page_key, 'html' AS source,
+  (row_number() OVER (PARTITION BY user_id, block ORDER BY event_id) - 1)::BIGINT AS pos,
+  'Event ' || event_id AS title,
+  CASE WHEN modtype IS NOT NULL THEN nullif(user_id, 0) END AS course_id, 'Course ' || user_id AS course_name,
+  modtype, NULL::VARCHAR AS event_type, CASE WHEN modtype IS NOT NULL THEN nullif(event_id, 0) END AS cmid,
+  NULL::BIGINT AS event_id,
+  CASE WHEN modtype IS NOT NULL AND epoch > 0 THEN {_ISO.format(x='epoch')} ELSE strftime(ts, '{R.DATE_FMT_SQL}') END AS due_at,
+  CASE WHEN modtype IS NOT NULL AND epoch > 0 THEN epoch ELSE shown_epoch END AS due_at_unix,
+  CASE WHEN modtype IS NOT NULL THEN '{B}/mod/' || modtype || '/view.php?id=' || event_id || '&course=' || user_id END AS url
+FROM e
+"""
+
+QUERIES.update({"feed_events": q_feed_events, "events_month": q_events_month, "events_upcoming": q_events_upcoming})
+ORACLES.update({"feed_events": SQL_FEED_EVENTS, "events_month": SQL_EVENTS_MONTH, "events_upcoming": SQL_EVENTS_UPCOMING})

@@ -163,3 +163,123 @@ def quiz_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return responses(j, key=F.concat(F.lit("quiz-"), ok_), path=F.concat(F.lit("/mod/quiz/view.php?id="), ok_),
                      body=page(F.lit("Quiz"), inner), kind="activity", cmid=F.col("o_orderkey"), modtype="quiz")
+
+
+# ------------------------------------------------------------------ calendar pages from ``events``
+# Modtype per event type (three types have one, 'view' and 'error' do not).
+EVENT_MODTYPES = {"purchase": "assign", "signup": "quiz", "click": "forum"}
+FEED_BLOCK = 50          # events per feed response (the platform's maximum)
+PAGE_BLOCK = 1000        # event-id block per user page
+
+
+def _modtype_col() -> Column:
+    m = None
+    for t, mt in EVENT_MODTYPES.items():
+        m = F.when(F.col("event_type") == t, F.lit(mt)) if m is None else m.when(F.col("event_type") == t, F.lit(mt))
+    return m
+
+
+def events_with_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.dates import ntz_to_unix
+
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    return e.select("*", _modtype_col().alias("modtype"), ntz_to_unix("ts").alias("epoch"),
+                    ntz_to_unix(F.date_trunc("day", "ts")).alias("day_epoch"))
+
+
+def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed responses of 50 events each (``event_id div 50``); every 17th block
+    (block mod 17 = 5) is an error envelope.  Events of type 'error' carry
+    timestart 0, typed events an action URL, the others a top-level URL."""
+    e = events_with_times(spark, sf_dir).withColumn("block", F.floor(F.col("event_id") / FEED_BLOCK))
+    has_mod = F.col("modtype").isNotNull()
+    ev = F.struct(
+        F.col("event_id").alias("id"),
+        F.concat(F.lit("Event "), _s("event_id")).alias("name"),
+        F.col("event_type").alias("eventtype"),
+        F.when(F.col("event_type") == "error", F.lit(0)).otherwise(F.col("epoch")).alias("timestart"),
+        F.col("modtype").alias("modulename"),
+        F.col("user_id").alias("instance"),
+        F.struct(F.col("user_id").alias("id"), F.concat(F.lit("Course "), _s("user_id")).alias("fullname")).alias("course"),
+        F.when(has_mod, F.struct(F.concat(F.lit("/mod/"), F.col("modtype"), F.lit("/view.php?id="), _s("event_id")).alias("url"))).alias("action"),
+        F.when(~has_mod, F.concat(F.lit(BASE + "/calendar/view.php?view=day&time="), _s("epoch"))).alias("url"),
+    )
+    g = e.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("event_id", ev.alias("ev")))).alias("items"))
+    good = F.to_json(F.array(F.struct(F.lit(False).alias("error"),
+                                      F.struct(F.transform("items", lambda x: x["ev"]).alias("events")).alias("data"))))
+    bad = F.lit('[{"error":true,"exception":{"message":"Invalid sesskey","errorcode":"invalidsesskey"}}]')
+    body = F.when(F.col("block") % 17 == 5, bad).otherwise(good)
+    return responses(g, key=F.concat(F.lit("feed-"), _s("block")), path=F.lit("/lib/ajax/service.php"), body=body,
+                     kind="feed")
+
+
+def _user_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_with_times(spark, sf_dir).withColumn("block", F.floor(F.col("event_id") / PAGE_BLOCK))
+
+
+def month_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month views per (user, event-id block): day cells with event items.  Typed
+    events have an anchor timestamp and a course link; 'view' relies on the day
+    cell; 'error' has timestamp 0 and no component.  Users with id mod 10 = 3 get a
+    drifted page: no calendar container and renamed day cells, so nothing is
+    recognised and the page must come back as a parse error."""
+    e = _user_pages(spark, sf_dir)
+    m = F.col("modtype")
+    href = F.when(m.isNotNull(), F.concat(F.lit("/mod/"), m, F.lit("/view.php?id="), _s("event_id"), F.lit("&course="), _s("user_id"))) \
+        .otherwise(F.concat(F.lit("/calendar/view.php?view=day&id="), _s("event_id")))
+    comp = F.when(m.isNotNull(), F.concat(F.lit(' data-event-component="mod_'), m, F.lit('"'))) \
+        .when(F.col("event_type") == "view", F.lit(' data-event-component="user"')).otherwise(F.lit(""))
+    ts_attr = F.when(m.isNotNull(), F.concat(F.lit(' data-timestamp="'), _s("epoch"), F.lit('"'))) \
+        .when(F.col("event_type") == "error", F.lit(' data-timestamp="0"')).otherwise(F.lit(""))
+    name = F.when(F.col("event_type") == "error", F.lit("")).otherwise(
+        F.concat(F.lit('<span class="eventname">Event '), _s("event_id"), F.lit("</span>")))
+    li = F.concat(
+        F.lit('<li data-region="event-item"'), comp, F.lit(' data-event-eventtype="'), F.col("event_type"),
+        F.lit('" data-event-id="'), _s("event_id"), F.lit('" data-course-id="'), _s("user_id"), F.lit('">'),
+        F.lit('<a data-action="view-event" href="'), esc(href), F.lit('" title="'), F.col("event_type"), F.lit(" "),
+        _s("event_id"), F.lit('"'), ts_attr, F.lit(">"), name, F.lit("</a></li>"),
+    )
+    e = e.withColumn("y", F.year("ts")).withColumn("mo", F.month("ts")).withColumn("d", F.dayofmonth("ts"))
+    days = e.groupBy("user_id", "block", "day_epoch", "y", "mo", "d").agg(
+        F.array_sort(F.collect_list(F.struct("event_id", li.alias("li")))).alias("items"))
+    drift = (F.col("user_id") % 10) == 3
+    region = F.when(drift, F.lit("calendar-cell")).otherwise(F.lit("day"))
+    cell = F.concat(
+        F.lit('<td class="day" data-region="'), region, F.lit('" data-day-timestamp="'), _s("day_epoch"),
+        F.lit('" data-year="'), _s("y"), F.lit('" data-month="'), _s("mo"), F.lit('" data-day="'), _s("d"),
+        F.lit('" aria-label="Tag '), _s("day_epoch"), F.lit('"><ul>'),
+        F.array_join(F.transform("items", lambda x: x["li"]), ""), F.lit("</ul></td>"),
+    )
+    pages = days.groupBy("user_id", "block").agg(F.array_sort(F.collect_list(F.struct("day_epoch", cell.alias("c")))).alias("cells"))
+    table = F.concat(F.lit('<table class="calendarmonth"><tbody><tr>'),
+                     F.array_join(F.transform("cells", lambda x: x["c"]), ""), F.lit("</tr></tbody></table>"))
+    drift = (F.col("user_id") % 10) == 3
+    inner = F.concat(F.lit("<h2>Kalender</h2>"), F.when(drift, F.concat(F.lit('<div class="calendar-new">'), table, F.lit("</div>")))
+                     .otherwise(F.concat(F.lit('<div class="calendarwrapper" data-courseid="1">'), table, F.lit("</div>"))))
+    key = F.concat(F.lit("month-"), _s("user_id"), F.lit("-"), _s("block"))
+    return responses(pages, key=key, path=F.lit("/calendar/view.php?view=month"), body=page(F.lit("Kalender"), inner),
+                     kind="month")
+
+
+def upcoming_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upcoming lists per (user, event-id block): typed events link to their
+    activity and carry a timestamp element; the others only have a heading and
+    an English display date (read in Europe/Berlin)."""
+    e = _user_pages(spark, sf_dir)
+    m = F.col("modtype")
+    shown = F.date_format("ts", DATE_FMT)
+    li = F.concat(
+        F.lit('<li data-region="event-list-item">'),
+        F.when(m.isNotNull(), F.concat(F.lit('<a href="/mod/'), m, F.lit("/view.php?id="), _s("event_id"), F.lit("&amp;course="),
+                                       _s("user_id"), F.lit('">Event '), _s("event_id"), F.lit("</a>")))
+        .otherwise(F.concat(F.lit("<h3>Event "), _s("event_id"), F.lit("</h3>"))),
+        F.lit('<span class="date">'), shown, F.lit("</span>"),
+        F.when(m.isNotNull(), F.concat(F.lit('<div data-timestamp="'), _s("epoch"), F.lit('"></div>'))).otherwise(F.lit("")),
+        F.lit('<span class="coursename">Course '), _s("user_id"), F.lit("</span></li>"),
+    )
+    pages = e.groupBy("user_id", "block").agg(F.array_sort(F.collect_list(F.struct("event_id", li.alias("li")))).alias("items"))
+    inner = F.concat(F.lit('<div data-region="event-list-content"><ul>'),
+                     F.array_join(F.transform("items", lambda x: x["li"]), ""), F.lit("</ul></div>"))
+    key = F.concat(F.lit("upcoming-"), _s("user_id"), F.lit("-"), _s("block"))
+    return responses(pages, key=key, path=F.lit("/calendar/view.php?view=upcoming"), body=page(F.lit("Termine"), inner),
+                     kind="upcoming")
