@@ -57,28 +57,40 @@ def _month_lookup() -> Column:
     return F.create_map(*args)
 
 
+SEP = "\u0001"
+
+
 def parse_lms_date(x, tz: str = "Europe/Berlin") -> Column:
     """F8: a display date ('Mittwoch, 1. April 2026, 12:20' or 'Wednesday, 1 April
     2026, 12:20 PM') -> TIMESTAMP, the wall time read in ``tz``; null if invalid.
 
-    Two ``regexp_replace`` calls rewrite either shape into ``d|month|y|h|m|s|ampm``;
-    a literal map turns the month word (German or English) into its number."""
+    Two ``regexp_replace`` calls rewrite either shape into seven fields
+    (day, month word, year, hour, minute, second, am/pm) joined by a control
+    character; a literal map turns the month word (German or English) into its
+    number.  The split fields are bound once and read by position."""
+    from .dom import bind
+
     s = F.regexp_replace(F.trim(_c(x)), WEEKDAY_RE, "")
-    canon = F.regexp_replace(s, DMY_RE, "$1|$2|$3|$4|$5|$6|$7")
-    canon = F.regexp_replace(canon, MDY_RE, "$2|$1|$3|$4|$5|$6|$7")
-    parts = F.when(canon.rlike(r"^[^|]*\|[^|]*\|[^|]*\|[^|]*\|[^|]*\|[^|]*\|[^|]*$"), F.split(canon, r"\|"))
-    day, mon, year, hh, mm, ss, ampm = [F.get(parts, i) for i in range(7)]
-    h = F.coalesce(F.nullif(hh, F.lit("")).try_cast("int"), F.lit(0))
-    ampm = F.upper(ampm)
-    h24 = F.when(ampm == "PM", F.when(h < 12, h + 12).when(h == 12, h).otherwise(F.lit(99))).when(
-        ampm == "AM", F.when(h == 12, F.lit(0)).when(h < 12, h).otherwise(F.lit(99))
-    ).otherwise(h)
-    return F.try_make_timestamp(
-        year.try_cast("int"), _month_lookup()[F.lower(mon)], day.try_cast("int"), h24,
-        F.coalesce(F.nullif(mm, F.lit("")).try_cast("int"), F.lit(0)),
-        F.coalesce(F.nullif(ss, F.lit("")).try_cast("int"), F.lit(0)).cast("decimal(16,6)"),
-        F.lit(tz),
-    )
+    canon = F.regexp_replace(s, DMY_RE, SEP.join(f"${i}" for i in range(1, 8)))
+    canon = F.regexp_replace(canon, MDY_RE, SEP.join(f"${i}" for i in (2, 1, 3, 4, 5, 6, 7)))
+    months = _month_lookup()
+
+    def build(p):
+        day, mon, year, hh, mm, ss, ampm = [F.get(p, i) for i in range(7)]
+        h = F.coalesce(F.nullif(hh, F.lit("")).try_cast("int"), F.lit(0))
+        ap = F.upper(ampm)
+        h24 = F.when(ap == "PM", F.when(h < 12, h + 12).when(h == 12, h).otherwise(F.lit(99))).when(
+            ap == "AM", F.when(h == 12, F.lit(0)).when(h < 12, h).otherwise(F.lit(99))
+        ).otherwise(h)
+        ts = F.try_make_timestamp(
+            year.try_cast("int"), months[F.lower(mon)], day.try_cast("int"), h24,
+            F.coalesce(F.nullif(mm, F.lit("")).try_cast("int"), F.lit(0)),
+            F.coalesce(F.nullif(ss, F.lit("")).try_cast("int"), F.lit(0)).cast("decimal(16,6)"),
+            F.lit(tz),
+        )
+        return F.when(F.size(p) == 7, ts)
+
+    return bind(F.split(canon, SEP), build)
 
 
 def lms_date_unix(x, tz: str = "Europe/Berlin") -> Column:

@@ -172,6 +172,12 @@ def parent_of(nodes: Column, d: Column) -> Column:
     return F.get(nodes, d["parent"])
 
 
+def bind(expr: Column, fn) -> Column:
+    """Evaluate ``expr`` once and hand it to ``fn`` as a lambda variable, so ``fn``
+    may reference it many times without copying the expression tree."""
+    return F.get(F.transform(F.array(expr), fn), 0)
+
+
 def let(arr: Column, **fields) -> Column:
     """A ``let`` for array lambdas: each element becomes ``struct(_ = element,
     <name> = fn(element), …)``.  Later stages read the fields instead of

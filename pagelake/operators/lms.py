@@ -369,40 +369,52 @@ def extract_quiz(df: DataFrame, *, as_of: float, tz: str = "Europe/Berlin", keep
         F.filter(F.transform("_cells", lambda cs: _attempt(base, cs)),
                  lambda a: (a["_cells"] >= 2) & a["attempt_number"].isNotNull()).alias("_att"),
     )
-    att = F.transform(F.col("_att"), lambda a: a.dropFields("_cells"))
     lines = F.col("_lines")
-    opens = F.nullif(last_labelled(lines, QUIZ_DATE_RE, ("open", "geöff", "öffn")), F.lit(""))
-    closes = F.nullif(last_labelled(lines, QUIZ_DATE_RE, ("close", "schließ")), F.lit(""))
-    allowed = _last_info(nodes, ALLOWED_RE, 100)
-    used = F.size(att)
-    allowed_n = js_parse_int(allowed)
-    remaining = F.when((used > 0) & allowed_n.isNotNull(), F.greatest(F.lit(0), allowed_n - used))
-    desc = F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")], 2000), F.lit(""))
-    grading = _last_info(nodes, GRADING_RE, 200)
-    open_ts = F.unix_seconds(parse_lms_date(opens, tz))
-    close_ts = F.unix_seconds(parse_lms_date(closes, tz))
-    states = F.transform(att, lambda a: F.coalesce(a["state"], F.lit("")))
+    # stage 1: the located values (each is referenced several times below)
+    found = staged.select(
+        *keep, "status", "cmid",
+        F.transform(F.col("_att"), lambda a: a.dropFields("_cells")).alias("att"),
+        F.nullif(last_labelled(lines, QUIZ_DATE_RE, ("open", "geöff", "öffn")), F.lit("")).alias("opens"),
+        F.nullif(last_labelled(lines, QUIZ_DATE_RE, ("close", "schließ")), F.lit("")).alias("closes"),
+        _last_info(nodes, ALLOWED_RE, 100).alias("allowed"),
+        _last_info(nodes, GRADING_RE, 200).alias("grading"),
+        _last_info(nodes, GRADE_RE, 100).alias("overall"),
+        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")], 2000), F.lit("")).alias("desc"),
+        D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
+    )
+    # stage 2: derived numbers
+    c = F.col
+    derived = found.select(
+        "*",
+        F.size("att").alias("used"),
+        js_parse_int(c("allowed")).alias("allowed_n"),
+        F.unix_seconds(parse_lms_date(c("opens"), tz)).alias("open_ts"),
+        F.unix_seconds(parse_lms_date(c("closes"), tz)).alias("close_ts"),
+        F.transform("att", lambda a: F.coalesce(a["state"], F.lit(""))).alias("states"),
+    )
+    used = c("used")
+    remaining = F.when((used > 0) & c("allowed_n").isNotNull(), F.greatest(F.lit(0), c("allowed_n") - used))
     status = (
-        F.when(open_ts > F.lit(as_of), F.lit("not_open"))
-        .when(close_ts < F.lit(as_of), F.lit("closed"))
-        .when(F.exists(states, lambda s: s.rlike(r"(?i)in progress|in bearbeitung")), F.lit("in_progress"))
-        .when(F.exists(states, lambda s: s.rlike(r"(?i)finished|abgeschlossen")), F.lit("submitted"))
+        F.when(c("open_ts") > F.lit(as_of), F.lit("not_open"))
+        .when(c("close_ts") < F.lit(as_of), F.lit("closed"))
+        .when(F.exists("states", lambda s: s.rlike(r"(?i)in progress|in bearbeitung")), F.lit("in_progress"))
+        .when(F.exists("states", lambda s: s.rlike(r"(?i)finished|abgeschlossen")), F.lit("submitted"))
         .when(used > 0, F.lit("submitted"))
         .otherwise(F.lit("open"))
     )
     ok = _ok()
-    anything = desc.isNotNull() | opens.isNotNull() | closes.isNotNull() | grading.isNotNull() | (used > 0)
-    title = D.first_text(nodes, D.tag("h1", "h2"))
-    return staged.select(
+    anything = (c("desc").isNotNull() | c("opens").isNotNull() | c("closes").isNotNull() | c("grading").isNotNull()
+                | (used > 0))
+    return derived.select(
         *keep,
-        F.when(ok & (title != ""), title).otherwise(F.concat(F.lit("Quiz "), F.col("cmid").cast("string"))).alias("title"),
-        F.when(ok, desc).alias("description"),
-        F.when(ok, opens).alias("opens"),
-        F.when(ok, closes).alias("closes"),
-        F.when(ok, grading).alias("grading_method"),
-        F.when(ok, allowed).alias("attempts_allowed"),
-        F.when(ok, _last_info(nodes, GRADE_RE, 100)).alias("overall_grade"),
-        F.when(ok, F.slice(att, 1, MAX_ATTEMPTS_SHOWN)).otherwise(F.array()).alias("attempts"),
+        F.when(ok & (c("h") != ""), c("h")).otherwise(F.concat(F.lit("Quiz "), c("cmid").cast("string"))).alias("title"),
+        F.when(ok, c("desc")).alias("description"),
+        F.when(ok, c("opens")).alias("opens"),
+        F.when(ok, c("closes")).alias("closes"),
+        F.when(ok, c("grading")).alias("grading_method"),
+        F.when(ok, c("allowed")).alias("attempts_allowed"),
+        F.when(ok, c("overall")).alias("overall_grade"),
+        F.when(ok, F.slice("att", 1, MAX_ATTEMPTS_SHOWN)).otherwise(F.array()).alias("attempts"),
         F.when(ok, used).otherwise(F.lit(0)).cast("bigint").alias("attempts_used"),
         F.when(ok, remaining).cast("bigint").alias("attempts_remaining"),
         F.when(ok, status).otherwise(F.lit("unknown")).alias("quiz_status"),
