@@ -343,3 +343,18 @@ ORACLES = {
     "json_shape": SQL_JSON_SHAPE,
     "request_checks": SQL_REQUEST_CHECKS,
 }
+
+
+# ------------------------------------------------------------------ ST1
+def q_rate_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1 on events: per user at most 3 admitted requests per day (the driver's
+    events are sparse, about 67 per user in a month).  No SQL oracle: the rule
+    refers to its own earlier decisions; tests compare it with brute force."""
+    from ..streaming.rate import rate_admission, with_epoch_ms
+
+    e = with_epoch_ms(read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "ts")
+    out = rate_admission(e, key="user_id", ts_ms="ts_ms", order="event_id", max_calls=3, window_ms=86_400_000)
+    return out.select("event_id", "user_id", "ts_ms", "admitted", "retry_after_s")
+
+
+QUERIES["rate_admission"] = q_rate_admission
