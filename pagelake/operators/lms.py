@@ -338,9 +338,12 @@ def _attempt(base: Column, cells: Column) -> Column:
     )
 
 
-def _last_info(nodes: Column, pattern: str, cap: int) -> Column:
-    els = D.select_within(nodes, D.cls("quizinfo"), D.tag("p", "li", "div"))
-    texts = F.transform(els, lambda e: _text(nodes, e))
+def quizinfo_texts(nodes: Column) -> Column:
+    """Normalised texts of ``.quizinfo p, .quizinfo li, .quizinfo div``."""
+    return F.transform(D.select_within(nodes, D.cls("quizinfo"), D.tag("p", "li", "div")), lambda e: _text(nodes, e))
+
+
+def _last_info(texts: Column, pattern: str, cap: int) -> Column:
     # an element is consumed by the first rule it matches (grading, then attempts, then grade)
     order = [GRADING_RE, ALLOWED_RE, GRADE_RE]
     earlier = order[: order.index(pattern)]
@@ -362,10 +365,11 @@ def extract_quiz(df: DataFrame, *, as_of: float, tz: str = "Europe/Berlin", keep
     base = F.col("base_url")
     cells = df.select(
         *keep, "status", "cmid", "base_url", "nodes", header_lines(nodes).alias("_lines"),
+        quizinfo_texts(nodes).alias("_info"),
         F.transform(_attempt_rows(nodes), lambda tr: _attempt_cells(nodes, tr)).alias("_cells"),
     )
     staged = cells.select(
-        *keep, "status", "cmid", "base_url", "nodes", "_lines",
+        *keep, "status", "cmid", "base_url", "nodes", "_lines", "_info",
         F.filter(F.transform("_cells", lambda cs: _attempt(base, cs)),
                  lambda a: (a["_cells"] >= 2) & a["attempt_number"].isNotNull()).alias("_att"),
     )
@@ -376,9 +380,9 @@ def extract_quiz(df: DataFrame, *, as_of: float, tz: str = "Europe/Berlin", keep
         F.transform(F.col("_att"), lambda a: a.dropFields("_cells")).alias("att"),
         F.nullif(last_labelled(lines, QUIZ_DATE_RE, ("open", "geöff", "öffn")), F.lit("")).alias("opens"),
         F.nullif(last_labelled(lines, QUIZ_DATE_RE, ("close", "schließ")), F.lit("")).alias("closes"),
-        _last_info(nodes, ALLOWED_RE, 100).alias("allowed"),
-        _last_info(nodes, GRADING_RE, 200).alias("grading"),
-        _last_info(nodes, GRADE_RE, 100).alias("overall"),
+        _last_info(F.col("_info"), ALLOWED_RE, 100).alias("allowed"),
+        _last_info(F.col("_info"), GRADING_RE, 200).alias("grading"),
+        _last_info(F.col("_info"), GRADE_RE, 100).alias("overall"),
         F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")], 2000), F.lit("")).alias("desc"),
         D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
     )
