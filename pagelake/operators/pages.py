@@ -65,21 +65,24 @@ def clean_page(df: DataFrame, path: Column | None = None, max_len: int = MAX_PAG
     )
 
 
-def fallback_text(df: DataFrame, nodes: Column | None = None, label: Column | None = None) -> DataFrame:
-    """Title first (chrome still present), then chrome removed and the
-    candidates tried *one after another* (``#region-main`` wins over ``body``);
-    always degraded."""
-    nodes = F.col("nodes") if nodes is None else nodes
-    label = F.concat_ws(" ", F.col("modtype"), F.col("cmid").cast("string")) if label is None else label
+def fallback_columns(nodes: Column, label: Column) -> dict[str, Column]:
+    """E17 as columns: title first (chrome still present), then chrome removed and
+    the candidates tried *one after another* (``#region-main`` wins over ``body``)."""
     title = D.first_text(nodes, HEADING)
     ok = F.col("status").between(200, 299)
     raw = D.cascade_text(nodes, MAIN_CANDIDATES, skip_chrome=True)
-    return df.select(
-        "page_key",
-        F.when(ok & (title != ""), title).otherwise(label).alias("title"),
-        F.when(ok, truncate(raw, MAX_TEXT_LEN)).otherwise(F.lit("")).alias("raw_text"),
-        F.lit(True).alias("parser_degraded"),
-    )
+    return {
+        "title": F.when(ok & (title != ""), title).otherwise(label),
+        "raw_text": F.when(ok, truncate(raw, MAX_TEXT_LEN)).otherwise(F.lit("")),
+        "parser_degraded": F.lit(True),
+    }
+
+
+def fallback_text(df: DataFrame, nodes: Column | None = None, label: Column | None = None) -> DataFrame:
+    """Always degraded."""
+    nodes = F.col("nodes") if nodes is None else nodes
+    label = F.concat_ws(" ", F.col("modtype"), F.col("cmid").cast("string")) if label is None else label
+    return df.select("page_key", *[c.alias(k) for k, c in fallback_columns(nodes, label).items()])
 
 
 def _first_in(nodes: Column, cand) -> Column:
@@ -88,17 +91,21 @@ def _first_in(nodes: Column, cand) -> Column:
     return D.first(F.filter(nodes, cand[1]))
 
 
-def page_text(df: DataFrame, nodes: Column | None = None) -> DataFrame:
-    """First non-empty of five containers, truncated to 5000; degraded iff empty."""
-    nodes = F.col("nodes") if nodes is None else nodes
+def page_text_columns(nodes: Column) -> dict[str, Column]:
+    """E6 as columns: first non-empty of five containers, ≤ 5000; degraded iff empty."""
     parts = [F.nullif(D.node_text(nodes, _first_in(nodes, c)), F.lit("")) for c in PAGE_CANDIDATES]
     text = F.coalesce(*parts, F.lit(""))
     title = D.first_text(nodes, HEADING)
     ok = F.col("status").between(200, 299)
     label = F.concat(F.lit("Page "), F.col("cmid").cast("string"))
-    return df.select(
-        "page_key",
-        F.when(ok & (title != ""), title).otherwise(label).alias("title"),
-        F.when(ok, truncate(text, MAX_TEXT_LEN)).otherwise(F.lit("")).alias("text"),
-        (~ok | (text == "")).alias("parser_degraded"),
-    )
+    return {
+        "title": F.when(ok & (title != ""), title).otherwise(label),
+        "text": F.when(ok, truncate(text, MAX_TEXT_LEN)).otherwise(F.lit("")),
+        "parser_degraded": ~ok | (text == ""),
+    }
+
+
+def page_text(df: DataFrame, nodes: Column | None = None) -> DataFrame:
+    """E6 over shredded responses."""
+    nodes = F.col("nodes") if nodes is None else nodes
+    return df.select("page_key", *[c.alias(k) for k, c in page_text_columns(nodes).items()])
