@@ -260,3 +260,46 @@ FROM e
 
 QUERIES.update({"feed_events": q_feed_events, "events_month": q_events_month, "events_upcoming": q_events_upcoming})
 ORACLES.update({"feed_events": SQL_FEED_EVENTS, "events_month": SQL_EVENTS_MONTH, "events_upcoming": SQL_EVENTS_UPCOMING})
+
+
+# ------------------------------------------------------------------ E3 / E3b / E3c
+from ..operators.lms import extract_search_results, search_has_more, search_page_state  # noqa: E402
+from .common import WS  # noqa: E402
+
+
+def q_search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 + W1 + F3: course boxes of rendered search pages (repeated box dropped)."""
+    return extract_search_results(_shred(R.search_pages(spark, sf_dir)))
+
+
+_SUMMARY = sql_norm("repeat('Kurs ' || s_name || ' in ' || coalesce(n_name, '') || '. ', 12)")
+SQL_SEARCH_RESULTS = f"""
+WITH j AS (SELECT s.*, n.n_name, {_SUMMARY} AS t, s_suppkey // 7 AS bucket
+           FROM supplier s LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey),
+c AS (SELECT *, left(t, 300) AS cut, regexp_extract(left(t, 300), '(?s)^(.+) [^ ]*$', 1) AS bs FROM j)
+SELECT 'search-' || bucket AS page_key, (row_number() OVER (PARTITION BY bucket ORDER BY s_suppkey) - 1)::BIGINT AS pos,
+  s_suppkey AS course_id, {sql_norm('s_name')} AS fullname, nullif({sql_norm('n_name')}, '') AS category,
+  CASE WHEN t = '' THEN NULL WHEN length(t) <= 300 THEN t ELSE rtrim(CASE WHEN bs = '' THEN cut ELSE bs END) || '…' END AS summary_snippet,
+  '{B}/course/view.php?id=' || s_suppkey AS url, '{B}/enrol/index.php?id=' || s_suppkey AS enrol_url
+FROM c
+"""
+
+
+def q_search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3b + E3c: per search page, has_more from the pager and the page state."""
+    sh = _shred(R.search_pages(spark, sf_dir))
+    n = F.col("nodes")
+    st = search_page_state(n)
+    return sh.select("page_key", search_has_more(n).alias("has_more"), st["has_region_main"].alias("has_region_main"),
+                     st["has_no_results_marker"].alias("has_no_results_marker"),
+                     st["is_valid_empty_state"].alias("is_valid_empty_state"))
+
+
+SQL_SEARCH_PAGES = """
+SELECT 'search-' || (s_suppkey // 7) AS page_key, count(*) = 7 AS has_more, true AS has_region_main,
+       false AS has_no_results_marker, false AS is_valid_empty_state
+FROM supplier GROUP BY s_suppkey // 7
+"""
+
+QUERIES.update({"search_results": q_search_results, "search_pages": q_search_pages})
+ORACLES.update({"search_results": SQL_SEARCH_RESULTS, "search_pages": SQL_SEARCH_PAGES})

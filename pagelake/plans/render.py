@@ -283,3 +283,46 @@ def upcoming_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat(F.lit("upcoming-"), _s("user_id"), F.lit("-"), _s("block"))
     return responses(pages, key=key, path=F.lit("/calendar/view.php?view=upcoming"), body=page(F.lit("Termine"), inner),
                      kind="upcoming")
+
+
+SEARCH_PAGE = 7  # results per search page
+
+
+def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Course-search result pages of 7 suppliers (``s_suppkey div 7``): boxes with a
+    category (the nation) and a long summary; the first box of each page repeats
+    at the end (first wins); the pager numbers the next page only when the page
+    is full."""
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = read_table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    j = s.join(n, "s_nationkey", "left").withColumn("bucket", F.floor(F.col("s_suppkey") / SEARCH_PAGE))
+    k = _s("s_suppkey")
+    summary = F.repeat(F.concat(F.lit("Kurs "), F.col("s_name"), F.lit(" in "), F.coalesce(F.col("n_name"), F.lit("")), F.lit(". ")), 12)
+    box = F.concat(
+        F.lit('<div class="coursebox clearfix" data-courseid="'), k, F.lit('"><div class="info"><h3 class="coursename">'),
+        F.lit('<a class="aalink" href="/course/view.php?id='), k, F.lit('">'), esc("s_name"), F.lit("</a></h3></div>"),
+        F.lit('<div class="content"><div class="summary"><p>'), esc(summary), F.lit('</p></div>'),
+        F.lit('<div class="coursecat">Kategorie: <a href="/course/index.php?categoryid='), _s("s_nationkey"), F.lit('">'),
+        esc(F.coalesce(F.col("n_name"), F.lit(""))), F.lit("</a></div></div></div>"),
+    )
+    g = j.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", box.alias("b")))).alias("items"))
+    page_no = (F.col("bucket") + 1).cast("string")
+    full = F.size("items") == SEARCH_PAGE
+    pager = F.concat(
+        F.lit('<nav><ul class="pagination">'),
+        F.when(F.col("bucket") > 0, F.concat(F.lit('<li class="page-item"><a class="page-link" href="#">'),
+                                               _s("bucket"), F.lit("</a></li>"))).otherwise(F.lit("")),
+        F.lit('<li class="page-item active" data-page-number="'), page_no, F.lit('"><a class="page-link" href="#">'), page_no,
+        F.lit("</a></li>"),
+        F.when(full, F.concat(F.lit('<li class="page-item"><a class="page-link" href="#">'), (F.col("bucket") + 2).cast("string"),
+                              F.lit("</a></li>"))).otherwise(F.lit("")),
+        F.lit('<li class="page-item"><a class="page-link" href="#">»</a></li></ul></nav>'),
+    )
+    inner = F.concat(
+        F.lit('<div id="region-main"><h2>Suchergebnisse</h2><div class="courses">'),
+        F.array_join(F.transform("items", lambda x: x["b"]), ""), F.get(F.col("items"), 0)["b"],
+        F.lit("</div>"), pager, F.lit("</div>"),
+    )
+    return responses(g, key=F.concat(F.lit("search-"), _s("bucket")),
+                     path=F.concat(F.lit("/course/search.php?search=kurs&perpage=7&page="), _s("bucket")),
+                     body=page(F.lit("Suche"), inner), kind="search")
