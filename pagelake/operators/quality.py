@@ -52,3 +52,25 @@ def error_record(code: Column, parser: Column | None = None, selector: Column |
             F.substring(message if message is not None else none, 1, 200).alias("message"),
         ),
     )
+
+
+def data_attr_names(n: Column) -> Column:
+    """Sorted ``data-*`` attribute names of a node (empty for a missing node)."""
+    return F.coalesce(F.array_sort(F.filter(F.map_keys(n["attrs"]), lambda k: k.startswith("data-"))),
+                      F.array().cast("array<string>"))
+
+
+def attr_profile(df: DataFrame, anchors_fn, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+    """Q5: per event anchor, the sorted ``data-*`` names on the anchor, its
+    closest ``li`` and ``td``, and whether the cell carries a day timestamp."""
+    nodes = F.col("nodes")
+    rows = D.let(anchors_fn(nodes), li=lambda a: D.closest(nodes, a, D.tag("li")),
+                 td=lambda a: D.closest(nodes, a, D.tag("td")))
+    prof = F.transform(rows, lambda r: F.struct(
+        F.to_json(data_attr_names(r["_"])).alias("anchor_data_attrs"),
+        F.to_json(data_attr_names(r["li"])).alias("list_item_data_attrs"),
+        F.to_json(data_attr_names(r["td"])).alias("table_cell_data_attrs"),
+        F.coalesce(D.attr(r["td"], "data-day-timestamp").isNotNull(), F.lit(False)).alias("has_td_day_timestamp"),
+    ))
+    out = df.select(*keep, F.posexplode(prof).alias("pos", "p"))
+    return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "p.*")

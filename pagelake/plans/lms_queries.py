@@ -303,3 +303,29 @@ FROM supplier GROUP BY s_suppkey // 7
 
 QUERIES.update({"search_results": q_search_results, "search_pages": q_search_pages})
 ORACLES.update({"search_results": SQL_SEARCH_RESULTS, "search_pages": SQL_SEARCH_PAGES})
+
+
+# ------------------------------------------------------------------ Q5
+from ..operators.events import month_anchors  # noqa: E402
+from ..operators.quality import attr_profile  # noqa: E402
+
+
+def q_attr_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: data-attribute profile of every event anchor on rendered month views."""
+    return attr_profile(_shred(R.month_pages(spark, sf_dir)), month_anchors)
+
+
+SQL_ATTR_PROFILE = f"""
+WITH e AS (SELECT *, event_id // 1000 AS block FROM ({_EV})),
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id, block ORDER BY day_epoch, event_id) - 1 AS rn FROM e)
+SELECT 'month-' || user_id || '-' || block AS page_key, rn::BIGINT AS pos,
+  CASE WHEN event_type = 'view' THEN '["data-action"]' ELSE '["data-action","data-timestamp"]' END AS anchor_data_attrs,
+  CASE WHEN event_type = 'error' THEN '["data-course-id","data-event-eventtype","data-event-id","data-region"]'
+       ELSE '["data-course-id","data-event-component","data-event-eventtype","data-event-id","data-region"]' END AS list_item_data_attrs,
+  '["data-day","data-day-timestamp","data-month","data-region","data-year"]' AS table_cell_data_attrs,
+  true AS has_td_day_timestamp
+FROM o WHERE user_id % 10 <> 3
+"""
+
+QUERIES["attr_profile"] = q_attr_profile
+ORACLES["attr_profile"] = SQL_ATTR_PROFILE
