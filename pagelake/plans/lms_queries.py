@@ -329,3 +329,41 @@ FROM o WHERE user_id % 10 <> 3
 
 QUERIES["attr_profile"] = q_attr_profile
 ORACLES["attr_profile"] = SQL_ATTR_PROFILE
+
+
+# ------------------------------------------------------------------ P6 / P8 / Q7 / A6
+from ..operators.triage import capture_report, triage_counts  # noqa: E402
+
+
+def q_response_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7 + P6 + P8: capture report of every stored response."""
+    return capture_report(R.triage_responses(spark, sf_dir))
+
+
+SQL_RESPONSE_TRIAGE = f"""
+SELECT 'resp-' || o_orderkey AS page_key, CASE WHEN o_orderstatus = 'P' THEN 303 ELSE 200 END AS http_status,
+  '{B}/mod/page/view.php?id=' || o_orderkey || '&sesskey=REDACTED' AS url,
+  CASE o_orderstatus WHEN 'F' THEN 'text/html; charset=utf-8' WHEN 'O' THEN 'text/html' END AS content_type,
+  CASE o_orderstatus WHEN 'F' THEN length('<html><body><h1>Order ' || o_orderkey || '</h1></body></html>')
+       WHEN 'O' THEN length('<html><body><form method="post" action="{B}/login/index.php" id="login"><input name="username"></form></body></html>')
+       ELSE 0 END::BIGINT AS body_length,
+  CASE WHEN o_orderstatus = 'F' THEN 'MOODLEID1_,MoodleSession' ELSE '' END AS set_cookie_names,
+  o_orderstatus = 'P' AS redirect_status, o_orderstatus <> 'P' AS html_content_type, o_orderstatus = 'O' AS login_form,
+  CASE WHEN o_orderstatus = 'P' THEN '3xx' ELSE '2xx' END AS status_class, o_orderstatus IN ('O', 'P') AS login
+FROM orders
+"""
+
+
+def q_triage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses per status class and login outcome."""
+    return triage_counts(capture_report(R.triage_responses(spark, sf_dir)))
+
+
+SQL_TRIAGE_COUNTS = """
+SELECT CASE WHEN o_orderstatus = 'P' THEN '3xx' ELSE '2xx' END AS status_class, o_orderstatus IN ('O', 'P') AS login,
+       count(*)::BIGINT AS responses
+FROM orders GROUP BY ALL
+"""
+
+QUERIES.update({"response_triage": q_response_triage, "triage_counts": q_triage_counts})
+ORACLES.update({"response_triage": SQL_RESPONSE_TRIAGE, "triage_counts": SQL_TRIAGE_COUNTS})

@@ -326,3 +326,25 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses(g, key=F.concat(F.lit("search-"), _s("bucket")),
                      path=F.concat(F.lit("/course/search.php?search=kurs&perpage=7&page="), _s("bucket")),
                      body=page(F.lit("Suche"), inner), kind="search")
+
+
+def triage_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stored response per order: status F -> a normal 200 page with session
+    cookies; O -> 200 serving the login form; P -> 303 to the login page.  Every
+    URL carries a sesskey to be masked."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    k = _s("o_orderkey")
+    st = F.col("o_orderstatus")
+    status = F.when(st == "P", F.lit(303)).otherwise(F.lit(200))
+    body = (F.when(st == "F", F.concat(F.lit("<html><body><h1>Order "), k, F.lit("</h1></body></html>")))
+            .when(st == "O", F.lit('<html><body><form method="post" action="' + BASE + '/login/index.php" id="login">'
+                                   '<input name="username"></form></body></html>'))
+            .otherwise(F.lit("")))
+    headers = (F.when(st == "F", F.create_map(F.lit("content-type"), F.lit("text/html; charset=utf-8"), F.lit("set-cookie"),
+                                              F.concat(F.lit("MoodleSession=s"), k, F.lit("; path=/; secure, MOODLEID1_=%25"), k,
+                                                       F.lit("; expires=Wed, 01 Jan 2030 00:00:00 GMT; path=/"))))
+               .when(st == "O", F.create_map(F.lit("content-type"), F.lit("text/html")))
+               .otherwise(F.create_map(F.lit("location"), F.lit(BASE + "/login/index.php"))))
+    return responses(o, key=F.concat(F.lit("resp-"), k),
+                     path=F.concat(F.lit("/mod/page/view.php?id="), k, F.lit("&sesskey=abc"), k),
+                     body=body, kind="page", status=status, headers=headers.cast("map<string,string>"))
