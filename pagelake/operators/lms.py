@@ -424,3 +424,54 @@ def extract_quiz(df: DataFrame, *, as_of: float, tz: str = "Europe/Berlin", keep
         F.when(ok, status).otherwise(F.lit("unknown")).alias("quiz_status"),
         (~ok | ~anything).alias("parser_degraded"),
     )
+
+
+# ------------------------------------------------------------------ E2
+
+MAX_ACTIVITY_NAME_LEN = 200
+
+
+def extract_course_activities(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+    """Sections ``li.course-section`` with a ``ul[data-for=cmlist]``; items
+    ``li[data-for=cmitem]`` with an id and a modtype other than ``label``; name from
+    ``[data-activityname]`` then ``.instancename``; link ``a.aalink`` then
+    ``a.stretched-link`` then the synthesized view URL; empty sections dropped.
+    One row per activity with its section position and name."""
+    nodes = _nodes()
+    base = F.col("base_url")
+    sections = F.filter(nodes, D.tag("li") & D.cls("course-section"))
+
+    def items_of(sec):
+        cmlist = D.first(D.find(nodes, sec, D.tag("ul") & D.attr_eq("data-for", "cmlist")))
+        lis = F.filter(D.subtree(nodes, cmlist), D.tag("li") & D.attr_eq("data-for", "cmitem"))
+        raw = D.let(lis, cmid=lambda li: js_parse_int(D.attr(li, "data-id")),
+                    mt=lambda li: F.regexp_extract(F.coalesce(D.attr(li, "class"), F.lit("")), r"\bmodtype_([a-z_]+)", 1))
+        raw = F.filter(raw, lambda r: r["cmid"].isNotNull() & (r["mt"] != "") & (r["mt"] != "label"))
+
+        def act(r):
+            li = r["_"]
+            named = F.coalesce(D.attr(D.first(D.find(nodes, li, D.has_attr("data-activityname"))), "data-activityname"), F.lit(""))
+            name = F.when(named != "", named).otherwise(_text(nodes, D.first(D.find(nodes, li, D.cls("instancename")))))
+            name = F.when(name != "", name).otherwise(F.concat(F.lit("Activity "), r["cmid"].cast("string")))
+            link = F.coalesce(
+                F.nullif(D.attr(D.first(D.find(nodes, li, D.tag("a") & D.cls("aalink"))), "href"), F.lit("")),
+                F.nullif(D.attr(D.first(D.find(nodes, li, D.tag("a") & D.cls("stretched-link"))), "href"), F.lit("")))
+            synth = F.concat(F.lit("/mod/"), r["mt"], F.lit("/view.php?id="), r["cmid"].cast("string"))
+            return F.struct(r["cmid"].alias("cmid"), truncate(name, MAX_ACTIVITY_NAME_LEN).alias("name"),
+                            r["mt"].alias("modtype"), absolute_url(base, F.coalesce(link, synth)).alias("url"))
+
+        return F.when(cmlist.isNotNull(), F.transform(raw, act)).otherwise(F.array())
+
+    secs = D.let(sections, name=lambda sec: F.coalesce(
+        F.nullif(D.attr(sec, "data-sectionname"), F.lit("")),
+        F.nullif(_text(nodes, D.first(D.find(nodes, sec, D.tag("h3", "h4")))), F.lit("")), F.lit("")),
+        acts=items_of)
+    secs = F.filter(secs, lambda s: F.size(s["acts"]) > 0)
+    title_text = normalize_text(F.regexp_replace(F.coalesce(D.text_of(nodes, D.first(F.filter(nodes, D.tag("title")))),
+                                                            F.lit("")), ":.*$", ""))
+    course_name = F.coalesce(F.nullif(D.first_text(nodes, D.tag("h1")), F.lit("")), F.nullif(title_text, F.lit("")),
+                             F.concat(F.lit("Course "), F.col("course_id").cast("string")))
+    staged = df.select(*keep, course_name.alias("course_name"), F.posexplode(secs).alias("section_pos", "s"))
+    out = staged.select(*keep, "course_name", F.col("section_pos").cast("bigint").alias("section_pos"),
+                        F.col("s.name").alias("section_name"), F.posexplode("s.acts").alias("pos", "a"))
+    return out.select(*keep, "course_name", "section_pos", "section_name", F.col("pos").cast("bigint").alias("pos"), "a.*")

@@ -367,3 +367,62 @@ FROM orders GROUP BY ALL
 
 QUERIES.update({"response_triage": q_response_triage, "triage_counts": q_triage_counts})
 ORACLES.update({"response_triage": SQL_RESPONSE_TRIAGE, "triage_counts": SQL_TRIAGE_COUNTS})
+
+
+# ------------------------------------------------------------------ E2
+from ..operators.lms import extract_course_activities  # noqa: E402
+
+
+def q_course_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activities of every rendered course page (labels and empty sections dropped)."""
+    pages = R.course_pages(spark, sf_dir)
+    sh = shred_html(pages.select("page_key", "base_url", "url", "status", "course_id", "body"), keep_html=False)
+    return extract_course_activities(sh)
+
+
+SQL_COURSE_ACTIVITIES = f"""
+WITH p AS (
+  SELECT *, p_partkey // 40 AS course, p_size // 10 AS sec,
+    CASE split_part(p_type, ' ', 1) WHEN 'STANDARD' THEN 'assign' WHEN 'SMALL' THEN 'quiz' WHEN 'MEDIUM' THEN 'forum'
+      WHEN 'LARGE' THEN 'resource' WHEN 'ECONOMY' THEN 'label' WHEN 'PROMO' THEN 'url' END AS mt
+  FROM part),
+a AS (SELECT * FROM p WHERE mt IS NOT NULL AND mt <> 'label')
+SELECT 'course-' || course AS page_key, 'Kurs ' || course AS course_name,
+  (dense_rank() OVER (PARTITION BY course ORDER BY sec) - 1)::BIGINT AS section_pos,
+  CASE WHEN sec % 2 = 0 THEN 'Woche ' || sec ELSE 'Abschnitt ' || sec END AS section_name,
+  (row_number() OVER (PARTITION BY course, sec ORDER BY p_partkey) - 1)::BIGINT AS pos,
+  p_partkey AS cmid,
+  {sql_truncate("CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE " + sql_norm('p_name') + " END", 200)} AS name,
+  mt AS modtype,
+  '{B}/mod/' || mt || '/view.php?id=' || p_partkey || CASE WHEN p_partkey % 3 = 0 THEN '&forceview=1' ELSE '' END AS url
+FROM a
+"""
+
+QUERIES["course_activities"] = q_course_activities
+ORACLES["course_activities"] = SQL_COURSE_ACTIVITIES
+
+
+# ------------------------------------------------------------------ A5
+def q_course_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: activity rows nested back into sections and courses in page order
+    (``array_sort`` of collected (section_pos, pos) structs — order never relies
+    on shuffle order), shown as a compact outline string per course."""
+    acts = q_course_activities(spark, sf_dir)
+    secs = acts.groupBy("page_key", "section_pos", "section_name").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "cmid"))).alias("acts"))
+    courses = secs.groupBy("page_key").agg(
+        F.array_sort(F.collect_list(F.struct("section_pos", "section_name", "acts"))).alias("sections"))
+    outline = F.array_join(F.transform("sections", lambda s: F.concat(
+        s["section_name"], F.lit(":"), F.array_join(F.transform(s["acts"], lambda a: a["cmid"].cast("string")), ","))), "|")
+    return courses.select("page_key", F.size("sections").cast("bigint").alias("sections"), outline.alias("outline"))
+
+
+SQL_COURSE_NESTED = f"""
+WITH a AS ({SQL_COURSE_ACTIVITIES}),
+s AS (SELECT page_key, section_pos, section_name, string_agg(cmid::VARCHAR, ',' ORDER BY pos) AS ids FROM a GROUP BY ALL)
+SELECT page_key, count(*)::BIGINT AS sections, string_agg(section_name || ':' || ids, '|' ORDER BY section_pos) AS outline
+FROM s GROUP BY page_key
+"""
+
+QUERIES["course_nested"] = q_course_nested
+ORACLES["course_nested"] = SQL_COURSE_NESTED

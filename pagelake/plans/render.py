@@ -348,3 +348,43 @@ def triage_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses(o, key=F.concat(F.lit("resp-"), k),
                      path=F.concat(F.lit("/mod/page/view.php?id="), k, F.lit("&sesskey=abc"), k),
                      body=body, kind="page", status=status, headers=headers.cast("map<string,string>"))
+
+
+# Modtype per part type word (ECONOMY parts become labels, which are skipped).
+PART_MODTYPES = {"STANDARD": "assign", "SMALL": "quiz", "MEDIUM": "forum", "LARGE": "resource", "ECONOMY": "label",
+                 "PROMO": "url"}
+
+
+def course_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Course pages of 40 parts (``p_partkey div 40``), sections by ``p_size div 10``;
+    names via data-activityname (even keys) or .instancename, links a.aalink
+    (key mod 3 = 0), a.stretched-link (= 1) or none; plus a section without a list."""
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    word = F.split(F.col("p_type"), " ")[0]
+    mt = None
+    for w, m in PART_MODTYPES.items():
+        mt = F.when(word == w, F.lit(m)) if mt is None else mt.when(word == w, F.lit(m))
+    p = p.select("*", mt.alias("mt"), F.floor(F.col("p_partkey") / 40).alias("course"), F.floor(F.col("p_size") / 10).alias("sec"))
+    k = _s("p_partkey")
+    even = (F.col("p_partkey") % 2) == 0
+    name = F.when(even, F.concat(F.lit('<div data-activityname="'), esc("p_name"), F.lit('"><span class="instancename">'),
+                                 esc("p_name"), F.lit(" Extra</span></div>"))) \
+        .otherwise(F.concat(F.lit('<span class="instancename">'), esc("p_name"), F.lit("</span>")))
+    r3 = F.col("p_partkey") % 3
+    link = F.when(r3 == 0, F.concat(F.lit('<a class="aalink" href="/mod/'), F.col("mt"), F.lit("/view.php?id="), k, F.lit('&amp;forceview=1">go</a>'))) \
+        .when(r3 == 1, F.concat(F.lit('<a class="stretched-link" href="/mod/'), F.col("mt"), F.lit("/view.php?id="), k, F.lit('">go</a>'))) \
+        .otherwise(F.lit(""))
+    item = F.concat(F.lit('<li class="activity activity-wrapper modtype_'), F.col("mt"), F.lit('" data-for="cmitem" data-id="'), k,
+                    F.lit('"><div class="activity-item">'), name, link, F.lit("</div></li>"))
+    secs = p.groupBy("course", "sec").agg(F.array_sort(F.collect_list(F.struct("p_partkey", item.alias("i")))).alias("items"))
+    head = F.when(F.col("sec") % 2 == 0, F.concat(F.lit('<li class="section course-section" data-sectionname="Woche '), _s("sec"), F.lit('">'))) \
+        .otherwise(F.concat(F.lit('<li class="section course-section"><h3 class="sectionname">Abschnitt '), _s("sec"), F.lit("</h3>")))
+    sec_html = F.concat(head, F.lit('<ul class="section-cmlist" data-for="cmlist">'), F.array_join(F.transform("items", lambda x: x["i"]), ""),
+                        F.lit("</ul></li>"))
+    pages = secs.groupBy("course").agg(F.array_sort(F.collect_list(F.struct("sec", sec_html.alias("h")))).alias("secs"))
+    inner = F.concat(F.lit("<h1>Kurs "), _s("course"), F.lit('</h1><ul class="topics">'),
+                     F.lit('<li class="course-section" data-sectionname="Leer"><p>nichts</p></li>'),
+                     F.array_join(F.transform("secs", lambda x: x["h"]), ""), F.lit("</ul>"))
+    out = responses(pages, key=F.concat(F.lit("course-"), _s("course")), path=F.concat(F.lit("/course/view.php?id="), _s("course")),
+                    body=page(F.concat(F.lit("Kurs "), _s("course"), F.lit(": Übersicht")), inner), kind="course")
+    return out.withColumn("course_id", F.regexp_extract("page_key", r"(\d+)$", 1).cast("bigint"))
