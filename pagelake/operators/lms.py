@@ -475,3 +475,38 @@ def extract_course_activities(df: DataFrame, keep: tuple[str, ...] = ("page_key"
     out = staged.select(*keep, "course_name", F.col("section_pos").cast("bigint").alias("section_pos"),
                         F.col("s.name").alias("section_name"), F.posexplode("s.acts").alias("pos", "a"))
     return out.select(*keep, "course_name", "section_pos", "section_name", F.col("pos").cast("bigint").alias("pos"), "a.*")
+
+
+# ------------------------------------------------------------------ E12
+
+def extract_folder(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+    """The first of five link selectors (``.foldertree``, ``.fp-filename-icon``,
+    ``.filemanager``, ``#region-main``, anywhere; each ``a[href*=pluginfile.php]``)
+    that yields links; first link per raw href wins; name from ``.fp-filename`` /
+    ``.filename``, the link text or the decoded last URL segment (≤ 300); size
+    from ``.fp-size`` / ``.filesize`` in the enclosing ``li`` / ``tr``."""
+    from ..functions.urls import uri_decode
+
+    nodes = _nodes()
+    base = F.col("base_url")
+    pf = D.tag("a") & D.attr_contains("href", "pluginfile.php")
+    lists = [D.select_within(nodes, w, pf) for w in (D.cls("foldertree"), D.cls("fp-filename-icon"), D.cls("filemanager"),
+                                                     D.id_is("region-main"))] + [F.filter(nodes, pf)]
+    lists = [F.filter(l, lambda a: F.coalesce(D.attr(a, "href"), F.lit("")) != "") for l in lists]
+    staged = df.select(*keep, "base_url", "nodes", *[l.alias(f"_l{i}") for i, l in enumerate(lists)])
+    chosen = F.coalesce(*[F.when(F.size(f"_l{i}") > 0, F.col(f"_l{i}")) for i in range(len(lists))], F.array())
+    chosen = first_wins(chosen, lambda a: D.attr(a, "href"))
+
+    def entry(a):
+        href = D.attr(a, "href")
+        name_el = D.first(D.find(nodes, a, D.cls("fp-filename") | D.cls("filename")))
+        raw = F.coalesce(F.nullif(_raw_text(nodes, name_el), F.lit("")), _raw_text(nodes, a))
+        seg = F.element_at(F.split(F.element_at(F.split(href, "/"), -1), r"\?"), 1)
+        name = F.coalesce(F.nullif(normalize_text(raw), F.lit("")), F.coalesce(uri_decode(seg), seg))
+        holder = D.closest(nodes, a, D.tag("li", "tr"))
+        size = _text(nodes, D.first(D.find(nodes, holder, D.cls("fp-size") | D.cls("filesize"))))
+        return F.struct(truncate(name, 300).alias("name"), absolute_url(base, href).alias("download_url"),
+                        F.nullif(size, F.lit("")).alias("size"))
+
+    out = staged.select(*keep, F.posexplode(F.transform(chosen, entry)).alias("pos", "e"))
+    return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "e.*")

@@ -426,3 +426,28 @@ FROM s GROUP BY page_key
 
 QUERIES["course_nested"] = q_course_nested
 ORACLES["course_nested"] = SQL_COURSE_NESTED
+
+
+# ------------------------------------------------------------------ E12
+from ..operators.lms import extract_folder  # noqa: E402
+
+
+def q_folder_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File entries of every rendered folder page."""
+    return extract_folder(_shred(R.folder_pages(spark, sf_dir)))
+
+
+SQL_FOLDER_FILES = f"""
+WITH f AS (SELECT *, p_partkey // 25 AS folder,
+                  row_number() OVER (PARTITION BY p_partkey // 25, p_name ORDER BY p_partkey) AS dup FROM part),
+u AS (SELECT * FROM f WHERE dup = 1)
+SELECT 'folder-' || folder AS page_key,
+  (row_number() OVER (PARTITION BY folder ORDER BY p_partkey) - 1)::BIGINT AS pos,
+  CASE WHEN p_partkey % 4 = 0 THEN p_name || '.pdf' ELSE {sql_norm("p_name || '.pdf'")} END AS name,
+  '{B}/pluginfile.php/' || folder || '/mod_folder/content/0/' || replace(p_name, ' ', '%20') || '.pdf?forcedownload=1' AS download_url,
+  p_size || ' KB' AS size
+FROM u
+"""
+
+QUERIES["folder_files"] = q_folder_files
+ORACLES["folder_files"] = SQL_FOLDER_FILES

@@ -388,3 +388,25 @@ def course_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = responses(pages, key=F.concat(F.lit("course-"), _s("course")), path=F.concat(F.lit("/course/view.php?id="), _s("course")),
                     body=page(F.concat(F.lit("Kurs "), _s("course"), F.lit(": Übersicht")), inner), kind="course")
     return out.withColumn("course_id", F.regexp_extract("page_key", r"(\d+)$", 1).cast("bigint"))
+
+
+def folder_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folder pages of 25 parts (``p_partkey div 25``): a file tree of
+    pluginfile links (key mod 4 = 0 without a filename span or text, so the name
+    comes from the URL), the first file repeated, and a stray link outside the tree."""
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    p = p.withColumn("folder", F.floor(F.col("p_partkey") / 25))
+    href = F.concat(F.lit("/pluginfile.php/"), _s("folder"), F.lit("/mod_folder/content/0/"),
+                    F.replace(F.col("p_name"), F.lit(" "), F.lit("%20")), F.lit(".pdf?forcedownload=1"))
+    label = F.when(F.col("p_partkey") % 4 == 0, F.lit("")).otherwise(
+        F.concat(F.lit('<span class="fp-filename">'), esc("p_name"), F.lit(".pdf</span>")))
+    li = F.concat(F.lit('<li><span class="fp-filename-icon"><a href="'), esc(href), F.lit('">'), label, F.lit("</a></span> "),
+                  F.lit('<span class="fp-size">'), _s("p_size"), F.lit(" KB</span></li>"))
+    g = p.groupBy("folder").agg(F.array_sort(F.collect_list(F.struct("p_partkey", li.alias("li")))).alias("items"))
+    inner = F.concat(
+        F.lit('<div id="region-main"><h2>Ordner '), _s("folder"), F.lit('</h2><div class="foldertree"><ul>'),
+        F.array_join(F.transform("items", lambda x: x["li"]), ""), F.get(F.col("items"), 0)["li"],
+        F.lit('</ul></div><p><a href="/pluginfile.php/0/other/x.pdf">Anderes</a></p></div>'),
+    )
+    return responses(g, key=F.concat(F.lit("folder-"), _s("folder")), path=F.concat(F.lit("/mod/folder/view.php?id="), _s("folder")),
+                     body=page(F.lit("Ordner"), inner), kind="activity", cmid=F.col("folder").cast("bigint"), modtype="folder")
