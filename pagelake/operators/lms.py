@@ -510,3 +510,43 @@ def extract_folder(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Data
 
     out = staged.select(*keep, F.posexplode(F.transform(chosen, entry)).alias("pos", "e"))
     return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "e.*")
+
+
+# ------------------------------------------------------------------ E15
+
+def extract_choice_options(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+    """Options from ``.option, .choiceoption, input[type=radio][name=answer]``.
+
+    Deliberate difference from the reference (which emits a wrapper and its
+    radio twice): one row per option — a radio inside a matched wrapper is merged
+    into the wrapper row and only sets ``selected``.  A wrapper's label is the
+    first ``.choicetext, .text, label`` text (else its own text), votes from
+    ``.count`` / ``.numvotes`` (0 -> null); a standalone radio takes its label via
+    ``label[for=id]``, else the enclosing label, else a label in the enclosing div."""
+    nodes = _nodes()
+    wrapper = D.cls("option") | D.cls("choiceoption")
+    radio = D.tag("input") & D.attr_eq("type", "radio") & D.attr_eq("name", "answer")
+    standalone = F.filter(nodes, lambda n: radio(n) & D.closest(nodes, n, wrapper).isNull())
+    matches = F.filter(nodes, lambda n: wrapper(n) | (radio(n) & D.closest(nodes, n, wrapper).isNull()))
+
+    def row(el):
+        is_input = el["tag"] == "input"
+        w_label_el = D.first(D.find(nodes, el, D.cls("choicetext") | D.cls("text") | D.tag("label")))
+        w_label = normalize_text(F.coalesce(F.nullif(_raw_text(nodes, w_label_el), F.lit("")), _raw_text(nodes, el)))
+        votes_text = _text(nodes, D.first(D.find(nodes, el, D.cls("count") | D.cls("numvotes"))))
+        votes = F.when(votes_text != "", F.when(js_parse_int(votes_text) != 0, js_parse_int(votes_text)))
+        inner_checked = F.exists(D.find(nodes, el, radio), lambda r: D.attr(r, "checked").isNotNull())
+        i_id = D.attr(el, "id")
+        by_for = _text(nodes, D.first(F.filter(nodes, lambda l: (l["tag"] == "label") & (D.attr(l, "for") == i_id))))
+        enclosing = F.coalesce(F.nullif(_raw_text(nodes, D.closest(nodes, el, D.tag("label"))), F.lit("")),
+                               _raw_text(nodes, D.first(D.find(nodes, D.closest(nodes, el, D.tag("div")), D.tag("label")))))
+        i_label = F.when(i_id.isNotNull(), by_for).otherwise(normalize_text(enclosing))
+        return F.struct(
+            truncate(F.when(is_input, i_label).otherwise(w_label), 300).alias("label"),
+            F.when(is_input, F.lit(None).cast("bigint")).otherwise(votes).alias("votes"),
+            F.when(is_input, D.attr(el, "checked").isNotNull()).otherwise(inner_checked).alias("selected"),
+        )
+
+    opts = F.filter(F.transform(matches, row), lambda o: o["label"] != "")
+    out = df.select(*keep, F.posexplode(opts).alias("pos", "o"))
+    return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "o.*")

@@ -451,3 +451,25 @@ FROM u
 
 QUERIES["folder_files"] = q_folder_files
 ORACLES["folder_files"] = SQL_FOLDER_FILES
+
+
+# ------------------------------------------------------------------ E15 / D15
+from ..operators.lms import extract_choice_options  # noqa: E402
+
+
+def q_choice_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E15 + D15: options of every rendered choice page (one row per option)."""
+    return extract_choice_options(_shred(R.choice_pages(spark, sf_dir)))
+
+
+SQL_CHOICE_OPTIONS = f"""
+SELECT 'choice-' || n_regionkey AS page_key,
+  (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1)::BIGINT AS pos,
+  {sql_norm('n_name')} AS label, nullif(n_nationkey * 3, 0)::BIGINT AS votes, n_nationkey % 5 = 2 AS selected
+FROM nation
+UNION ALL
+SELECT 'choice-' || n_regionkey, count(*)::BIGINT, 'Enthaltung', NULL::BIGINT, false FROM nation GROUP BY n_regionkey
+"""
+
+QUERIES["choice_options"] = q_choice_options
+ORACLES["choice_options"] = SQL_CHOICE_OPTIONS

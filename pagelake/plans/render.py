@@ -410,3 +410,26 @@ def folder_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return responses(g, key=F.concat(F.lit("folder-"), _s("folder")), path=F.concat(F.lit("/mod/folder/view.php?id="), _s("folder")),
                      body=page(F.lit("Ordner"), inner), kind="activity", cmid=F.col("folder").cast("bigint"), modtype="folder")
+
+
+def choice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One choice page per region: each nation is a wrapped option (label, radio
+    checked when n_nationkey mod 5 = 2, vote count 3·key) plus one standalone
+    'Enthaltung' radio labelled through ``for``."""
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    k = _s("n_nationkey")
+    opt = F.concat(
+        F.lit('<div class="option"><label for="choice_'), k, F.lit('"><span class="text">'), esc("n_name"),
+        F.lit('</span></label><input type="radio" name="answer" id="choice_'), k, F.lit('" value="'), k, F.lit('"'),
+        F.when(F.col("n_nationkey") % 5 == 2, F.lit(" checked")).otherwise(F.lit("")), F.lit('><span class="count">'),
+        (F.col("n_nationkey") * 3).cast("string"), F.lit("</span></div>"),
+    )
+    g = n.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", opt.alias("o")))).alias("items"))
+    r = _s("n_regionkey")
+    inner = F.concat(
+        F.lit("<h2>Abstimmung "), r, F.lit('</h2><form><div class="choices">'), F.array_join(F.transform("items", lambda x: x["o"]), ""),
+        F.lit('<div class="extra"><input type="radio" name="answer" id="extra_'), r, F.lit('"><label for="extra_'), r,
+        F.lit('">Enthaltung</label></div></div></form>'),
+    )
+    return responses(g, key=F.concat(F.lit("choice-"), r), path=F.concat(F.lit("/mod/choice/view.php?id="), r),
+                     body=page(F.lit("Abstimmung"), inner), kind="activity", cmid=F.col("n_regionkey").cast("bigint"), modtype="choice")
