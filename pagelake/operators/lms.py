@@ -550,3 +550,41 @@ def extract_choice_options(df: DataFrame, keep: tuple[str, ...] = ("page_key",))
     opts = F.filter(F.transform(matches, row), lambda o: o["label"] != "")
     out = df.select(*keep, F.posexplode(opts).alias("pos", "o"))
     return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "o.*")
+
+
+# ------------------------------------------------------------------ E16
+
+FEEDBACK_DATE_RE = r"(?i)^(Open(?:s|ed)?|Close(?:s|d)?)" + WS + r"*:?" + WS + r"*(.+)$"
+ALREADY_RE = r"(?i)already" + WS + r"+submitted|bereits" + WS + r"+ausgefüllt|bereits" + WS + r"+abgegeben"
+COUNT_RE = r"(?i)(\d+)" + WS + r"+(?:responses?|Antworten)"
+
+
+def extract_feedback(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+    """opens/closes from header lines (whole-word labels), ``already_submitted``
+    from a phrase anywhere in the body text, ``submission_count`` from the last
+    ``.feedbacksummary p, .generalbox p, #region-main p`` that states a number of
+    responses; degraded iff nothing was found."""
+    nodes = _nodes()
+    staged = df.select(*keep, "status", "cmid", "nodes", header_lines(nodes).alias("_lines"))
+    body_text = F.coalesce(D.text_of(nodes, D.root_of(nodes, "body")), F.lit(""))
+    ps = D.select_within(nodes, D.cls("feedbacksummary") | D.cls("generalbox") | D.id_is("region-main"), D.tag("p"))
+    counts = F.filter(F.transform(ps, lambda p: F.regexp_extract(_text(nodes, p), COUNT_RE, 1)), lambda x: x != "")
+    found = staged.select(
+        *keep, "status", "cmid",
+        D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
+        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")], 2000), F.lit("")).alias("description"),
+        F.nullif(last_labelled(F.col("_lines"), FEEDBACK_DATE_RE, ("open",)), F.lit("")).alias("opens"),
+        F.nullif(last_labelled(F.col("_lines"), FEEDBACK_DATE_RE, ("close",)), F.lit("")).alias("closes"),
+        F.when(body_text.rlike(ALREADY_RE), F.lit(True)).alias("already_submitted"),
+        D.last(counts).try_cast("bigint").alias("submission_count"),
+    )
+    ok = _ok()
+    c = F.col
+    anything = (c("description").isNotNull() | c("opens").isNotNull() | c("closes").isNotNull()
+                | c("already_submitted").isNotNull() | c("submission_count").isNotNull())
+    return found.select(
+        *keep,
+        F.when(ok & (c("h") != ""), c("h")).otherwise(F.concat(F.lit("Feedback "), c("cmid").cast("string"))).alias("title"),
+        *[F.when(ok, c(k)).alias(k) for k in ("description", "opens", "closes", "already_submitted", "submission_count")],
+        (~ok | ~anything).alias("parser_degraded"),
+    )
