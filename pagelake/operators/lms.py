@@ -588,3 +588,44 @@ def extract_feedback(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Da
         *[F.when(ok, c(k)).alias(k) for k in ("description", "opens", "closes", "already_submitted", "submission_count")],
         (~ok | ~anything).alias("parser_degraded"),
     )
+
+
+# ------------------------------------------------------------------ E14
+
+LESSON_DATE_RE = r"(?i)^(Open(?:s|ed)?|Close(?:s|d)?|Available|Deadline)" + WS + r"*:?" + WS + r"*(.+)$"
+LESSON_ATTEMPTS_RE = r"(?i)^(?:Number of|Anzahl" + WS + r"+der)" + WS + r"+Attempts?" + WS + r"*:" + WS + r"*(\d+)"
+LESSON_SCORE_RE = r"(?i)^(?:Best|Bester)?" + WS + r"*(?:Score|Punktzahl)" + WS + r"*:" + WS + r"*(.+)$"
+
+
+def extract_lesson(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+    """Available/Opens and Deadline/Closes from header lines; attempts used and
+    best score from ``.lesson-infosummary p, .generalbox p, #region-main p`` (a
+    paragraph is consumed by the attempts rule first; the last match wins)."""
+    nodes = _nodes()
+    staged = df.select(*keep, "status", "cmid", "nodes", header_lines(nodes).alias("_lines"),
+                       F.transform(D.select_within(nodes, D.cls("lesson-infosummary") | D.cls("generalbox") | D.id_is("region-main"),
+                                                   D.tag("p")), lambda p: _text(nodes, p)).alias("_ps"))
+    ps = F.col("_ps")
+    attempts = D.last(F.filter(ps, lambda t: t.rlike(LESSON_ATTEMPTS_RE)))
+    score = D.last(F.filter(ps, lambda t: ~t.rlike(LESSON_ATTEMPTS_RE) & t.rlike(LESSON_SCORE_RE)))
+    found = staged.select(
+        *keep, "status", "cmid",
+        D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
+        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")], 2000), F.lit("")).alias("description"),
+        F.nullif(last_labelled(F.col("_lines"), LESSON_DATE_RE, ("open", "avail")), F.lit("")).alias("opens"),
+        F.nullif(last_labelled(F.col("_lines"), LESSON_DATE_RE, ("close", "dead")), F.lit("")).alias("closes"),
+        F.regexp_extract(attempts, LESSON_ATTEMPTS_RE, 1).try_cast("bigint").alias("attempts_used"),
+        F.nullif(truncate(F.trim(F.regexp_extract(score, LESSON_SCORE_RE, 1)), 100), F.lit("")).alias("best_score"),
+    )
+    ok = _ok()
+    c = F.col
+    fields = ("description", "opens", "closes", "attempts_used", "best_score")
+    anything = F.lit(False)
+    for k in fields:
+        anything = anything | c(k).isNotNull()
+    return found.select(
+        *keep,
+        F.when(ok & (c("h") != ""), c("h")).otherwise(F.concat(F.lit("Lesson "), c("cmid").cast("string"))).alias("title"),
+        *[F.when(ok, c(k)).alias(k) for k in fields],
+        (~ok | ~anything).alias("parser_degraded"),
+    )

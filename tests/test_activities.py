@@ -25,3 +25,18 @@ def test_feedback(spark):
     assert r.already_submitted is True and r.submission_count == 42 and r.parser_degraded is False
     assert out["1"].title == "Feedback 1" and out["1"].parser_degraded is True
     assert out["2"].parser_degraded is True and out["2"].submission_count is None
+
+
+LESSON = """<html><body><h1>Lektion 3</h1>
+<div class="activity-header"><div><strong>Available:</strong> 1 April 2026</div><div><strong>Deadline:</strong> 9 April 2026</div></div>
+<div class="box generalbox lesson-infosummary"><p>Number of attempts: 1</p><p>Best score: 80%</p></div></body></html>"""
+
+
+def test_lesson(spark):
+    from pagelake.operators.lms import extract_lesson
+
+    out = {r.page_key: r for r in extract_lesson(_pages(spark, (200, LESSON), (500, LESSON))).collect()}
+    r = out["0"]
+    assert (r.title, r.opens, r.closes) == ("Lektion 3", "1 April 2026", "9 April 2026")
+    assert r.attempts_used == 1 and r.best_score == "80%" and r.parser_degraded is False
+    assert out["1"].title == "Lesson 1" and out["1"].parser_degraded is True and out["1"].opens is None
