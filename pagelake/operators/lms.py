@@ -629,3 +629,54 @@ def extract_lesson(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Data
         *[F.when(ok, c(k)).alias(k) for k in fields],
         (~ok | ~anything).alias("parser_degraded"),
     )
+
+
+# ------------------------------------------------------------------ E13
+
+WORKSHOP_DATE_RE = r"(?i)^(Due|Open(?:s|ed)?|Close(?:s|d)?|Fällig)" + WS + r"*:?" + WS + r"*(.+)$"
+
+
+def _phase_text(nodes: Column, state: str, inner: D.Sel, extra: D.Sel) -> Column:
+    """First of ``.userplan .phase.<state> <inner>`` or ``<extra>`` in document order."""
+    def in_plan(n):
+        ph = D.closest(nodes, D.parent_of(nodes, n), D.cls("phase", state))
+        return ph.isNotNull() & D.closest(nodes, D.parent_of(nodes, ph), D.cls("userplan")).isNotNull()
+
+    return D.first_text(nodes, lambda n: (inner(n) & in_plan(n)) | extra(n))
+
+
+def extract_workshop(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+    """Opens, closes (Due and Fällig count as closes), the active phase
+    (then the current phase), and submission status / grade from the status
+    table by label *contains* (last row wins)."""
+    nodes = _nodes()
+    rows = _table_rows(nodes, D.cls("submissionstatustable") | D.cls("submissionsummarytable"))
+    staged = df.select(*keep, "status", "cmid", "nodes", header_lines(nodes).alias("_lines"),
+                       F.filter(rows, lambda r: (r["label"] != "") & (r["value"] != "")).alias("_rows"))
+    r = F.col("_rows")
+    active = _phase_text(nodes, "active", D.cls("phasename") | D.cls("title"), D.cls("phasebadge", "active"))
+    current = _phase_text(nodes, "current", D.cls("phasename"), D.cls("phasecurrent"))
+    found = staged.select(
+        *keep, "status", "cmid",
+        D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
+        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")], 2000), F.lit("")).alias("description"),
+        F.nullif(last_labelled(F.col("_lines"), WORKSHOP_DATE_RE, ("open",)), F.lit("")).alias("opens"),
+        F.nullif(last_labelled(F.col("_lines"), WORKSHOP_DATE_RE, ("close", "fäll", "due")), F.lit("")).alias("closes"),
+        truncate(F.coalesce(F.nullif(active, F.lit("")), F.nullif(current, F.lit(""))), 200).alias("current_phase"),
+        truncate(D.last(F.filter(r, lambda x: F.contains(x["label"], F.lit("submission")) | F.contains(x["label"], F.lit("abgabe"))))["value"], 300)
+        .alias("submission_status"),
+        truncate(D.last(F.filter(r, lambda x: F.contains(x["label"], F.lit("grade")) | F.contains(x["label"], F.lit("note"))))["value"], 100)
+        .alias("grade"),
+    )
+    ok = _ok()
+    c = F.col
+    fields = ("description", "opens", "closes", "current_phase", "submission_status", "grade")
+    anything = F.lit(False)
+    for k in fields:
+        anything = anything | c(k).isNotNull()
+    return found.select(
+        *keep,
+        F.when(ok & (c("h") != ""), c("h")).otherwise(F.concat(F.lit("Workshop "), c("cmid").cast("string"))).alias("title"),
+        *[F.when(ok, c(k)).alias(k) for k in fields],
+        (~ok | ~anything).alias("parser_degraded"),
+    )

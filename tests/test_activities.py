@@ -40,3 +40,20 @@ def test_lesson(spark):
     assert (r.title, r.opens, r.closes) == ("Lektion 3", "1 April 2026", "9 April 2026")
     assert r.attempts_used == 1 and r.best_score == "80%" and r.parser_degraded is False
     assert out["1"].title == "Lesson 1" and out["1"].parser_degraded is True and out["1"].opens is None
+
+
+WORKSHOP = """<html><body><h2>Peer Review</h2><div class="activity-description">Bewerten Sie zwei Abgaben.</div>
+<div class="activity-header"><div><strong>Opens:</strong> 1 May 2026</div><div><strong>Due:</strong> 20 May 2026</div></div>
+<div class="userplan"><div class="phase done"><span class="phasename">Setup</span></div>
+<div class="phase active"><span class="phasename">Submission phase</span></div></div>
+<table class="submissionstatustable"><tr><th>Abgabestatus</th><td>Eingereicht</td></tr><tr><th>Grade</th><td>8 / 10</td></tr></table>
+</body></html>"""
+
+
+def test_workshop(spark):
+    from pagelake.operators.lms import extract_workshop
+
+    r = extract_workshop(_pages(spark, (200, WORKSHOP))).first()
+    assert (r.title, r.opens, r.closes) == ("Peer Review", "1 May 2026", "20 May 2026")
+    assert r.current_phase == "Submission phase" and r.submission_status == "Eingereicht" and r.grade == "8 / 10"
+    assert r.description == "Bewerten Sie zwei Abgaben." and r.parser_degraded is False
