@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import token_pack, warc
+from . import token_pack, warc, winnow
 from .common import read_table, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -35,9 +35,22 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = winnow.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return got.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        winnow.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_token_pack": op1_token_pack,
     "op2_warc": op2_warc,
+    "op3_winnow": op3_winnow,
 }
 
 ORACLES: dict[str, str] = {}
