@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import token_pack, warc, winnow
+from . import simhash, token_pack, warc, winnow
 from .common import read_table, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -47,10 +47,16 @@ def op3_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return got.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_token_pack": op1_token_pack,
     "op2_warc": op2_warc,
     "op3_winnow": op3_winnow,
+    "op4_simhash": op4_simhash,
 }
 
 ORACLES: dict[str, str] = {}
