@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, token_pack, warc, winnow
+from . import cuckoo_dedup, simhash, sumsq_packing, token_pack, warc, winnow
 from .common import read_table, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -52,11 +52,23 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op9_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = cuckoo_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op10_sumsq_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = sumsq_packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
+    return got.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_token_pack": op1_token_pack,
     "op2_warc": op2_warc,
     "op3_winnow": op3_winnow,
     "op4_simhash": op4_simhash,
+    "op9_cuckoo_dedup": op9_cuckoo_dedup,
+    "op10_sumsq_packing": op10_sumsq_packing,
 }
 
 ORACLES: dict[str, str] = {}
