@@ -10,11 +10,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cuckoo_dedup, simhash, sumsq_packing, token_pack, warc, winnow
+from . import cuckoo_dedup, license_scan, simhash, sumsq_packing, token_cache, token_pack, warc, winnow
 from .common import read_table, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
+TOKEN_LIMIT = 1024
 
 
 def op1_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +53,28 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op6_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = token_cache.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), scratch_path(spark, "token-cache"))
+    return got.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+    label = lambda x: x["label"]
+    base, more = F.transform("places", label), F.transform("detections", label)
+    word = F.transform("places", lambda x: x["word"])
+    return got.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(word).alias("first_word"),
+        F.array_max(word).alias("last_word"),
+        F.concat_ws(",", F.array_sort(F.array_distinct(base))).alias("base_labels"),
+        F.concat_ws(",", F.array_sort(F.array_union(base, more))).alias("labels"),
+        "score",
+    )
+
+
 def op9_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = cuckoo_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
     return got.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -67,6 +90,8 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_winnow": op3_winnow,
     "op4_simhash": op4_simhash,
+    "op6_token_cache": op6_token_cache,
+    "op8_license_scan": op8_license_scan,
     "op9_cuckoo_dedup": op9_cuckoo_dedup,
     "op10_sumsq_packing": op10_sumsq_packing,
 }
