@@ -97,9 +97,9 @@ def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[int,
         lo = hi
 
 
-def text_blocks(column) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_blocks(column, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     data, offs = arrow_text(column)
-    for lo, hi in blocks(offs):
+    for lo, hi in blocks(offs, size):
         yield lo, hi, data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
 
 

@@ -10,12 +10,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cuckoo_dedup, license_scan, simhash, sumsq_packing, token_cache, token_pack, warc, winnow
+from . import boosted_quality, cuckoo_dedup, license_scan, simhash, sumsq_packing, text_cnn, token_cache, token_pack, warc, winnow
 from .common import read_table, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 TOKEN_LIMIT = 1024
+QUALITY_AT = 0.7
+TOXIC_AT = 0.3
 
 
 def op1_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,11 +55,21 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op5_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = boosted_quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return got.select("doc_id", "held_out", "score", (F.col("score") >= QUALITY_AT).cast("int").alias("predicted"))
+
+
 def op6_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = token_cache.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), scratch_path(spark, "token-cache"))
     return got.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op7_text_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = text_cnn.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return got.select("doc_id", "held_out", "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"), "flagged")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
     label = lambda x: x["label"]
@@ -90,7 +102,9 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_winnow": op3_winnow,
     "op4_simhash": op4_simhash,
+    "op5_boosted_quality": op5_boosted_quality,
     "op6_token_cache": op6_token_cache,
+    "op7_text_cnn": op7_text_cnn,
     "op8_license_scan": op8_license_scan,
     "op9_cuckoo_dedup": op9_cuckoo_dedup,
     "op10_sumsq_packing": op10_sumsq_packing,
