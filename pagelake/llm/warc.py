@@ -36,8 +36,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 from . import files
 
 ROLL_BYTES = 256 << 20
-PLAN_BYTES = 128 << 20
+PLAN_BYTES = 32 << 20
 READ_STEP = 1 << 20
+FEED_STEP = 1 << 14
 HEAD_STEP = 1 << 12
 OUT_BYTES = 4 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -149,19 +150,24 @@ def _column(headers: dict[str, str], name: str) -> str | None:
 
 
 class _Stream:
-    """A file read forward in steps, with skips that read nothing."""
+    """A file read forward in steps; skips beyond the buffer read nothing, views copy nothing."""
 
     def __init__(self, path: str):
-        self.f, self.at, self.buf = files.open_read(path), 0, b""
+        self.f = files.open_read(path)
         self.size = self.f.size()
-
-    def peek(self, n: int) -> bytes:
-        if len(self.buf) < n and self.at + len(self.buf) < self.size:
-            self.buf += self.f.read_at(max(n - len(self.buf), READ_STEP), self.at + len(self.buf))
-        return self.buf[:n]
+        self.at = self.base = 0  # place in the file, and that of the buffer's first byte
+        self.buf = memoryview(b"")
+
+    def peek(self, n: int, ahead: int = 0) -> memoryview:
+        """Up to n bytes from ``ahead`` bytes after the place."""
+        lo = self.at + ahead
+        hi = min(lo + n, self.size)
+        if lo < self.base or hi > self.base + len(self.buf):
+            self.base = self.at if ahead <= READ_STEP else lo
+            self.buf = memoryview(self.f.read_at(max(hi - self.base, READ_STEP), self.base))
+        return self.buf[lo - self.base : max(lo, hi) - self.base]
 
     def skip(self, n: int) -> None:
-        self.buf = self.buf[n:] if n < len(self.buf) else b""
         self.at += n
 
 
@@ -170,7 +176,7 @@ class _Record:
 
     def __init__(self, stream: _Stream):
         self.stream, self.offset = stream, stream.at
-        start = stream.peek(24)
+        start = bytes(stream.peek(24))
         self.length = None
         if start[:2] == b"\x1f\x8b":
             self.z = zlib.decompressobj(31)
@@ -193,17 +199,16 @@ class _Record:
     def _more(self, step: int) -> bool:
         """Take some more of the record; False at its end."""
         if self.z is None:
-            got = self.stream.peek(len(self.plain) + step)
-            grew, self.plain = len(got) > len(self.plain), got
-            return grew
+            got = bytes(self.stream.peek(step, len(self.plain)))
+            self.plain += got
+            return bool(got)
         if self.z.eof:
             return False
         tail = self.z.unconsumed_tail
         if not tail:
-            chunk = self.stream.peek(self.fed + READ_STEP)[self.fed :]
-            self.fed += len(chunk)
-            tail = chunk
-            if not chunk:
+            tail = self.stream.peek(FEED_STEP if self.length is None else min(FEED_STEP, self.length - self.fed), self.fed)
+            self.fed += len(tail)
+            if not tail:
                 raise ValueError(f"truncated gzip member at {self.offset}")
         self.plain += self.z.decompress(tail, step)
         return True
