@@ -94,4 +94,6 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str) -> DataFrame:
     found = _encoded(_first_copies(docs).join(materialize(misses, "token-misses"), "digest", "left_semi"), tokenizer)
     found = found.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")).withColumn("version", F.lit(version))
     found.write.mode("append").partitionBy("version").parquet(cache)
-    return rows.join(read_cache(spark, cache, version), "digest").select("row", "doc_id", "n_bytes", "digest", "n_tokens")
+    # written out, so that the join deals out its rows itself and may split a digest of many rows
+    counts = materialize(read_cache(spark, cache, version), "token-counts")
+    return rows.join(counts, "digest").select("row", "doc_id", "n_bytes", "digest", "n_tokens")
