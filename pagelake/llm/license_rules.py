@@ -32,15 +32,15 @@ apache-2.0 | apache licen[cs]e,? ?(?:\(?v(?:ersion)?\.? ?)?2(?:\.0)?\b | apache-
 apache-1.1 | apache (?:software )?licen[cs]e,? ?(?:v(?:ersion)?\.? ?)?1\.1 | apache-1.1 | apache\.org/licenses/license-1\.1 | apache
 apache-1.0 | apache (?:software )?licen[cs]e,? ?(?:v(?:ersion)?\.? ?)?1\.0 | apache-1.0 | apache\.org/licenses/license-1\.0 | apache
 apache | apache (?:software )?licen[cs]e | apache | apache\.org/licenses/?(?!\w) | apache
-gpl-1.0 | (?:gnu )?general public licen[cs]e,? v(?:ersion)? ?1\b | gpl-1.0(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?gpl-1\.0 | general public
-gpl-2.0 | (?:gnu )?general public licen[cs]e,? v(?:ersion)? ?2\b | gpl-2.0(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0 | general public
-gpl-3.0 | (?:gnu )?general public licen[cs]e,? v(?:ersion)? ?3\b | gpl-3.0(?:-only|-or-later|\+)? | gnu\.org/licenses/gpl-3\.0 | general public
+gpl-1.0 | (?:gnu )?general public licen[cs]e,? ?(?:v(?:ersion)?\.? ?)?1\b | gpl-1.0(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?gpl-1\.0 | general public
+gpl-2.0 | (?:gnu )?general public licen[cs]e,? ?(?:v(?:ersion)?\.? ?)?2\b | gpl-2.0(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0 | general public
+gpl-3.0 | (?:gnu )?general public licen[cs]e,? ?(?:v(?:ersion)?\.? ?)?3\b | gpl-3.0(?:-only|-or-later|\+)? | gnu\.org/licenses/gpl-3\.0 | general public
 gpl | (?:gnu )?general public licen[cs]e | gpl | gnu\.org/(?:copyleft|licenses)/gpl\b | general public
-lgpl-2.0 | (?:gnu )?library general public licen[cs]e(?:,? v(?:ersion)? ?2)? | lgpl-2.0(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.0 | library general
-lgpl-2.1 | (?:gnu )?lesser general public licen[cs]e,? v(?:ersion)? ?2\.1 | lgpl-2.1(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1 | lesser general
-lgpl-3.0 | (?:gnu )?lesser general public licen[cs]e,? v(?:ersion)? ?3 | lgpl-3.0(?:-only|-or-later|\+)? | gnu\.org/licenses/lgpl-3\.0 | lesser general
+lgpl-2.0 | (?:gnu )?library general public licen[cs]e(?:,? ?(?:v(?:ersion)?\.? ?)?2)? | lgpl-2.0(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.0 | library general
+lgpl-2.1 | (?:gnu )?lesser general public licen[cs]e,? ?(?:v(?:ersion)?\.? ?)?2\.1 | lgpl-2.1(?:-only|-or-later|\+)? | gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1 | lesser general
+lgpl-3.0 | (?:gnu )?lesser general public licen[cs]e,? ?(?:v(?:ersion)?\.? ?)?3 | lgpl-3.0(?:-only|-or-later|\+)? | gnu\.org/licenses/lgpl-3\.0 | lesser general
 lgpl | (?:gnu )?lesser general public licen[cs]e | lgpl | gnu\.org/(?:copyleft/lesser|licenses/lgpl)\b | lesser general
-agpl-3.0 | (?:gnu )?affero general public licen[cs]e(?:,? v(?:ersion)? ?3)? | agpl-3.0(?:-only|-or-later|\+)? | gnu\.org/licenses/agpl | affero
+agpl-3.0 | (?:gnu )?affero general public licen[cs]e(?:,? ?(?:v(?:ersion)?\.? ?)?3)? | agpl-3.0(?:-only|-or-later|\+)? | gnu\.org/licenses/agpl | affero
 gfdl | (?:gnu )?free documentation licen[cs]e | gfdl-1\.[1-3](?:-only|-or-later)? | gnu\.org/(?:copyleft|licenses)/fdl | free documentation
 bsd-2-clause | (?:simplified|freebsd|2-clause|two-clause) bsd licen[cs]e|bsd[ -](?:2-clause|two-clause)(?: licen[cs]e)? | bsd-2-clause | opensource\.org/licenses?/bsd-2-clause | bsd
 bsd-3-clause | (?:new|revised|modified|3-clause|three-clause) bsd licen[cs]e|bsd[ -](?:3-clause|three-clause)(?: licen[cs]e)? | bsd-3-clause | opensource\.org/licenses?/bsd-3-clause | bsd
@@ -50,15 +50,15 @@ bsd | bsd(?:-style)? licen[cs]e | bsd | opensource\.org/licenses?/bsd-license |
 isc | isc licen[cs]e | isc | opensource\.org/licenses?/isc\b | isc
 zlib | zlib(?:/libpng)? licen[cs]e | zlib | opensource\.org/licenses?/zlib | zlib
 libpng | (?:lib)?png (?:reference library )?licen[cs]e | libpng(?:-2\.0)? | libpng\.org/pub/png/src/libpng-license | png
-mpl-1.1 | mozilla public licen[cs]e,? v(?:ersion)?\.? ?1\.1 | mpl-1.1 | mozilla\.org/mpl/(?:mpl-)?1\.1 | mozilla
-mpl-2.0 | mozilla public licen[cs]e,? v(?:ersion)?\.? ?2\.0 | mpl-2.0 | mozilla\.org/(?:en-us/)?mpl/2\.0 | mozilla
+mpl-1.1 | mozilla public licen[cs]e,? ?(?:v(?:ersion)?\.? ?)?1\.1 | mpl-1.1 | mozilla\.org/mpl/(?:mpl-)?1\.1 | mozilla
+mpl-2.0 | mozilla public licen[cs]e,? ?(?:v(?:ersion)?\.? ?)?2\.0 | mpl-2.0 | mozilla\.org/(?:en-us/)?mpl/2\.0 | mozilla
 mpl | mozilla public licen[cs]e | mpl | mozilla\.org/mpl/?(?![\w/]) | mozilla
-epl-1.0 | eclipse public licen[cs]e,?(?: -)? v(?:ersion)? ?1\.0 | epl-1.0 | eclipse\.org/legal/epl-v10 | eclipse
-epl-2.0 | eclipse public licen[cs]e,?(?: -)? v(?:ersion)? ?2\.0 | epl-2.0 | eclipse\.org/legal/epl-(?:2\.0|v20) | eclipse
+epl-1.0 | eclipse public licen[cs]e,?(?: -)? ?(?:v(?:ersion)?\.? ?)?1\.0 | epl-1.0 | eclipse\.org/legal/epl-v10 | eclipse
+epl-2.0 | eclipse public licen[cs]e,?(?: -)? ?(?:v(?:ersion)?\.? ?)?2\.0 | epl-2.0 | eclipse\.org/legal/epl-(?:2\.0|v20) | eclipse
 epl | eclipse public licen[cs]e | epl | eclipse\.org/legal/?(?!\w) | eclipse
 edl-1.0 | eclipse distribution licen[cs]e | edl-1.0 | eclipse\.org/org/documents/edl | eclipse
-cddl-1.0 | common development and distribution licen[cs]e(?:,? v(?:ersion)? ?1\.0)? | cddl-1\.[01] | opensource\.org/licenses?/cddl | common development
-cpl-1.0 | common public licen[cs]e(?:,? v(?:ersion)? ?1\.0)? | cpl-1.0 | opensource\.org/licenses?/cpl | common public
+cddl-1.0 | common development and distribution licen[cs]e(?:,? ?(?:v(?:ersion)?\.? ?)?1\.0)? | cddl-1\.[01] | opensource\.org/licenses?/cddl | common development
+cpl-1.0 | common public licen[cs]e(?:,? ?(?:v(?:ersion)?\.? ?)?1\.0)? | cpl-1.0 | opensource\.org/licenses?/cpl | common public
 ipl-1.0 | ibm public licen[cs]e | ipl-1.0 | opensource\.org/licenses?/ibmpl | ibm public
 eupl | european union public licen[cs]e | eupl-1\.[0-2] | joinup\.ec\.europa\.eu/[\w/.-]*eupl | european union
 cecill | cecill(?:-[abc])? (?:free software )?licen[cs]e(?: agreement)? | cecill-(?:1\.[01]|2\.[01]|b|c) | cecill\.info/licences | cecill

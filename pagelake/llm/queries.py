@@ -110,4 +110,36 @@ QUERIES = {
     "op10_sumsq_packing": op10_sumsq_packing,
 }
 
-ORACLES: dict[str, str] = {}
+# ---------------------------------------------------------------- DuckDB oracles
+# The tokenizers, XXH64 and the trained models cannot be said in SQL: operators 1, 4 to 8 and 10 are tested
+# against brute-force versions in tests/llm instead.
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op2_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages),
+-- base32 of the 160 bits: 32 digits of five bits each, cut from eight hexadecimal digits at a time
+d AS (SELECT *, list_transform(range(0, 4), lambda i: ('0x' || substr(h, 10 * i + 1, 10))::BIGINT) AS quarters FROM p)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((quarters[(k // 8 + 1)::INT] >> (5 * (7 - k % 8))::INT) & 31) + 1)::INT, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d""",
+    "op3_winnow": f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+wins AS (SELECT DISTINCT item_id, least(13, len(w)) AS n, unnest(list_transform(range(1, len(w) - least(13, len(w)) + 2), lambda k: array_to_string(w[k:k + least(13, len(w)) - 1], ' '))) AS s
+  FROM items WHERE len(w) > 0),
+spots AS (SELECT doc_id, n, unnest(range(1, greatest(1, (len(w) - n + 2))::BIGINT)) AS k, w FROM docs, (SELECT DISTINCT n FROM wins)),
+hits AS (SELECT doc_id, item_id, spots.n, k FROM spots JOIN wins ON spots.n = wins.n AND array_to_string(w[k:k + spots.n - 1], ' ') = wins.s),
+cover AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS i FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS list FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM docs d LEFT JOIN cover USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op9_cuckoo_dedup": """
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(x) AS text_sha256
+FROM t WINDOW g AS (PARTITION BY x)""",
+}
