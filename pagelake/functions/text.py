@@ -15,7 +15,6 @@ JS_WS_RUN = "[" + JS_WS_CLASS + "]+"
 
 # Output caps (characters).
 MAX_TEXT_LEN = 5000
-MAX_PAGE_TEXT_LEN = 20000
 SNIPPET_LEN = 300
 ELLIPSIS = "…"
 
@@ -29,9 +28,11 @@ def normalize_text(x) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(_c(x), F.lit("")), JS_WS_RUN, " "))
 
 
-def truncate(x, max_len: int = MAX_TEXT_LEN) -> Column:
-    """at most ``max_len`` chars; longer text keeps ``max_len-1`` chars + '…'."""
+def truncate(x, max_len: int | None = MAX_TEXT_LEN) -> Column:
+    """at most ``max_len`` chars; longer text keeps ``max_len-1`` chars + '…'; None keeps all."""
     x = _c(x)
+    if max_len is None:
+        return x
     return F.when(F.length(x) > max_len, F.concat(F.substring(x, 1, max_len - 1), F.lit(ELLIPSIS))).otherwise(x)
 
 
@@ -100,7 +101,7 @@ def strip_answer_prefix(x) -> Column:
 # Redaction patterns and replacements, applied in this order.
 EMAIL_RE = r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}"
 EMAIL_REPLACEMENT = "user@example.test"
-TOKEN_RE = r"(?i)(sesskey|logintoken|authtoken)=([^&\"'<>]+)"
+TOKEN_RE = r"(?i)(sesskey|logintoken|authtoken)=([^&\"'<>" + JS_WS_CLASS + r"]+)"
 COOKIE_RE = r"(?i)(MoodleSession\w*|MOODLEID\w*)=([^;\"'" + JS_WS_CLASS + r"<>]+)"
 JSON_SESSKEY_RE = r"(?i)\"sesskey\"[" + JS_WS_CLASS + r"]*:[" + JS_WS_CLASS + r"]*\"[^\"]+\""
 JSON_WWWROOT_RE = r"(?i)\"wwwroot\"[" + JS_WS_CLASS + r"]*:[" + JS_WS_CLASS + r"]*\"([^\"]+)\""
@@ -136,13 +137,4 @@ def redact_text(x, site_root: str | None = None, site_path: str | None = None,
 
 def mask_sesskey(x) -> Column:
     """``sesskey=<value>`` in a URL becomes ``sesskey=REDACTED``."""
-    return F.regexp_replace(_c(x), "sesskey=[^&]+", "sesskey=REDACTED")
-
-
-def labelled_value(x, keys: list[str]) -> tuple[Column, Column]:
-    """``^(key)\\s*:?\\s*(.+)$`` case-insensitive -> (matched key, value)."""
-    alt = "|".join(keys)
-    pat = r"(?is)^(" + alt + r")\s*:?\s*(.+)$"
-    k = F.regexp_extract(_c(x), pat, 1)
-    v = F.regexp_extract(_c(x), pat, 2)
-    return F.nullif(k, F.lit("")), F.when(k != "", v)
+    return F.regexp_replace(_c(x), "sesskey=[^&" + JS_WS_CLASS + "]+", "sesskey=REDACTED")

@@ -59,7 +59,7 @@ _FRAGMENT_KEEP = r"[!#-;=?-_a-~]"      # minus space " < > `
 
 def remove_dot_segments(path) -> Column:
     """RFC 3986 dot-segment removal on an absolute path (``/a/./b/../c`` -> ``/a/c``)."""
-    segs = F.slice(F.split(_c(path), "/"), 2, 1 << 20)
+    segs = F.slice(F.split(_c(path), "/"), F.lit(2), F.size(F.split(_c(path), "/")))
     kept = F.aggregate(
         segs,
         F.array().cast("array<string>"),
@@ -158,7 +158,7 @@ def modtype_from_class(cls_attr) -> Column:
 def modtype_from_component(component) -> Column:
     """``mod_assign`` -> ``assign``; other non-empty values are kept."""
     c = F.coalesce(_c(component), F.lit(""))
-    return F.when(c.startswith("mod_"), F.substring(c, 5, 1 << 20)).when(c != "", c)
+    return F.when(c.startswith("mod_"), F.substr(c, F.lit(5))).when(c != "", c)
 
 
 def uri_decode(x) -> Column:
@@ -224,7 +224,7 @@ def file_url_verdict(url, base) -> Column:
     base_path = F.regexp_replace(url_path(b), "/+$", "")
     path = F.when(url_path(u) == "", F.lit("/")).otherwise(url_path(u))
     under = (base_path == "") | path.startswith(F.concat(base_path, F.lit("/")))
-    rel = F.when(base_path == "", path).otherwise(F.substring(path, F.length(base_path) + 1, 1 << 20))
+    rel = F.when(base_path == "", path).otherwise(F.substr(path, F.length(base_path) + 1))
     return (
         F.when(~parsable | u.isNull(), F.lit("invalid_url"))
         .when(url_protocol(u) != url_protocol(b), F.lit("protocol_mismatch"))
@@ -265,7 +265,7 @@ def normalize_headers(headers) -> Column:
     )
     last_wins = F.filter(
         entries,
-        lambda e, i: ~F.exists(F.slice(entries, i + 2, 1 << 20), lambda f: f["key"] == e["key"]),
+        lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda f: f["key"] == e["key"]),
     )
     return F.map_from_entries(last_wins)
 

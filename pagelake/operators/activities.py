@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dom as D
-from ..functions.text import normalize_text, truncate
 from ..functions.urls import absolute_url
 
 HEADING = D.tag("h1", "h2")
@@ -39,7 +38,7 @@ def extract_url(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFra
     nodes = F.col("nodes")
     status = F.col("status")
     location = F.col("headers")["location"]
-    redirect = status.between(300, 399) & location.isNotNull()
+    redirect = status.between(300, 399) & (F.coalesce(location, F.lit("")) != "")
     workaround = D.attr(D.first(D.select_within(nodes, D.cls("urlworkaround"), D.tag("a"))), "href")
     content_links = D.select_within(
         nodes, D.any_of([D.cls("box", "generalbox"), D.id_is("intro"), D.tag("main")]), D.tag("a")
@@ -49,7 +48,7 @@ def extract_url(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFra
         D.first(
             F.filter(
                 content_links,
-                lambda a: D.attr(a, "href").isNotNull()
+                lambda a: (F.coalesce(D.attr(a, "href"), F.lit("")) != "")
                 & ~F.contains(D.attr(a, "href"), F.lit("/mod/url/view.php"))
                 & ~F.contains(D.attr(a, "href"), F.lit("/login/"))
                 & ~D.attr(a, "href").startswith("/")
@@ -59,7 +58,7 @@ def extract_url(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFra
         "href",
     )
     found = F.coalesce(F.when(workaround != "", absolute_url(base, workaround)), candidate)
-    description = D.cascade_text(nodes, [D.cls("activity-description"), D.cls("box", "generalbox"), D.id_is("intro")], 2000)
+    description = D.cascade_text(nodes, [D.cls("activity-description"), D.cls("box", "generalbox"), D.id_is("intro")])
     external = F.when(redirect, location).when(_ok(), found)
     return df.select(
         *keep,

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions import dom as D
 from ..functions.dates import lms_date_unix, unix_guard, unix_to_iso, ymd_to_unix
-from ..functions.text import js_parse_int, normalize_text, truncate
+from ..functions.text import js_parse_int, normalize_text
 from ..functions.urls import absolute_url, cmid_from_url, course_id_from_url, modtype_from_component, modtype_from_href
 
 EVENT_FIELDS = ["title", "course_id", "course_name", "modtype", "event_type", "cmid", "event_id", "due_at",
@@ -93,13 +93,13 @@ def upcoming_items(nodes: Column, base: Column, tz: str) -> Column:
     mid = D.let(
         raw,
         href=lambda r: D.attr(r["a"], "href"),
-        title=lambda r: truncate(F.coalesce(r["name"], _ne(D.node_text(nodes, r["a"]))), 300),
+        title=lambda r: F.coalesce(r["name"], _ne(D.node_text(nodes, r["a"]))),
         ts=lambda r: _ts_from_string(r["ts_str"]),
         parsed=lambda r: F.floor(lms_date_unix(r["date_text"], tz)).cast("bigint"),
     )
     return F.transform(mid, lambda m: _event(
         title=m["title"], course_id=F.when(m["href"].isNotNull(), _nz(course_id_from_url(m["href"]))),
-        course_name=truncate(m["_"]["course"], 200), modtype=modtype_from_href(m["href"]),
+        course_name=m["_"]["course"], modtype=modtype_from_href(m["href"]),
         cmid=F.when(m["href"].isNotNull(), _nz(cmid_from_url(m["href"]))),
         due_unix=F.coalesce(m["ts"], m["parsed"]),
         due_text=F.when(m["ts"].isNull(), m["_"]["date_text"]),
@@ -147,8 +147,8 @@ def block_items(nodes: Column, base: Column) -> Column:
         unix_guard(ymd_to_unix(D.attr(m["_"]["day"], "data-year"), D.attr(m["_"]["day"], "data-month"),
                                D.attr(m["_"]["day"], "data-day")))))
     out = F.transform(due, lambda d: _event(
-        title=truncate(d["_"]["title"], 300), course_id=_course_from(D.attr(d["_"]["_"]["_"], "data-course-id"), d["_"]["href"]),
-        course_name=truncate(d["_"]["_"]["names"], 200),
+        title=d["_"]["title"], course_id=_course_from(D.attr(d["_"]["_"]["_"], "data-course-id"), d["_"]["href"]),
+        course_name=d["_"]["_"]["names"],
         modtype=modtype_from_component(D.attr(d["_"]["_"]["_"], "data-event-component")),
         event_type=D.attr(d["_"]["_"]["_"], "data-event-eventtype"),
         cmid=F.when(d["_"]["href"].isNotNull(), _nz(cmid_from_url(d["_"]["href"]))),
@@ -178,7 +178,7 @@ def calendar_block(nodes: Column, base: Column, tz: str) -> Column:
     mid = D.let(mid, at=lambda m: F.instr(m["li_text"], m["_"]["title"]))
     dated = D.let(mid, date_text=lambda m: _ne(normalize_text(F.when(
         m["at"] > 0, F.concat(F.substring(m["_"]["li_text"], 1, m["at"] - 1),
-                              F.substring(m["_"]["li_text"], m["at"] + F.length(m["_"]["_"]["title"]), 1 << 30))
+                              F.substr(m["_"]["li_text"], m["at"] + F.length(m["_"]["_"]["title"])))
     ).otherwise(m["_"]["li_text"]))))
     dated = D.let(dated, parsed=lambda d: F.floor(lms_date_unix(d["date_text"], tz)).cast("bigint"))
 
@@ -186,8 +186,8 @@ def calendar_block(nodes: Column, base: Column, tz: str) -> Column:
         r = d["_"]["_"]["_"]["_"]
         href = r["href"]
         return _event(
-            title=truncate(r["title"], 300), course_id=_nz(course_id_from_url(href)), modtype=modtype_from_href(href),
-            cmid=_nz(cmid_from_url(href)), due_unix=d["parsed"], due_text=truncate(d["_"]["date_text"], 200),
+            title=r["title"], course_id=_nz(course_id_from_url(href)), modtype=modtype_from_href(href),
+            cmid=_nz(cmid_from_url(href)), due_unix=d["parsed"], due_text=d["_"]["date_text"],
             url=absolute_url(base, href),
         )
 
@@ -239,8 +239,8 @@ def month_events(nodes: Column, base: Column) -> Column:
         m, r = d["_"], d["_"]["_"]
         li = r["li"]
         return _event(
-            title=truncate(r["title"], 300), course_id=_course_from(D.attr(li, "data-course-id"), m["href"]),
-            course_name=F.coalesce(m["li_course"], _ne(F.when(m["aria"].isNotNull(), truncate(normalize_text(m["aria"]), 200)))),
+            title=r["title"], course_id=_course_from(D.attr(li, "data-course-id"), m["href"]),
+            course_name=F.coalesce(m["li_course"], _ne(F.when(m["aria"].isNotNull(), normalize_text(m["aria"])))),
             modtype=modtype_from_component(D.attr(li, "data-event-component")),
             event_type=D.attr(li, "data-event-eventtype"), cmid=F.when(m["href"].isNotNull(), _nz(cmid_from_url(m["href"]))),
             event_id=_nz(js_parse_int(D.attr(li, "data-event-id"))), due_unix=d["due"],
@@ -293,9 +293,9 @@ def feed_events(body: Column, base: Column) -> Column:
         raw_url = F.coalesce(e["action"]["url"], e["url"])
         ts = F.when(e["timestart"] != 0, unix_guard(e["timestart"]))
         return _event(
-            title=truncate(_ne(e["name"]), 300), modtype=_ne(e["modulename"]), event_type=_ne(e["eventtype"]),
+            title=_ne(e["name"]), modtype=_ne(e["modulename"]), event_type=_ne(e["eventtype"]),
             event_id=_nz(e["id"]), due_unix=ts, course_id=_nz(e["course"]["id"]),
-            course_name=truncate(_ne(e["course"]["fullname"]), 200),
+            course_name=_ne(e["course"]["fullname"]),
             url=F.when(_ne(raw_url).isNotNull(), absolute_url(base, raw_url)),
             cmid=F.when(_ne(raw_url).isNotNull(), _nz(cmid_from_url(raw_url))),
         )

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions import dom as D
 from ..functions.dates import parse_lms_date
-from ..functions.text import JS_WS_CLASS, js_parse_int, normalize_text, truncate, truncate_snippet
+from ..functions.text import JS_WS_CLASS, js_parse_int, normalize_text, truncate_snippet
 from ..functions.urls import absolute_url
-from .rows import clamp_forum_limit
+from .rows import forum_limit
 
 WS = "[" + JS_WS_CLASS + "]"
 
@@ -156,7 +156,7 @@ def _discussion(nodes: Column, tr: Column) -> Column:
                           _raw_text(nodes, D.first(D.find(nodes, tr, D.tag("td") & D.cls("lastpost")))))
     spans = D.find(nodes, tr, D.tag("span"), within=D.tag("td"))
     replies = D.first(F.filter(F.transform(spans, lambda s: js_parse_int(_text(nodes, s))), lambda v: v.isNotNull()))
-    t = truncate(item_title, 300)
+    t = item_title
     return F.struct(
         js_parse_int(D.attr(tr, "data-discussionid")).alias("discussion_id"),
         F.when(t == "", F.lit("(ohne Titel)")).otherwise(t).alias("title"),
@@ -175,7 +175,7 @@ def _discussion_rows(nodes: Column) -> Column:
 def extract_forum(df: DataFrame, limit=10, offset: int = 0, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
     """E7 + W4 + A1: one row per forum page with the sliced discussions
     (``ARRAY<STRUCT>``), ``total_on_page``, ``has_more``, limit and offset."""
-    limit, offset = clamp_forum_limit(limit), max(0, int(offset))
+    limit, offset = forum_limit(limit), max(0, int(offset))
     nodes = _nodes()
     rows = _discussion_rows(nodes)
     staged = df.select(*keep, "base_url", "status", "cmid", "nodes", rows.alias("_rows"))
@@ -187,7 +187,7 @@ def extract_forum(df: DataFrame, limit=10, offset: int = 0, keep: tuple[str, ...
     return staged.select(
         *keep,
         F.when(ok & (title != ""), title).otherwise(F.concat(F.lit("Forum "), F.col("cmid").cast("string"))).alias("title"),
-        F.when(ok, F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")], 2000), F.lit(""))).alias("description"),
+        F.when(ok, F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit(""))).alias("description"),
         F.when(ok, discussions).otherwise(F.array()).alias("discussions"),
         F.when(ok, total).otherwise(F.lit(0)).cast("bigint").alias("total_on_page"),
         F.when(ok, (offset + F.size(sliced)) < total).otherwise(F.lit(False)).alias("has_more"),
@@ -215,21 +215,21 @@ def header_lines(nodes: Column) -> Column:
     return F.transform(divs, lambda d: _text(nodes, d))
 
 
-def last_labelled(lines: Column, pattern: str, key_prefixes: tuple[str, ...]) -> Column:
-    """W2 inside a page: the value of the last line whose label starts with one of
-    ``key_prefixes`` (labels matched case-insensitively by ``pattern``)."""
-    def key(l):
-        return F.lower(F.regexp_extract(l, pattern, 1))
+def labelled_lines(lines: Column, pattern: str) -> Column:
+    """(label in lower case, value) of every line that ``pattern`` matches, in order; stage it before use."""
+    pairs = F.transform(lines, lambda l: F.struct(F.lower(F.regexp_extract(l, pattern, 1)).alias("k"), F.trim(F.regexp_extract(l, pattern, 2)).alias("v")))
+    return F.filter(pairs, lambda p: p["k"] != "")
 
-    def is_key(l):
-        k = key(l)
+
+def last_labelled(pairs: Column, key_prefixes: tuple[str, ...]) -> Column:
+    """W2 inside a page: the value of the last labelled line whose label starts with one of ``key_prefixes``."""
+    def is_key(p):
         cond = F.lit(False)
-        for p in key_prefixes:
-            cond = cond | k.startswith(p)
-        return l.rlike(pattern) & cond
+        for x in key_prefixes:
+            cond = cond | p["k"].startswith(x)
+        return cond
 
-    hit = D.last(F.filter(lines, is_key))
-    return F.trim(F.regexp_extract(hit, pattern, 2))
+    return D.last(F.filter(pairs, is_key))["v"]
 
 
 # ------------------------------------------------------------------ E8
@@ -260,31 +260,32 @@ def extract_assign(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Data
     fixed label map (last row wins, values ≤ 500), description; degraded iff
     nothing was found."""
     nodes = _nodes()
-    staged = df.select(*keep, "status", "cmid", "nodes", header_lines(nodes).alias("_lines"),
-                       _table_rows(nodes, D.cls("submissionstatustable") | D.cls("submissionsummarytable")).alias("_rows"))
-    lines = F.col("_lines")
-    rows = F.filter(F.col("_rows"), lambda r: (r["label"] != "") & (r["value"] != ""))
-    fields = {}
-    for label, name in ASSIGN_LABELS.items():
-        fields[name] = truncate(D.last(F.filter(rows, lambda r: r["label"] == label))["value"], 500)
-    desc = D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")], 2000)
+    lines = df.select(*keep, "status", "cmid", "nodes", header_lines(nodes).alias("_lines"),
+                      _table_rows(nodes, D.cls("submissionstatustable") | D.cls("submissionsummarytable")).alias("_rows"))
+    staged = lines.select(
+        *keep, "status", "cmid", "nodes", labelled_lines(F.col("_lines"), ASSIGN_DATE_RE).alias("_kv"),
+        F.filter("_rows", lambda r: (r["label"] != "") & (r["value"] != "")).alias("_rows"),
+        D.first_text(nodes, D.tag("h1", "h2")).alias("_h"),
+    )
+    kv = F.col("_kv")
+
+    def last_value(label: str) -> Column:
+        return D.last(F.filter(F.col("_rows"), lambda r: r["label"] == label))["value"]
+
     cols = {
-        "description": F.nullif(desc, F.lit("")),
-        "deadline": F.nullif(last_labelled(lines, ASSIGN_DATE_RE, ("due", "fäll")), F.lit("")),
-        "opens": F.nullif(last_labelled(lines, ASSIGN_DATE_RE, ("open",)), F.lit("")),
-        "closes": F.nullif(last_labelled(lines, ASSIGN_DATE_RE, ("close",)), F.lit("")),
-        **fields,
+        "description": F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit("")),
+        "deadline": F.nullif(last_labelled(kv, ("due", "fäll")), F.lit("")),
+        "opens": F.nullif(last_labelled(kv, ("open",)), F.lit("")),
+        "closes": F.nullif(last_labelled(kv, ("close",)), F.lit("")),
+        **{name: last_value(label) for label, name in ASSIGN_LABELS.items()},
     }
     ok = _ok()
-    anything = F.lit(False)
-    for c in cols.values():
-        anything = anything | c.isNotNull()
-    title = D.first_text(nodes, D.tag("h1", "h2"))
-    return staged.select(
+    found = staged.select(*keep, "status", "cmid", "_h", *[F.when(ok, c).alias(k) for k, c in cols.items()])
+    return found.select(
         *keep,
-        F.when(ok & (title != ""), title).otherwise(F.concat(F.lit("Assignment "), F.col("cmid").cast("string"))).alias("title"),
-        *[F.when(ok, c).alias(k) for k, c in cols.items()],
-        (~ok | ~anything).alias("parser_degraded"),
+        F.when(ok & (F.col("_h") != ""), F.col("_h")).otherwise(F.concat(F.lit("Assignment "), F.col("cmid").cast("string"))).alias("title"),
+        *cols,
+        (~ok | (F.coalesce(*[F.col(k) for k in cols]).isNull())).alias("parser_degraded"),
     )
 
 
@@ -297,7 +298,6 @@ GRADE_RE = r"(?i)^(?:Your" + WS + r"+)?(?:final" + WS + r"+)?grade" + WS + r"*:"
 STATE_RE = r"(?i)^(finished|in progress|abgeschlossen|in bearbeitung|never submitted|überprüfen)"
 MARKS_RE = r"^\d[\d.,/" + JS_WS_CLASS + r"]+$"
 PERCENT_RE = r"^\d[\d.,]+" + WS + r"*%$"
-MAX_ATTEMPTS_SHOWN = 10
 
 
 def _attempt_rows(nodes: Column) -> Column:
@@ -343,7 +343,7 @@ def quizinfo_texts(nodes: Column) -> Column:
     return F.transform(D.select_within(nodes, D.cls("quizinfo"), D.tag("p", "li", "div")), lambda e: _text(nodes, e))
 
 
-def _last_info(texts: Column, pattern: str, cap: int) -> Column:
+def _last_info(texts: Column, pattern: str) -> Column:
     # an element is consumed by the first rule it matches (grading, then attempts, then grade)
     order = [GRADING_RE, ALLOWED_RE, GRADE_RE]
     earlier = order[: order.index(pattern)]
@@ -355,11 +355,12 @@ def _last_info(texts: Column, pattern: str, cap: int) -> Column:
         return cond
 
     hit = D.last(F.filter(texts, takes))
-    return F.nullif(truncate(F.trim(F.regexp_extract(hit, pattern, 1)), cap), F.lit(""))
+    return F.nullif(F.trim(F.regexp_extract(hit, pattern, 1)), F.lit(""))
 
 
-def extract_quiz(df: DataFrame, *, as_of: float, tz: str = "Europe/Berlin", keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
-    """E9 + E9b + A4 + P7: dates, quiz info, attempts (first 10 kept, all counted),
+def extract_quiz(df: DataFrame, *, as_of: float, tz: str = "Europe/Berlin", keep: tuple[str, ...] = ("page_key",),
+                 max_attempts: int | None = None) -> DataFrame:
+    """E9 + E9b + A4 + P7: dates, quiz info, attempts (all, or the first ``max_attempts``; all counted),
     remaining attempts, and the status at ``as_of`` (explicit unix seconds)."""
     nodes = _nodes()
     base = F.col("base_url")
@@ -369,21 +370,21 @@ def extract_quiz(df: DataFrame, *, as_of: float, tz: str = "Europe/Berlin", keep
         F.transform(_attempt_rows(nodes), lambda tr: _attempt_cells(nodes, tr)).alias("_cells"),
     )
     staged = cells.select(
-        *keep, "status", "cmid", "base_url", "nodes", "_lines", "_info",
+        *keep, "status", "cmid", "base_url", "nodes", labelled_lines(F.col("_lines"), QUIZ_DATE_RE).alias("_kv"), "_info",
         F.filter(F.transform("_cells", lambda cs: _attempt(base, cs)),
                  lambda a: (a["_cells"] >= 2) & a["attempt_number"].isNotNull()).alias("_att"),
     )
-    lines = F.col("_lines")
+    kv = F.col("_kv")
     # stage 1: the located values (each is referenced several times below)
     found = staged.select(
         *keep, "status", "cmid",
         F.transform(F.col("_att"), lambda a: a.dropFields("_cells")).alias("att"),
-        F.nullif(last_labelled(lines, QUIZ_DATE_RE, ("open", "geöff", "öffn")), F.lit("")).alias("opens"),
-        F.nullif(last_labelled(lines, QUIZ_DATE_RE, ("close", "schließ")), F.lit("")).alias("closes"),
-        _last_info(F.col("_info"), ALLOWED_RE, 100).alias("allowed"),
-        _last_info(F.col("_info"), GRADING_RE, 200).alias("grading"),
-        _last_info(F.col("_info"), GRADE_RE, 100).alias("overall"),
-        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")], 2000), F.lit("")).alias("desc"),
+        F.nullif(last_labelled(kv, ("open", "geöff", "öffn")), F.lit("")).alias("opens"),
+        F.nullif(last_labelled(kv, ("close", "schließ")), F.lit("")).alias("closes"),
+        _last_info(F.col("_info"), ALLOWED_RE).alias("allowed"),
+        _last_info(F.col("_info"), GRADING_RE).alias("grading"),
+        _last_info(F.col("_info"), GRADE_RE).alias("overall"),
+        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit("")).alias("desc"),
         D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
     )
     # stage 2: derived numbers
@@ -418,7 +419,7 @@ def extract_quiz(df: DataFrame, *, as_of: float, tz: str = "Europe/Berlin", keep
         F.when(ok, c("grading")).alias("grading_method"),
         F.when(ok, c("allowed")).alias("attempts_allowed"),
         F.when(ok, c("overall")).alias("overall_grade"),
-        F.when(ok, F.slice("att", 1, MAX_ATTEMPTS_SHOWN)).otherwise(F.array()).alias("attempts"),
+        F.when(ok, F.col("att") if max_attempts is None else F.slice("att", 1, max_attempts)).otherwise(F.array()).alias("attempts"),
         F.when(ok, used).otherwise(F.lit(0)).cast("bigint").alias("attempts_used"),
         F.when(ok, remaining).cast("bigint").alias("attempts_remaining"),
         F.when(ok, status).otherwise(F.lit("unknown")).alias("quiz_status"),
@@ -428,9 +429,6 @@ def extract_quiz(df: DataFrame, *, as_of: float, tz: str = "Europe/Berlin", keep
 
 # ------------------------------------------------------------------ E2
 
-MAX_ACTIVITY_NAME_LEN = 200
-
-
 def extract_course_activities(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
     """Sections ``li.course-section`` with a ``ul[data-for=cmlist]``; items
     ``li[data-for=cmitem]`` with an id and a modtype other than ``label``; name from
@@ -457,7 +455,7 @@ def extract_course_activities(df: DataFrame, keep: tuple[str, ...] = ("page_key"
                 F.nullif(D.attr(D.first(D.find(nodes, li, D.tag("a") & D.cls("aalink"))), "href"), F.lit("")),
                 F.nullif(D.attr(D.first(D.find(nodes, li, D.tag("a") & D.cls("stretched-link"))), "href"), F.lit("")))
             synth = F.concat(F.lit("/mod/"), r["mt"], F.lit("/view.php?id="), r["cmid"].cast("string"))
-            return F.struct(r["cmid"].alias("cmid"), truncate(name, MAX_ACTIVITY_NAME_LEN).alias("name"),
+            return F.struct(r["cmid"].alias("cmid"), name.alias("name"),
                             r["mt"].alias("modtype"), absolute_url(base, F.coalesce(link, synth)).alias("url"))
 
         return F.when(cmlist.isNotNull(), F.transform(raw, act)).otherwise(F.array())
@@ -505,7 +503,7 @@ def extract_folder(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Data
         name = F.coalesce(F.nullif(normalize_text(raw), F.lit("")), F.coalesce(uri_decode(seg), seg))
         holder = D.closest(nodes, a, D.tag("li", "tr"))
         size = _text(nodes, D.first(D.find(nodes, holder, D.cls("fp-size") | D.cls("filesize"))))
-        return F.struct(truncate(name, 300).alias("name"), absolute_url(base, href).alias("download_url"),
+        return F.struct(name.alias("name"), absolute_url(base, href).alias("download_url"),
                         F.nullif(size, F.lit("")).alias("size"))
 
     out = staged.select(*keep, F.posexplode(F.transform(chosen, entry)).alias("pos", "e"))
@@ -542,7 +540,7 @@ def extract_choice_options(df: DataFrame, keep: tuple[str, ...] = ("page_key",))
                                _raw_text(nodes, D.first(D.find(nodes, D.closest(nodes, el, D.tag("div")), D.tag("label")))))
         i_label = F.when(i_id.isNotNull(), by_for).otherwise(normalize_text(enclosing))
         return F.struct(
-            truncate(F.when(is_input, i_label).otherwise(w_label), 300).alias("label"),
+            F.when(is_input, i_label).otherwise(w_label).alias("label"),
             F.when(is_input, F.lit(None).cast("bigint")).otherwise(votes).alias("votes"),
             F.when(is_input, D.attr(el, "checked").isNotNull()).otherwise(inner_checked).alias("selected"),
         )
@@ -572,9 +570,9 @@ def extract_feedback(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Da
     found = staged.select(
         *keep, "status", "cmid",
         D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
-        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")], 2000), F.lit("")).alias("description"),
-        F.nullif(last_labelled(F.col("_lines"), FEEDBACK_DATE_RE, ("open",)), F.lit("")).alias("opens"),
-        F.nullif(last_labelled(F.col("_lines"), FEEDBACK_DATE_RE, ("close",)), F.lit("")).alias("closes"),
+        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit("")).alias("description"),
+        F.nullif(last_labelled(labelled_lines(F.col("_lines"), FEEDBACK_DATE_RE), ("open",)), F.lit("")).alias("opens"),
+        F.nullif(last_labelled(labelled_lines(F.col("_lines"), FEEDBACK_DATE_RE), ("close",)), F.lit("")).alias("closes"),
         F.when(body_text.rlike(ALREADY_RE), F.lit(True)).alias("already_submitted"),
         D.last(counts).try_cast("bigint").alias("submission_count"),
     )
@@ -611,11 +609,11 @@ def extract_lesson(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Data
     found = staged.select(
         *keep, "status", "cmid",
         D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
-        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")], 2000), F.lit("")).alias("description"),
-        F.nullif(last_labelled(F.col("_lines"), LESSON_DATE_RE, ("open", "avail")), F.lit("")).alias("opens"),
-        F.nullif(last_labelled(F.col("_lines"), LESSON_DATE_RE, ("close", "dead")), F.lit("")).alias("closes"),
+        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit("")).alias("description"),
+        F.nullif(last_labelled(labelled_lines(F.col("_lines"), LESSON_DATE_RE), ("open", "avail")), F.lit("")).alias("opens"),
+        F.nullif(last_labelled(labelled_lines(F.col("_lines"), LESSON_DATE_RE), ("close", "dead")), F.lit("")).alias("closes"),
         F.regexp_extract(attempts, LESSON_ATTEMPTS_RE, 1).try_cast("bigint").alias("attempts_used"),
-        F.nullif(truncate(F.trim(F.regexp_extract(score, LESSON_SCORE_RE, 1)), 100), F.lit("")).alias("best_score"),
+        F.nullif(F.trim(F.regexp_extract(score, LESSON_SCORE_RE, 1)), F.lit("")).alias("best_score"),
     )
     ok = _ok()
     c = F.col
@@ -633,7 +631,7 @@ def extract_lesson(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Data
 
 # ------------------------------------------------------------------ E13
 
-WORKSHOP_DATE_RE = r"(?i)^(Due|Open(?:s|ed)?|Close(?:s|d)?|Fällig)" + WS + r"*:?" + WS + r"*(.+)$"
+WORKSHOP_DATE_RE = r"(?i)^(Due|Open(?:s|ed)?|Close(?:s|d)?|Fälligkeit|Fällig)" + WS + r"*:?" + WS + r"*(.+)$"
 
 
 def _phase_text(nodes: Column, state: str, inner: D.Sel, extra: D.Sel) -> Column:
@@ -659,13 +657,13 @@ def extract_workshop(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Da
     found = staged.select(
         *keep, "status", "cmid",
         D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
-        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")], 2000), F.lit("")).alias("description"),
-        F.nullif(last_labelled(F.col("_lines"), WORKSHOP_DATE_RE, ("open",)), F.lit("")).alias("opens"),
-        F.nullif(last_labelled(F.col("_lines"), WORKSHOP_DATE_RE, ("close", "fäll", "due")), F.lit("")).alias("closes"),
-        truncate(F.coalesce(F.nullif(active, F.lit("")), F.nullif(current, F.lit(""))), 200).alias("current_phase"),
-        truncate(D.last(F.filter(r, lambda x: F.contains(x["label"], F.lit("submission")) | F.contains(x["label"], F.lit("abgabe"))))["value"], 300)
+        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit("")).alias("description"),
+        F.nullif(last_labelled(labelled_lines(F.col("_lines"), WORKSHOP_DATE_RE), ("open",)), F.lit("")).alias("opens"),
+        F.nullif(last_labelled(labelled_lines(F.col("_lines"), WORKSHOP_DATE_RE), ("close", "fäll", "due")), F.lit("")).alias("closes"),
+        F.coalesce(F.nullif(active, F.lit("")), F.nullif(current, F.lit(""))).alias("current_phase"),
+        D.last(F.filter(r, lambda x: F.contains(x["label"], F.lit("submission")) | F.contains(x["label"], F.lit("abgabe"))))["value"]
         .alias("submission_status"),
-        truncate(D.last(F.filter(r, lambda x: F.contains(x["label"], F.lit("grade")) | F.contains(x["label"], F.lit("note"))))["value"], 100)
+        D.last(F.filter(r, lambda x: F.contains(x["label"], F.lit("grade")) | F.contains(x["label"], F.lit("note"))))["value"]
         .alias("grade"),
     )
     ok = _ok()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dom as D
-from ..functions.text import MAX_PAGE_TEXT_LEN, MAX_TEXT_LEN, normalize_text, truncate
+from ..functions.text import truncate
 from ..functions.urls import url_path
 
 HEADING = D.tag("h1", "h2")
@@ -31,11 +31,11 @@ def request_path(url: Column) -> Column:
     return F.concat(F.when(p == "", F.lit("/")).otherwise(p), q)
 
 
-def clean_page(df: DataFrame, path: Column | None = None, max_len: int = MAX_PAGE_TEXT_LEN,
+def clean_page(df: DataFrame, path: Column | None = None, max_len: int | None = None,
                keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
     """Remove chrome, then title = first h1/h2 (default: the request path),
     text = first of ``#region-main, [role=main], main, body`` in *document order*
-    (a comma union, so ``body`` wins), truncated; ``length`` before truncation.
+    (a comma union, so ``body`` wins), truncated to ``max_len`` if given; ``length`` before truncation.
 
     Staged in three projections so the located nodes and the text are computed
     once per page (each is referenced several times downstream).
@@ -65,7 +65,7 @@ def clean_page(df: DataFrame, path: Column | None = None, max_len: int = MAX_PAG
     )
 
 
-def fallback_columns(nodes: Column, label: Column) -> dict[str, Column]:
+def fallback_columns(nodes: Column, label: Column, max_len: int | None = None) -> dict[str, Column]:
     """E17 as columns: title first (chrome still present), then chrome removed and
     the candidates tried *one after another* (``#region-main`` wins over ``body``)."""
     title = D.first_text(nodes, HEADING)
@@ -73,16 +73,17 @@ def fallback_columns(nodes: Column, label: Column) -> dict[str, Column]:
     raw = D.cascade_text(nodes, MAIN_CANDIDATES, skip_chrome=True)
     return {
         "title": F.when(ok & (title != ""), title).otherwise(label),
-        "raw_text": F.when(ok, truncate(raw, MAX_TEXT_LEN)).otherwise(F.lit("")),
+        "raw_text": F.when(ok, truncate(raw, max_len)).otherwise(F.lit("")),
         "parser_degraded": F.lit(True),
     }
 
 
-def fallback_text(df: DataFrame, nodes: Column | None = None, label: Column | None = None) -> DataFrame:
+def fallback_text(df: DataFrame, nodes: Column | None = None, label: Column | None = None,
+                  max_len: int | None = None) -> DataFrame:
     """Always degraded."""
     nodes = F.col("nodes") if nodes is None else nodes
     label = F.concat_ws(" ", F.col("modtype"), F.col("cmid").cast("string")) if label is None else label
-    return df.select("page_key", *[c.alias(k) for k, c in fallback_columns(nodes, label).items()])
+    return df.select("page_key", *[c.alias(k) for k, c in fallback_columns(nodes, label, max_len).items()])
 
 
 def _first_in(nodes: Column, cand) -> Column:
@@ -91,8 +92,8 @@ def _first_in(nodes: Column, cand) -> Column:
     return D.first(F.filter(nodes, cand[1]))
 
 
-def page_text_columns(nodes: Column) -> dict[str, Column]:
-    """E6 as columns: first non-empty of five containers, ≤ 5000; degraded iff empty."""
+def page_text_columns(nodes: Column, max_len: int | None = None) -> dict[str, Column]:
+    """E6 as columns: first non-empty of five containers; degraded iff empty."""
     parts = [F.nullif(D.node_text(nodes, _first_in(nodes, c)), F.lit("")) for c in PAGE_CANDIDATES]
     text = F.coalesce(*parts, F.lit(""))
     title = D.first_text(nodes, HEADING)
@@ -100,12 +101,12 @@ def page_text_columns(nodes: Column) -> dict[str, Column]:
     label = F.concat(F.lit("Page "), F.col("cmid").cast("string"))
     return {
         "title": F.when(ok & (title != ""), title).otherwise(label),
-        "text": F.when(ok, truncate(text, MAX_TEXT_LEN)).otherwise(F.lit("")),
+        "text": F.when(ok, truncate(text, max_len)).otherwise(F.lit("")),
         "parser_degraded": ~ok | (text == ""),
     }
 
 
-def page_text(df: DataFrame, nodes: Column | None = None) -> DataFrame:
+def page_text(df: DataFrame, nodes: Column | None = None, max_len: int | None = None) -> DataFrame:
     """E6 over shredded responses."""
     nodes = F.col("nodes") if nodes is None else nodes
-    return df.select("page_key", *[c.alias(k) for k, c in page_text_columns(nodes).items()])
+    return df.select("page_key", *[c.alias(k) for k, c in page_text_columns(nodes, max_len).items()])

@@ -11,9 +11,10 @@ from ..functions import dom as D
 
 
 def fingerprint(df: DataFrame, container: D.Pred, select: D.Pred = D.ELEMENT,
-                value: Callable[[Column], Column] | None = None, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+                value: Callable[[Column], Column] | None = None, keep: tuple[str, ...] = ("page_key",),
+                full: bool = False) -> DataFrame:
     """Q3: values of the nodes matching ``select`` under every ``container``
-    match, sorted, as JSON -> SHA-1 -> first 8 hex characters.
+    match, sorted, as JSON -> SHA-1 -> first 8 hex characters (``full``: the whole hash too, as ``layout``).
 
     The reference form is ``container='<selector>'``, ``select=has_attr('data-region')``,
     ``value=attrs['data-region']``; any attribute or the tag name works the same way.
@@ -21,20 +22,23 @@ def fingerprint(df: DataFrame, container: D.Pred, select: D.Pred = D.ELEMENT,
     value = value or (lambda n: n["tag"])
     vals = F.array_sort(F.transform(D.select_within(F.col("nodes"), container, select), value))
     staged = df.select(*keep, vals.alias("_v"))
-    return staged.select(
+    hashed = staged.select(*keep, F.sha1(F.to_json(F.col("_v")).cast("binary")).alias("layout"), "_v")
+    return hashed.select(
         *keep,
-        F.substring(F.sha1(F.to_json(F.col("_v")).cast("binary")), 1, 8).alias("fingerprint"),
+        *(["layout"] if full else []),
+        F.substring("layout", 1, 8).alias("fingerprint"),
         F.size("_v").cast("bigint").alias("values_count"),
     )
 
 
 def layout_drift(fp: DataFrame, size_col: str = "html_len") -> DataFrame:
-    """Q4: pages per layout fingerprint with their size range (a drift report)."""
-    return fp.groupBy("fingerprint").agg(
+    """Q4: pages per layout (the whole hash; its prefix is shown) with their size range (a drift report)."""
+    return fp.groupBy("layout").agg(
+        F.first("fingerprint").alias("fingerprint"),
         F.count("*").alias("pages"),
         F.min(size_col).cast("bigint").alias(f"min_{size_col}"),
         F.max(size_col).cast("bigint").alias(f"max_{size_col}"),
-    )
+    ).drop("layout")
 
 
 def error_record(code: Column, parser: Column | None = None, selector: Column | None = None,
@@ -49,7 +53,7 @@ def error_record(code: Column, parser: Column | None = None, selector: Column |
             (selector if selector is not None else none).alias("selector"),
             (status if status is not None else F.lit(None).cast("int")).alias("status"),
             (path if path is not None else none).alias("path"),
-            F.substring(message if message is not None else none, 1, 200).alias("message"),
+            (message if message is not None else none).alias("message"),
         ),
     )
 

@@ -24,9 +24,9 @@ def last_per_key(df: DataFrame, keys: list[str], order: str, values: list[str])
 
 def page_slice(df: DataFrame, keys: list[str], order: list[str], limit: int = 10, offset: int = 0) -> DataFrame:
     """W4 on a table: rows ``offset+1 .. offset+limit`` per key in ``order``, with
-    ``total`` and ``has_more = offset + returned < total``.  Limits follow the
-    reference: non-positive -> 10, larger than 25 -> 25, floor; offset >= 0."""
-    limit, offset = clamp_forum_limit(limit), max(0, int(offset))
+    ``total`` and ``has_more = offset + returned < total``.  A limit that is no
+    positive number means 10, any other is honoured (floor); offset >= 0."""
+    limit, offset = forum_limit(limit), max(0, int(offset))
     w = Window.partitionBy(*keys).orderBy(*order)
     wk = Window.partitionBy(*keys)
     ranked = df.withColumn("_rn", F.row_number().over(w)).withColumn("total", F.count(F.lit(1)).over(wk))
@@ -35,15 +35,15 @@ def page_slice(df: DataFrame, keys: list[str], order: list[str], limit: int = 10
     return page.withColumn("has_more", (offset + returned) < F.col("total")).drop("_rn")
 
 
-def clamp_forum_limit(limit) -> int:
-    """Forum page size: non-positive or invalid -> 10, max 25, floor."""
+def forum_limit(limit) -> int:
+    """Forum page size: non-positive or invalid -> 10, else its floor."""
     try:
         v = float(limit)
     except (TypeError, ValueError):
         return 10
     if not v > 0:
         return 10
-    return int(min(v, 25.0) // 1)
+    return max(1, int(v // 1))
 
 
 def cap_per_group(df: DataFrame, keys: list[str], order: list[str], n: int = 10) -> DataFrame:
@@ -70,39 +70,32 @@ def alpha_label(idx: Column) -> Column:
     )
 
 
-def dense_index(df: DataFrame, order: str, name: str = "idx") -> DataFrame:
-    """0-based position of every row in ``order`` (values must be unique), computed
-    without a single-partition window: a range-partitioned sort, per-partition
-    counts (one row per partition), their running offsets, then local numbering.
-
-    The sorted frame is checkpointed (to the shared ``spark.checkpoint.dir``) so
-    both uses see identical partitions and an executor loss replays from there.
-    """
-    spark = df.sparkSession
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    s = df.repartitionByRange(order).sortWithinPartitions(order)
-    s = s.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()).checkpoint()
-    counts = s.groupBy("_pid").agg(F.count("*").alias("_n"), F.min("_mid").alias("_base"))
-    # one row per partition: a bounded side, so the running sum is cheap and safe to broadcast
-    offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    )
+def dense_index(df: DataFrame, order: str, tie: str, name: str = "idx", span: int = 1 << 16) -> DataFrame:
+    """0-based position of every row by (``order``, ``tie``), for an integral ``order`` column (null first).
+
+    Rows fall into buckets of ``span`` consecutive order values; a bucket's rows are numbered by themselves
+    and moved up by the number of rows in lower buckets, a running sum over one row per bucket.  All lazy:
+    nothing runs before the action, and no intermediate table is written."""
+    keyed = df.withColumn("_b", F.coalesce(F.floor(F.col(order).cast("bigint") / span), F.lit(-(1 << 62))))
+    counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    below = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_b").orderBy(F.col(order).asc_nulls_first(), tie)
     return (
-        s.join(F.broadcast(offsets.select("_pid", "_off", "_base")), "_pid")
-        .withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_base")).cast("bigint"))
-        .drop("_pid", "_mid", "_off", "_base")
+        keyed.withColumn("_rn", F.row_number().over(inside) - 1)
+        .join(offsets, "_b")
+        .withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint"))
+        .drop("_b", "_rn", "_off")
     )
 
 
 def pseudonymize(df: DataFrame, col: str, prefix: str, order: str, out: str = "pseudonym") -> DataFrame:
     """The n-th distinct value in first-seen order becomes ``'<prefix> A'``, ``B``, …
     (``AA`` after ``Z``).  First-seen = the smallest ``order`` of each value
-    (partial aggregate before the shuffle); the value -> label map is joined
+    (partial aggregate before the shuffle; equal positions rank by the value); the value -> label map is joined
     back with a plain join, so AQE broadcasts it only when it is small."""
     firsts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.min(order).alias("_first"))
-    labelled = dense_index(firsts, "_first", "_idx").select(
+    labelled = dense_index(firsts, "_first", col, "_idx").select(
         col, F.concat(F.lit(prefix + " "), alpha_label(F.col("_idx"))).alias(out)
     )
     return df.join(labelled, col, "left")

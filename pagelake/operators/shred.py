@@ -30,6 +30,7 @@ from __future__ import annotations
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -91,6 +92,19 @@ SPECIAL = frozenset(
 )
 CHROME_TAGS = frozenset("nav header footer script style noscript".split())
 TABLE_SECTIONS = frozenset(["tbody", "thead", "tfoot"])
+TABLE_BOUNDARY = frozenset(["html", "table", "template"])
+# End tags that are searched in a scope, with the elements that bound it.
+SCOPED_ENDS: dict[str, frozenset[str]] = {
+    **dict.fromkeys(
+        """address article aside blockquote button center details dialog dir div dl fieldset figcaption figure
+        footer form header hgroup listing main menu nav ol pre search section summary ul applet marquee object
+        dd dt h1 h2 h3 h4 h5 h6""".split(),
+        SCOPE_BOUNDARY,
+    ),
+    "li": SCOPE_BOUNDARY | {"ol", "ul"},
+    "p": SCOPE_BOUNDARY,
+    **dict.fromkeys("table caption tbody thead tfoot tr td th".split(), TABLE_BOUNDARY),
+}
 
 
 class _TreeBuilder(HTMLParser):
@@ -111,6 +125,7 @@ class _TreeBuilder(HTMLParser):
         self.html_idx = -1
         self.head_idx = -1
         self.body_idx = -1
+        self.error: str | None = None
 
     # -- node creation -------------------------------------------------
     def _new(self, tag: str, attrs, text=None, data=None) -> int:
@@ -282,6 +297,17 @@ class _TreeBuilder(HTMLParser):
             if self.head_idx >= 0 and self.head_idx in self.stack:
                 self._pop_until(self.head_idx)
             return
+        if tag in SCOPED_ENDS:
+            # open elements inside are closed with it, unless a scope boundary lies between
+            boundary = SCOPED_ENDS[tag]
+            for idx in reversed(self.stack):
+                t = self.tag[idx]
+                if t == tag or (tag in HEADINGS and t in HEADINGS):
+                    self._pop_until(idx)
+                    return
+                if t in boundary:
+                    return
+            return
         for idx in reversed(self.stack):
             t = self.tag[idx]
             if t == tag:
@@ -316,21 +342,38 @@ class _TreeBuilder(HTMLParser):
 
 
 def parse_html(html: str | None) -> _TreeBuilder:
-    """Parse one page; never raises (a broken page yields what was read)."""
+    """Parse one page; never raises: a broken page yields what was read and says so in ``error``."""
     tb = _TreeBuilder()
     if html:
         try:
             tb.feed(html)
             tb.close()
-        except Exception:  # malformed input must not fail the job
+        except Exception as e:  # one malformed page must not fail the job
+            tb.error = f"{type(e).__name__}: {e}"
             while tb.stack:
                 tb._pop()
     return tb
 
 
-def _nodes_array(htmls) -> pa.Array:
-    """Parse a batch of pages into one Arrow ``list<struct>`` column."""
+OUT_BYTES = 4 << 20
+
+
+def _spans(column) -> list[tuple[int, int]]:
+    """Row ranges of about ``OUT_BYTES`` of markup: one output batch each, so that a task never holds the
+    nodes of a whole input batch.  A page is never cut."""
+    out, lo, size = [], 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        if size and size + n > OUT_BYTES:
+            out.append((lo, i))
+            lo, size = i, 0
+        size += n
+    return [*out, (lo, len(column))] if len(column) else []
+
+
+def _nodes_array(htmls) -> tuple[pa.Array, pa.Array]:
+    """Parse pages into one Arrow ``list<struct>`` column and one of parse errors."""
     offsets = [0]
+    errors: list[str | None] = []
     cols: dict[str, list] = {k: [] for k in ("pre", "post", "parent", "depth", "tag", "chrome", "text", "data")}
     attr_offsets = [0]
     attr_keys: list[str] = []
@@ -339,6 +382,7 @@ def _nodes_array(htmls) -> pa.Array:
     cls_vals: list[str] = []
     for html in htmls:
         tb = parse_html(html)
+        errors.append(tb.error)
         n = len(tb.tag)
         cols["pre"].extend(range(n))
         cols["post"].extend(tb.post)
@@ -376,33 +420,33 @@ def _nodes_array(htmls) -> pa.Array:
         ],
         fields=list(_ARROW_NODE),
     )
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs), pa.array(errors, pa.string())
 
 
 def shred_html(df: DataFrame, html_col: str = "body", out_col: str = "nodes", keep_html: bool = True,
-               min_partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` (the node array) to every row of ``df``.
 
     Filter and project ``df`` *before* calling this: Catalyst cannot push
     predicates or column pruning through a Python stage.
 
-    Parsing is CPU-bound, so a batch input with fewer partitions than task
-    slots (one small file) is spread round-robin first.  A large input
-    already has far more splits than slots and is never reshuffled.
+    Rows stay in the partitions they have.  A caller whose input is one small
+    file may ask for ``partitions`` (a round-robin exchange of the pages).
+
+    ``parse_error`` tells why a page was read only in part; null for all others.
     """
-    if not df.isStreaming:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
+    if partitions is not None:
+        df = df.repartition(partitions)
     in_fields = [f for f in df.schema.fields if keep_html or f.name != html_col]
-    out_schema = T.StructType(in_fields + [T.StructField(out_col, NODES_TYPE, False)])
+    out_schema = T.StructType(in_fields + [T.StructField(out_col, NODES_TYPE, False), T.StructField("parse_error", T.StringType())])
     keep = [f.name for f in in_fields]
 
     def run(batches):
         for batch in batches:
-            htmls = batch.column(html_col).to_pylist()
-            arrays = [batch.column(name) for name in keep]
-            arrays.append(_nodes_array(htmls))
-            yield pa.RecordBatch.from_arrays(arrays, names=keep + [out_col])
+            for lo, hi in _spans(batch.column(html_col)):
+                part = batch.slice(lo, hi - lo)
+                nodes, errors = _nodes_array(part.column(html_col).to_pylist())
+                arrays = [*(part.column(name) for name in keep), nodes, errors]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, out_col, "parse_error"])
 
     return df.mapInArrow(run, out_schema)

@@ -14,18 +14,17 @@ from pyspark.sql import functions as F
 from ..functions.dates import lms_date_unix
 
 DEFAULT_WINDOW = 30
-MAX_WINDOW = 90
 
 
-def clamp_window(w) -> int:
-    """Window days: non-positive or invalid -> 30, floor, at most 90."""
+def window_of(w) -> int:
+    """Window days: non-positive or invalid -> 30, else its floor."""
     try:
         v = float(w)
     except (TypeError, ValueError):
         return DEFAULT_WINDOW
     if not v > 0 or v != v:
         return DEFAULT_WINDOW
-    return int(min(v // 1, MAX_WINDOW))
+    return int(v // 1)
 
 
 def event_due(df: DataFrame, tz: str = "Europe/Berlin") -> Column:
@@ -39,7 +38,7 @@ def event_due(df: DataFrame, tz: str = "Europe/Berlin") -> Column:
 def timeline(events: DataFrame, *, as_of: float, window_days=DEFAULT_WINDOW, course_id=None, event_type=None,
              modtypes=None, tz: str = "Europe/Berlin", sort: bool = True) -> DataFrame:
     """P1–P4 then O1.  ``as_of`` is explicit unix seconds (never the wall clock)."""
-    w = clamp_window(window_days)
+    w = window_of(window_days)
     ev = events
     if course_id is not None:
         ev = ev.where(F.col("course_id") == F.lit(course_id))
@@ -61,4 +60,4 @@ def top_due(events: DataFrame, n: int, tie: str = "event_id", tz: str = "Europe/
 
 def restrict_to(events: DataFrame, allowed: DataFrame, on: list[str]) -> DataFrame:
     """Keep events whose key is in ``allowed`` (left-semi join; no columns added)."""
-    return events.join(allowed.select(*on).distinct(), on, "left_semi")
+    return events.join(allowed.select(*on), on, "left_semi")

@@ -12,7 +12,6 @@ from ..functions.urls import cookie_names
 LOGIN_FORM_200 = r'(?i)<form[^>]+action="[^"]*/login/index\.php'
 LOGIN_FORM_FILE = r"(?i)<form[^>]+action=[\"'][^\"']*/login/index\.php"
 LOGIN_FORM_CAPTURE = r"(?i)<form[^>]+(?:id=[\"']login[\"']|action=[\"'][^\"']*/login/index\.php)"
-FILE_SNIFF_CHARS = 8192
 
 
 def status_class(status: Column) -> Column:
@@ -29,9 +28,9 @@ def is_login_redirect(status: Column, location: Column, body: Column) -> Column:
 
 
 def is_login_download(content_type: Column, body: Column) -> Column:
-    """P8 for files: an HTML response with the login form in its first 8192 characters."""
+    """P8 for files: an HTML response that holds the login form."""
     return F.coalesce(F.lower(content_type).startswith("text/html"), F.lit(False)) & F.coalesce(
-        F.substring(body, 1, FILE_SNIFF_CHARS).rlike(LOGIN_FORM_FILE), F.lit(False))
+        body.rlike(LOGIN_FORM_FILE), F.lit(False))
 
 
 def capture_report(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.shred import shred_html
 from ..sources import pages_as_responses, read_table
 
 
-def shredded_pages(spark: SparkSession, sf_dir: str, keep_html: bool = False) -> DataFrame:
-    """``pages`` as responses with their node arrays (page_id kept as BIGINT)."""
+def spread(spark: SparkSession, df: DataFrame) -> int | None:
+    """Partitions to ask of the shredder: as many as task slots where the input has fewer files than slots (a
+    small table in one file), none where the files already fill the slots.  Listing files runs no job."""
+    slots = spark.sparkContext.defaultParallelism
+    return slots if len(df.inputFiles()) < slots else None
+
+
+def shredded_pages(spark: SparkSession, sf_dir: str, keep_html: bool = False, body: Column | None = None) -> DataFrame:
+    """``pages`` as responses with their node arrays (page_id kept as BIGINT); ``body`` rewrites the markup first."""
     resp = pages_as_responses(read_table(spark, sf_dir, "pages")).select(
-        F.col("page_key").cast("bigint").alias("page_id"), "page_key", "url", "base_url", "status", "body",
+        F.col("page_key").cast("bigint").alias("page_id"), "page_key", "url", "base_url", "status",
+        (F.col("body") if body is None else body).alias("body"),
         F.length("body").cast("bigint").alias("html_len"),
     )
-    return shred_html(resp, keep_html=keep_html)
+    return shred_html(resp, keep_html=keep_html, partitions=spread(spark, resp))
 
 
 # SQL fragments shared by oracles (DuckDB dialect, RE2 regexes).

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from ..operators.lms import extract_assign, extract_courses, extract_forum, extract_quiz, forum_threads
 from ..operators.shred import shred_html
 from . import render as R
-from .common import sql_norm, sql_truncate
+from .common import spread, sql_norm
 
 B = R.BASE
 
 
 def _shred(df: DataFrame) -> DataFrame:
-    return shred_html(df.select("page_key", "base_url", "url", "status", "headers", "cmid", "modtype", "body"), keep_html=False)
+    cols = ["page_key", "base_url", "url", "status", "headers", "cmid", "modtype", "body"]
+    return shred_html(df.select(*cols), keep_html=False, partitions=spread(df.sparkSession, df))
 
 
 # ------------------------------------------------------------------ E1 / W1
@@ -48,7 +49,7 @@ SQL_FORUM_THREADS = f"""
 SELECT 'forum-' || bucket AS page_key,
        (row_number() OVER (PARTITION BY bucket ORDER BY conv_id) - 1)::BIGINT AS pos,
        conv_id AS discussion_id,
-       CASE WHEN t = '' THEN '(ohne Titel)' ELSE {sql_truncate('t', 300)} END AS title,
+       CASE WHEN t = '' THEN '(ohne Titel)' ELSE t END AS title,
        starter AS author, last_role AS last_post, replies::BIGINT AS replies,
        '{B}/mod/forum/discuss.php?d=' || conv_id AS url
 FROM ({_CONV})
@@ -132,7 +133,7 @@ FROM q
 
 
 def q_quiz_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E9b + W5: attempt rows (first 10 per quiz) with state, marks, grade and review link."""
+    """E9b + W5: attempt rows (all of a quiz) with state, marks, grade and review link."""
     q = _quiz(spark, sf_dir).select("page_key", F.posexplode("attempts").alias("pos", "a"))
     return q.select("page_key", F.col("pos").cast("bigint").alias("pos"), "a.*")
 
@@ -142,7 +143,7 @@ SELECT 'quiz-' || l_orderkey AS page_key, (rn - 1)::BIGINT AS pos, l_linenumber:
        CASE WHEN l_linestatus = 'O' THEN 'In progress' ELSE 'Finished' END AS state,
        l_quantity::INT || '.00/50.00' AS marks, (l_linenumber * 10) || '.00%' AS grade,
        '{B}/mod/quiz/review.php?attempt=' || (l_orderkey * 100 + l_linenumber) || '&cmid=' || l_orderkey AS review_url
-FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem) WHERE rn <= 10
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem)
 """
 
 
@@ -376,7 +377,7 @@ from ..operators.lms import extract_course_activities  # noqa: E402
 def q_course_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activities of every rendered course page (labels and empty sections dropped)."""
     pages = R.course_pages(spark, sf_dir)
-    sh = shred_html(pages.select("page_key", "base_url", "url", "status", "course_id", "body"), keep_html=False)
+    sh = shred_html(pages.select("page_key", "base_url", "url", "status", "course_id", "body"), keep_html=False, partitions=spread(spark, pages))
     return extract_course_activities(sh)
 
 
@@ -392,7 +393,7 @@ SELECT 'course-' || course AS page_key, 'Kurs ' || course AS course_name,
   CASE WHEN sec % 2 = 0 THEN 'Woche ' || sec ELSE 'Abschnitt ' || sec END AS section_name,
   (row_number() OVER (PARTITION BY course, sec ORDER BY p_partkey) - 1)::BIGINT AS pos,
   p_partkey AS cmid,
-  {sql_truncate("CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE " + sql_norm('p_name') + " END", 200)} AS name,
+  {"CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE " + sql_norm('p_name') + " END"} AS name,
   mt AS modtype,
   '{B}/mod/' || mt || '/view.php?id=' || p_partkey || CASE WHEN p_partkey % 3 = 0 THEN '&forceview=1' ELSE '' END AS url
 FROM a

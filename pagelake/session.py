@@ -1,9 +1,8 @@
-"""Session helpers: a local session for tests and bench, and the checkpoint folder."""
+"""Session helpers: a local session for tests and bench."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -28,26 +27,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only when the setting is absent (a local test session) is a folder of our
-    own chosen; on a cluster the configured, shared location is always used.
-    """
-    sc = spark.sparkContext
-    configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    path = tempfile.mkdtemp(prefix="pagelake-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir()
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

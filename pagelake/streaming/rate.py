@@ -7,7 +7,7 @@ The rule refers to its own earlier decisions, so a range-frame count is wrong.
 Batch form: one shuffle by key, a sort inside each partition, then a single
 ordered pass per partition (``mapInPandas``) whose state per key is at most
 ``max_calls`` timestamps — memory stays bounded however many rows a hot key has;
-nothing is collected per group.
+nothing is collected per group.  Requests with a null key count as one key.
 """
 
 from __future__ import annotations
@@ -22,13 +22,14 @@ from pyspark.sql import types as T
 
 
 def _admit(batches, key: str, ts: str, max_calls: int, window_ms: int):
-    cur_key = object()
+    cur_key: object = object()
     admitted: deque = deque()
     for pdf in batches:
         keys = pdf[key].tolist()
         times = pdf[ts].tolist()
         ok, retry = [], []
         for k, t in zip(keys, times):
+            k = None if pd.isna(k) else k  # null requests share one budget
             if k != cur_key:
                 cur_key, admitted = k, deque()
             while admitted and t - admitted[0] >= window_ms:

@@ -23,7 +23,7 @@ def shred_one(spark):
 
     def run(*htmls):
         df = spark.createDataFrame([(str(i), h) for i, h in enumerate(htmls)], "page_key string, body string")
-        rows = shred_html(df, keep_html=False, min_partitions=1).orderBy("page_key").collect()
+        rows = shred_html(df, keep_html=False, partitions=1).orderBy("page_key").collect()
         return [[n.asDict(recursive=True) for n in r.nodes] for r in rows]
 
     return run

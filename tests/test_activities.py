@@ -15,7 +15,7 @@ FEEDBACK = """<html><body><h2>Feedback zur Vorlesung</h2>
 def _pages(spark, *rows):
     df = spark.createDataFrame([(str(i), st, i, b) for i, (st, b) in enumerate(rows)],
                                "page_key string, status int, cmid long, body string")
-    return shred_html(df, keep_html=False, min_partitions=1)
+    return shred_html(df, keep_html=False, partitions=1)
 
 
 def test_feedback(spark):

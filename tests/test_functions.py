@@ -119,7 +119,7 @@ def test_dom_selectors(spark, shred_one):
 
     html = ('<body><div id="region-main"><h2>T</h2><ul><li class="a correct">x<li class="incorrect">y</ul>'
             '<label for="i1">L1</label><input id="i1"><label>L2 <input id="i2"></label></div></body>')
-    df = shred_html(spark.createDataFrame([("0", html)], "page_key string, body string"), keep_html=False, min_partitions=1)
+    df = shred_html(spark.createDataFrame([("0", html)], "page_key string, body string"), keep_html=False, partitions=1)
     n = F.col("nodes")
     li = F.filter(n, D.tag("li"))
     inputs = F.filter(n, D.tag("input"))

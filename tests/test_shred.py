@@ -115,3 +115,41 @@ def test_spark_nodes_match_python(shred_one):
     assert [n["tag"] for n in pages[0]] == ["html", "body", "p", "#text", "p", "#text"]
     assert [n["pre"] for n in pages[0]] == list(range(6))
     assert pages[1] == []
+
+
+def text_after(html, element, marker="AFTER"):
+    """Tags of the ancestors of the text ``marker``, and whether it lies inside the first ``element``."""
+    tb = parse_html(html)
+    at = next(i for i, t in enumerate(tb.text) if t and marker in t)
+    first = tb.tag.index(element)
+    return first < at <= tb.post[first]
+
+
+def test_end_tags_close_open_children():
+    for tag, inside in [
+        ("ul", "<li>a<li>b"), ("ol", "<li>a"), ("dl", "<dt>a<dd>b"), ("div", "<p>x"), ("nav", "<ul><li>Home</ul>"), ("section", "<div><p>x"),
+        ("table", "<tr><td>a<td>b<tr><td>c"), ("table", "<tbody><tr><td>a</td></tr>"), ("table", "<tr><td>a</td></tr>"), ("main", "<ul><li><p>x"), ("h2", "<b>x"),
+    ]:
+        assert not text_after(f"<body><{tag}>{inside}</{tag}>AFTER", tag), (tag, inside)
+        assert not text_after(f"<body><{tag}>{inside}</{tag}><p>AFTER", tag), (tag, inside)
+
+
+def test_end_tags_respect_scope():
+    assert text_after("<div><table><tr><td>x</div>AFTER</table>", "td")  # a cell bounds the search for div
+    assert text_after("<ul><li><ul><li>a</ul>AFTER</li></ul>", "li")  # the inner list closes, the outer item stays
+    assert not text_after("<h1>T</h2>AFTER", "h1")  # any heading end closes the open heading
+    assert text_after("<div>a</span></section>AFTER</div>", "div")  # stray end tags change nothing
+    tb = parse_html("<div id=a><p>x</div><div id=b>y</div>")
+    divs = [i for i, t in enumerate(tb.tag) if t == "div"]
+    assert tb.parent[divs[0]] == tb.parent[divs[1]]
+
+
+def test_clean_page_with_unclosed_nav_items(spark):
+    from pagelake.operators.pages import clean_page
+    from pagelake.operators.shred import shred_html
+
+    page = "<nav><ul><li>Home<li>Courses</ul></nav><main><h1>T</h1><p>Body " + "word " * 7000
+    df = spark.createDataFrame([("1", "https://x/y", page, 200)], "page_key string, url string, body string, status int")
+    row = clean_page(shred_html(df, keep_html=False)).first()
+    assert row.title == "T" and row.text == ("T Body " + "word " * 7000).strip() or row.text.endswith("word")
+    assert row.length == len(row.text) > 30_000 and "Home" not in row.text
