@@ -79,11 +79,11 @@ def fallback_columns(nodes: Column, label: Column, max_len: int | None = None) -
 
 
 def fallback_text(df: DataFrame, nodes: Column | None = None, label: Column | None = None,
-                  max_len: int | None = None) -> DataFrame:
+                  max_len: int | None = None, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
     """Always degraded."""
     nodes = F.col("nodes") if nodes is None else nodes
     label = F.concat_ws(" ", F.col("modtype"), F.col("cmid").cast("string")) if label is None else label
-    return df.select("page_key", *[c.alias(k) for k, c in fallback_columns(nodes, label, max_len).items()])
+    return df.select(*keep, *[c.alias(k) for k, c in fallback_columns(nodes, label, max_len).items()])
 
 
 def _first_in(nodes: Column, cand) -> Column:
@@ -106,7 +106,7 @@ def page_text_columns(nodes: Column, max_len: int | None = None) -> dict[str, Co
     }
 
 
-def page_text(df: DataFrame, nodes: Column | None = None, max_len: int | None = None) -> DataFrame:
+def page_text(df: DataFrame, nodes: Column | None = None, max_len: int | None = None, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
     """E6 over shredded responses."""
     nodes = F.col("nodes") if nodes is None else nodes
-    return df.select("page_key", *[c.alias(k) for k, c in page_text_columns(nodes, max_len).items()])
+    return df.select(*keep, *[c.alias(k) for k, c in page_text_columns(nodes, max_len).items()])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import lms_queries, page_queries, table_queries
+from . import lms_queries, media_queries, page_queries, table_queries
 
-_MODULES = [page_queries, table_queries, lms_queries]
+_MODULES = [page_queries, table_queries, lms_queries, media_queries]
 
 
 def all_queries():
