@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 _LOCAL_ROOT: list[str] = []
 
 
