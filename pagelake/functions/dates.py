@@ -31,21 +31,17 @@ ENGLISH_MONTHS = [
 _WS = "[" + JS_WS_CLASS + "]"
 _MONTH = r"(\p{L}{3,9})\.?"
 _TIME = r"(?:," + _WS + r"*|" + _WS + r"+)(\d{1,2}):(\d{2})(?::(\d{2}))?(?:" + _WS + r"*([AaPp][Mm]))?"
-# "1 April 2026[, 12:20 PM]"  and  "April 1, 2026[, 12:20 PM]"
-DMY_RE = r"^(\d{1,2})\.?" + _WS + r"+" + _MONTH + _WS + r"+(\d{4})(?:" + _TIME + r")?" + _WS + r"*$"
-MDY_RE = r"^" + _MONTH + _WS + r"+(\d{1,2})," + _WS + r"*(\d{4})(?:" + _TIME + r")?" + _WS + r"*$"
+_ZONE = r"(?:" + _WS + r"*(GMT|UTC|UT|Z|[+-]\d{2}:?\d{2}))?"
+# "1 April 2026[, 12:20 PM]"  and  "April 1, 2026[, 12:20 PM]", each with an optional zone as in mail headers
+DMY_RE = r"^(\d{1,2})\.?" + _WS + r"+" + _MONTH + _WS + r"+(\d{4})(?:" + _TIME + _ZONE + r")?" + _WS + r"*$"
+MDY_RE = r"^" + _MONTH + _WS + r"+(\d{1,2})," + _WS + r"*(\d{4})(?:" + _TIME + _ZONE + r")?" + _WS + r"*$"
+# "2026-04-01" (midnight UTC) and "2026-04-01T12:20[:00[.0]][zone]"
+ISO_DAY_RE = r"^\d{4}-\d{2}-\d{2}$"
+ISO_LOCAL_RE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d+)?)?$"
+ISO_ZONE_RE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$"
 WEEKDAY_RE = r"^[^\d,]*\p{L}+\.?," + _WS + r"*"
 
 
-def english_months(x) -> Column:
-    """Replace German month names by English ones (whole words, any case), as the
-    reference does before parsing; kept for callers that need the text itself."""
-    out = _c(x)
-    for de, en in GERMAN_MONTHS:
-        out = F.regexp_replace(out, r"(?iu)(?<![\p{L}\p{N}_])" + de + r"(?![\p{L}\p{N}_])", en)
-    return out
-
-
 def _month_lookup() -> Column:
     """Lower-case month word (German or English, full or short) -> month number."""
     pairs: dict[str, int] = dict(ENGLISH_MONTHS)
@@ -62,21 +58,22 @@ SEP = "\u0001"
 
 def parse_lms_date(x, tz: str = "Europe/Berlin") -> Column:
     """F8: a display date ('Mittwoch, 1. April 2026, 12:20' or 'Wednesday, 1 April
-    2026, 12:20 PM') -> TIMESTAMP, the wall time read in ``tz``; null if invalid.
+    2026, 12:20 PM') -> TIMESTAMP, the wall time read in ``tz`` unless the text
+    names a zone; ISO 8601 and mail-header dates too; null if invalid.
 
-    Two ``regexp_replace`` calls rewrite either shape into seven fields
-    (day, month word, year, hour, minute, second, am/pm) joined by a control
+    Two ``regexp_replace`` calls rewrite either shape into eight fields
+    (day, month word, year, hour, minute, second, am/pm, zone) joined by a control
     character; a literal map turns the month word (German or English) into its
     number.  The split fields are bound once and read by position."""
     from .dom import bind
 
     s = F.regexp_replace(F.trim(_c(x)), WEEKDAY_RE, "")
-    canon = F.regexp_replace(s, DMY_RE, SEP.join(f"${i}" for i in range(1, 8)))
-    canon = F.regexp_replace(canon, MDY_RE, SEP.join(f"${i}" for i in (2, 1, 3, 4, 5, 6, 7)))
+    canon = F.regexp_replace(s, DMY_RE, SEP.join(f"${i}" for i in range(1, 9)))
+    canon = F.regexp_replace(canon, MDY_RE, SEP.join(f"${i}" for i in (2, 1, 3, 4, 5, 6, 7, 8)))
     months = _month_lookup()
 
     def build(p):
-        day, mon, year, hh, mm, ss, ampm = [F.get(p, i) for i in range(7)]
+        day, mon, year, hh, mm, ss, ampm, zone = [F.get(p, i) for i in range(8)]
         h = F.coalesce(F.nullif(hh, F.lit("")).try_cast("int"), F.lit(0))
         ap = F.upper(ampm)
         h24 = F.when(ap == "PM", F.when(h < 12, h + 12).when(h == 12, h).otherwise(F.lit(99))).when(
@@ -86,11 +83,17 @@ def parse_lms_date(x, tz: str = "Europe/Berlin") -> Column:
             year.try_cast("int"), months[F.lower(mon)], day.try_cast("int"), h24,
             F.coalesce(F.nullif(mm, F.lit("")).try_cast("int"), F.lit(0)),
             F.coalesce(F.nullif(ss, F.lit("")).try_cast("int"), F.lit(0)).cast("decimal(16,6)"),
-            F.lit(tz),
+            F.when(zone == "", F.lit(tz)).when(zone.rlike("^[A-Z]"), F.lit("UTC")).otherwise(F.regexp_replace(zone, r"^(.\d\d):?", "$1:")),
         )
-        return F.when(F.size(p) == 7, ts)
+        return F.when(F.size(p) == 8, ts)
 
-    return bind(F.split(canon, SEP), build)
+    iso = F.trim(_c(x))
+    iso_text = (
+        F.when(iso.rlike(ISO_DAY_RE), F.concat(iso, F.lit("T00:00:00Z")))
+        .when(iso.rlike(ISO_LOCAL_RE), F.concat(iso, F.when(F.length(iso) == 16, F.lit(":00")).otherwise(F.lit("")), F.lit(" " + tz)))
+        .when(iso.rlike(ISO_ZONE_RE), F.regexp_replace(iso, r"([+-]\d{2}):?(\d{2})$", "$1:$2"))
+    )
+    return F.coalesce(bind(F.split(canon, SEP), build), iso_text.try_cast("timestamp"))
 
 
 def lms_date_unix(x, tz: str = "Europe/Berlin") -> Column:

@@ -71,3 +71,21 @@ def test_external_url_skips_empty(spark):
     )
     got = {r.page_key: (r.external_url, r.parser_degraded) for r in extract_url(shred_html(df, keep_html=False)).collect()}
     assert got == {"1": ("https://o/z", False), "2": (None, True)}
+
+
+@pytest.mark.parametrize("text,want", [
+    ("2026-04-01", "2026-04-01 00:00:00"),
+    ("2026-04-01T12:20", "2026-04-01 10:20:00"),
+    ("2026-04-01T12:20:30Z", "2026-04-01 12:20:30"),
+    ("2026-04-01T12:20:30+0500", "2026-04-01 07:20:30"),
+    ("Wed, 01 Apr 2026 12:20:00 +0200", "2026-04-01 10:20:00"),
+    ("Wed, 01 Apr 2026 12:20:00 GMT", "2026-04-01 12:20:00"),
+    ("Mittwoch, 1. April 2026, 12:20", "2026-04-01 10:20:00"),
+    ("April 1, 2026, 12:20 PM", "2026-04-01 10:20:00"),
+    ("2026-13-01", None), ("2026-04-01 x", None), ("soon", None),
+])
+def test_dates(spark, text, want):
+    from pagelake.functions.dates import parse_lms_date
+
+    row = spark.createDataFrame([(text,)], "t string").select(parse_lms_date("t").cast("string").alias("d")).first()
+    assert row.d == want
