@@ -3,9 +3,10 @@
 Each stage takes (spark, docs, sf_dir), where ``docs`` is the table of documents
 that its predecessor wrote, and returns the documents that stay, all columns
 unchanged; the last returns packed pieces.  Decisions are made per row: a stage
-writes the numbers of the rows that go and takes them out by an anti join, which
-Spark broadcasts only below its own size limit.  Row numbers follow the files
-of the table, so they are the same in both scans of a stage.
+numbers its documents once and writes them with their numbers, writes the numbers
+of the rows that go and takes them out by an anti join, which Spark broadcasts only
+below its own size limit.  Operator and anti join read the same stored numbers:
+Spark's own would differ between two scans when executors come or go.
 
 An empty table passes every stage as an empty table; null ids and texts follow
 the definitions of the operators; extra columns stay, whatever their names.
@@ -18,39 +19,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelake.llm import cuckoo_dedup, simhash, sumsq_packing, text_cnn, winnow
-from pagelake.llm.common import materialize, read_table, scratch_path
+from pagelake.llm.common import materialize, number_rows, read_table, scratch_path
 
 TOXIC_AT = 0.3
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows numbered in ``dropped``."""
-    numbered = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("row"))
-    return numbered.join(materialize(dropped.select("row"), "dropped"), "row", "left_anti").select("doc.*")
+def _without(docs: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose number in the column ``row`` stands in ``dropped``, and without that column."""
+    gone = materialize(dropped.select(F.col("row").alias(row)), "dropped")
+    return docs.join(gone, row, "left_anti").drop(row)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = text_cnn.score_toxicity(docs, read_table(spark, sf_dir, "labels"))
-    return _without(docs, scored.where(F.col("score") >= TOXIC_AT))
+    docs, row = number_rows(docs, "numbered")
+    scored = text_cnn.score_toxicity(docs, read_table(spark, sf_dir, "labels"), row=row)
+    return _without(docs, row, scored.where(F.col("score") >= TOXIC_AT))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, cuckoo_dedup.deduplicate(docs).where("NOT kept"))
+    docs, row = number_rows(docs, "numbered")
+    return _without(docs, row, cuckoo_dedup.deduplicate(docs, row=row).where("NOT kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group the document with the smallest doc_id stays (a null id ranks last)."""
-    grouped = materialize(simhash.near_duplicates(docs), "near-groups")
+    docs, row = number_rows(docs, "numbered")
+    grouped = materialize(simhash.near_duplicates(docs, row=row), "near-groups")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     stays = grouped.groupBy("component").agg(F.min(rank).alias("first")).select("component", F.col("first.row").alias("stays"))
-    return _without(docs, grouped.join(stays, "component").where("row <> stays"))
+    return _without(docs, row, grouped.join(stays, "component").where("row <> stays"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marked = winnow.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
-    return _without(docs, marked.where(winnow.is_contaminated(F.col("n_hit"), F.col("n_words"))))
+    docs, row = number_rows(docs, "numbered")
+    marked = winnow.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), row=row)
+    return _without(docs, row, marked.where(winnow.is_contaminated(F.col("n_hit"), F.col("n_words"))))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

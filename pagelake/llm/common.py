@@ -66,6 +66,19 @@ def with_row(df: DataFrame) -> DataFrame:
     return df.withColumn("row", F.monotonically_increasing_id())
 
 
+def row_id(stored: str | None = None) -> Column:
+    """The ``row`` of a document: its stored number, or Spark's number, which holds for this one scan only."""
+    return (F.monotonically_increasing_id() if stored is None else F.col(f"`{stored}`").cast("bigint")).alias("row")
+
+
+def number_rows(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written with a number for each row, and the column that holds it (``row``, lengthened where taken)."""
+    taken, name = {c.lower() for c in df.columns}, "row"
+    while name in taken:
+        name += "_"
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()), label), name
+
+
 def crc_split(doc_id: Column) -> Column:
     """The held-out rows of the label contracts: crc32 of the decimal doc_id modulo 4 is 2 (a null id is ``''``)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, arrow_text, documents_of, materialize, mix64, shuffle_tasks, with_row
+from .common import LOWER_TABLE, arrow_text, documents_of, materialize, mix64, row_id, shuffle_tasks
 
 SLOTS = 4
 KICKS = 500
@@ -137,14 +137,14 @@ class CuckooIndex:
         self.live[rows] = False
 
 
-def _digests(docs: DataFrame) -> DataFrame:
+def _digests(docs: DataFrame, row: str | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = arrow_text(batch.column("text"))
             sha = [hashlib.sha256(data[a:b].tobytes().translate(LOWER_TABLE)).digest() for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
             yield pa.RecordBatch.from_pydict({"row": batch.column("row"), "doc_id": batch.column("doc_id"), "digest": pa.array(sha, pa.binary())})
 
-    return with_row(documents_of(docs)).select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, digest binary")
+    return documents_of(docs, row_id(row)).select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, digest binary")
 
 
 _ENTRY = "digest binary, keep_id long, keep_row long, n long"
@@ -236,8 +236,9 @@ def update_index(index: DataFrame | None, *parts: DataFrame, tasks: int | None =
     return total.repartition(tasks or shuffle_tasks(total.sparkSession), "digest").mapInArrow(run, _ENTRY)
 
 
-def deduplicate(docs: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Per document: row, doc_id, digest, keep_id, group_size, kept; of equal texts the largest doc_id stays."""
-    rows = materialize(_digests(docs), "digests")
+def deduplicate(docs: DataFrame, tasks: int | None = None, row: str | None = None) -> DataFrame:
+    """Per document: row, doc_id, digest, keep_id, group_size, kept; of equal texts the largest doc_id stays.
+    ``row`` names a column of stored row numbers."""
+    rows = materialize(_digests(docs, row), "digests")
     index = materialize(update_index(None, changes(rows), tasks=tasks), "cuckoo-index")
     return rows.join(index, "digest").select("row", "doc_id", "digest", "keep_id", F.col("n").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, arrow_text, materialize, shuffle_tasks, with_row
+from .common import LOWER_TABLE, arrow_text, documents_of, materialize, row_id, shuffle_tasks
 from .graph import connected_components
 
 SHINGLE = 3
@@ -58,14 +58,14 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def _fingerprints(docs: DataFrame, shingle: int, seed: int) -> DataFrame:
+def _fingerprints(docs: DataFrame, shingle: int, seed: int, row: str | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = arrow_text(batch.column("text"))
             fps = np.array([fingerprint(data[a:b].tobytes(), shingle, seed) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())], np.uint64)
             yield pa.RecordBatch.from_pydict({"row": batch.column("row"), "doc_id": batch.column("doc_id"), "fp": pa.array(fps.view(np.int64))})
 
-    src = with_row(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    src = documents_of(docs, row_id(row))
     return src.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, fp long")
 
 
@@ -206,10 +206,11 @@ def _links(distinct: DataFrame, radius: int, cell: int) -> DataFrame:
     return placed.mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED, cell: int = CELL) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED, cell: int = CELL, row: str | None = None) -> DataFrame:
     """Per document: row, doc_id, fp (signed 64 bits), component (smallest fingerprint reachable) and component_id
-    (smallest doc_id reachable); documents link where fingerprints differ in ``radius`` bits or fewer."""
-    rows = materialize(_fingerprints(docs, shingle, seed), "simhash")
+    (smallest doc_id reachable); documents link where fingerprints differ in ``radius`` bits or fewer.
+    ``row`` names a column of stored row numbers."""
+    rows = materialize(_fingerprints(docs, shingle, seed, row), "simhash")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     links = connected_components(_links(distinct.select("fp"), radius, cell))
     members = distinct.join(links, distinct["fp"] == links["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("component"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, WORD_BYTE, materialize, mix64, runs, span_hashes, text_blocks, with_row
+from .common import LOWER, WORD_BYTE, documents_of, materialize, mix64, row_id, runs, span_hashes, text_blocks
 
 WINDOW = 13
 K = 7
@@ -132,7 +132,7 @@ def _bloom(test: DataFrame, count: int) -> np.ndarray | None:
     return total
 
 
-def _candidates(docs: DataFrame, k: int, window: int, sizes: list[int], bloom: np.ndarray | None) -> DataFrame:
+def _candidates(docs: DataFrame, k: int, window: int, sizes: list[int], bloom: np.ndarray | None, row: str | None) -> DataFrame:
     """Per document its number of words and, for each distinct fingerprint with its neighbours, the places."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(bloom)  # at most BLOOM_MAX_BYTES
@@ -177,7 +177,7 @@ def _candidates(docs: DataFrame, k: int, window: int, sizes: list[int], bloom: n
                     "hits": pa.array(hits_col, pa.list_(struct)),
                 })
 
-    src = with_row(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    src = documents_of(docs, row_id(row))
     return src.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, n_words long, hits array<struct<fp:long,size:long,before:string,words:string,at:array<long>>>")
 
 
@@ -188,12 +188,13 @@ def _shared_prefix(a, b):
     return F.get(same, F.lit(0))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K, row: str | None = None) -> DataFrame:
     """Per document: row, doc_id, n_words, spans (sorted disjoint [start, end) word ranges that items cover),
-    n_hit (words in them) and items (sorted distinct item_ids as strings)."""
+    n_hit (words in them) and items (sorted distinct item_ids as strings).
+    ``row`` names a column of stored row numbers."""
     test = materialize(_test_rows(benchmark, k, window).dropDuplicates(), "winnow-test")
     stats = test.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.when(F.col("size") > 0, F.col("size"))).alias("sizes")).first()
-    found = materialize(_candidates(docs, k, window, sorted(stats.sizes), _bloom(test, stats.n)), "winnow-docs")
+    found = materialize(_candidates(docs, k, window, sorted(stats.sizes), _bloom(test, stats.n), row), "winnow-docs")
 
     hits = found.where(F.size("hits") > 0).select("row", F.explode("hits").alias("h")).select("row", "h.*")
     joined = hits.join(test, ["fp", "size"])

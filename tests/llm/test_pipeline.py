@@ -51,3 +51,26 @@ def test_run_on_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def kept_rows(df):
+    return sorted(((r.doc_id, (r.text or "").lower()) for r in df.select("doc_id", "text").collect()), key=repr)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES if n != "packing"])
+def test_stage_when_the_number_of_cores_changes(spark, folder, tmp_path, name):
+    """More cores between a stage's two scans mean other splits, as when an executor joins."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    spark.read.parquet(f"{folder}/documents.parquet").repartition(8, "text").write.parquet(f"{tmp_path}/documents")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    want = kept_rows(stage(spark, docs, folder))
+    assert len(want) < docs.count()
+    try:
+        spark.conf.set("spark.sql.files.minPartitionNum", 1)
+        assert docs.select("text").rdd.getNumPartitions() == 1
+        out = stage(spark, docs, folder)
+        spark.conf.set("spark.sql.files.minPartitionNum", 64)
+        assert spark.read.parquet(f"{tmp_path}/documents").rdd.getNumPartitions() > 1
+        assert kept_rows(out) == want
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
