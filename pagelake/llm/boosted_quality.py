@@ -175,7 +175,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
     """Per document: row, doc_id, held_out, score (likelihood of label 1)."""
     stats = materialize(document_statistics(docs), "quality-stats")
     chosen, counts = training_labels(labels, stats, "quality", per_class)
-    sample = chosen.join(stats, "doc_id").orderBy("doc_id", "row").select("stats", "label").toPandas()  # at most per_class rows of a class
+    # of a repeated doc_id the row lowest in hash order, combined before the shuffle: at most per_class rows of a class
+    least = stats.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("stats").alias("h"), "stats", "label")).alias("r"))
+    sample = least.orderBy("doc_id").select("r.*").toPandas()
     x = np.array(sample["stats"].tolist(), np.float32).reshape(-1, len(STATISTICS))
     model = stats.sparkSession.sparkContext.broadcast(fit_trees(x, sample["label"].to_numpy(np.float64), shift=prior_shift(counts, per_class)))
 

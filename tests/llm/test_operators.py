@@ -269,6 +269,35 @@ def test_quality(spark, empty):
     assert boosted_quality.score_quality(empty, labels).count() == 0
 
 
+def test_training_samples_are_bounded_in_rows(spark, monkeypatch):
+    """A labelled doc_id that is repeated often gives one training row, the same in any order of the rows."""
+    docs, labels = labelled(spark, 200)
+    again = docs.where("doc_id = 6").select("doc_id", F.explode(F.sequence(F.lit(1), F.lit(100))).alias("k"), "lang", "label", "row", "score")
+    copies = again.withColumn("text", F.concat(F.lit("copy "), F.repeat(F.lit("word "), F.col("k"))))
+    docs = docs.unionByName(copies.select(docs.columns))
+    seen = {}
+
+    def trees(x, y, shift=0.0, fit=boosted_quality.fit_trees):
+        seen.setdefault("quality", []).append((x, y))
+        return fit(x, y, shift=shift)
+
+    def cnn(ids, y, langs, shift=0.0, fit=text_cnn.fit_cnn):
+        seen.setdefault("toxic", []).append((ids, y))
+        return fit(ids, y, langs, shift, epochs=1)
+
+    monkeypatch.setattr(boosted_quality, "fit_trees", trees)
+    monkeypatch.setattr(text_cnn, "fit_cnn", cnn)
+    known = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(200))
+    assert zlib.crc32(b"6") % 4 != 2
+    for frame in (docs, docs.orderBy(F.desc("text"))):
+        boosted_quality.score_quality(frame, labels, per_class=1000)
+        text_cnn.train_toxicity(frame, labels, per_class=1000)
+    (x, y), (x2, y2) = seen["quality"]
+    assert len(x) == len(y) == known and (x == x2).all() and (y == y2).all()
+    (ids, y), (ids2, y2) = seen["toxic"]
+    assert len(ids) == len(y) == known and (y == y2).all() and all((a == b).all() for a, b in zip(ids, ids2))
+
+
 def test_statistics_do_not_depend_on_neighbours():
     import pyarrow as pa
 
