@@ -18,7 +18,7 @@ class Rule(NamedTuple):
     label: str
     priority: int
     weight: float
-    keywords: tuple[str, ...]  # one of them stands in every text that the pattern matches
+    keywords: tuple[str, ...]  # one of them stands in every text that the pattern matches, white space folded to a blank
     pattern: str
 
 
@@ -169,7 +169,7 @@ copyright | 10 | 0.2 | copyright | copyright (?:\(c\)|©)? ?(?:19|20)\d\d
 copyright | 10 | 0.2 | copyright | copyright (?:\(c\)|©)
 dual-license | 30 | 0.5 | dual | dual[ -]licen[cs]ed
 see-license | 10 | 0.2 | licen | see (?:the )?(?:accompanying )?(?:file )?licen[cs]e(?:\.txt|\.md)?(?: file)? (?:for|in)
-license | 10 | 0.2 | licen | (?:licen[cs]ed|released|distributed) under (?:the )?(?:terms|conditions) of
+license | 10 | 0.2 | licen+released under+distributed under | (?:licen[cs]ed|released|distributed) under (?:the )?(?:terms|conditions) of
 """
 
 STATEMENT = r"(?:(?:re)?licen[cs]ed|released|distributed|available|published|covered|provided)(?: \w+){0,3}? (?:under|by|with)(?: an?| the)?(?: terms of)?(?: the)? "
@@ -193,7 +193,7 @@ def _hosts(address: str) -> tuple[str, ...]:
 
 def _flex(pattern: str) -> str:
     """A blank of the table is white space of any length."""
-    return pattern.replace(" ?", r"\s*").replace(" ", r"\s+")
+    return pattern.replace("[ -]", "(?: |-)").replace(" ?", r"\s*").replace(" ", r"\s+")
 
 
 def rules() -> list[Rule]:
@@ -210,5 +210,5 @@ def rules() -> list[Rule]:
         out.append(Rule(f"{label}:notice:{len(out)}", label, 80, 0.95, tuple(keys.split("+")), _flex(text)))
     for line in GENERAL.strip().splitlines():
         label, priority, weight, keys, text = (c.strip() for c in line.split(" | ", 4))
-        out.append(Rule(f"{label}:general:{len(out)}", label, int(priority), float(weight), (keys,), _flex(text)))
+        out.append(Rule(f"{label}:general:{len(out)}", label, int(priority), float(weight), tuple(keys.split("+")), _flex(text)))
     return out

@@ -1,7 +1,8 @@
 """Operator 8: licence scan by ordered signature rules behind a keyword prefilter.
 
-A text first meets an automaton of all rules' keywords; only rules of which a
-keyword stands in the text run their pattern.  Detections are ordered by
+A text, its white space folded to single blanks, first meets an automaton of all
+rules' keywords; only rules of which a keyword stands there run their pattern, on
+the text as it is.  Detections are ordered by
 priority, then length, then place; one that lies inside a stronger or equal
 detection already kept is suppressed, the others stay.
 
@@ -47,7 +48,7 @@ class Scanner:
 
     def detections(self, text: str) -> list[tuple[Rule, int, int]]:
         """Kept detections (rule, start, end) of a lower-cased text, in place order."""
-        possible = {i for _, which in self.automaton.iter(text) for i in which}
+        possible = {i for _, which in self.automaton.iter(" ".join(text.split())) for i in which}
         found = [(self.table[i], m.start(), m.end()) for i in possible for m in self.patterns[i].finditer(text)]
         found.sort(key=lambda d: (-d[0].priority, d[1] - d[2], d[1], d[0].name))
         return suppressed(found)

@@ -423,6 +423,58 @@ def test_rules_and_suppression():
         assert rule.keywords and all(k == k.lower() for k in rule.keywords)
 
 
+def examples(pattern, rng, gap):
+    """A random text for a rule's pattern, every run of white space written as ``gap``."""
+    from re import _constants as C
+    from re import _parser
+
+    def one(items):
+        out = []
+        for op, arg in items:
+            if op is C.LITERAL:
+                out.append(chr(arg))
+            elif op is C.ANY:
+                out.append("z")
+            elif op is C.IN:
+                kind, value = rng.choice([x for x in arg if x[0] is not C.NEGATE])
+                out.append(chr(value) if kind is C.LITERAL else chr(rng.randint(*value)) if kind is C.RANGE else {C.CATEGORY_SPACE: gap, C.CATEGORY_WORD: "w", C.CATEGORY_DIGIT: "4"}[value])
+            elif op is C.BRANCH:
+                out.append(one(rng.choice(arg[1])))
+            elif op is C.SUBPATTERN:
+                out.append(one(arg[3]))
+            elif op in (C.MAX_REPEAT, C.MIN_REPEAT):
+                low, high, what = arg
+                space = what[0] == (C.IN, [(C.CATEGORY, C.CATEGORY_SPACE)])
+                out.append(one(what) if space else "".join(one(what) for _ in range(rng.randint(low, min(high, low + 1)))))
+            else:
+                assert op in (C.AT, C.ASSERT, C.ASSERT_NOT), op
+        return "".join(out)
+
+    return one(_parser.parse(pattern))
+
+
+def test_prefilter_hides_no_rule_from_wrapped_texts():
+    import random
+
+    rng = random.Random(8)
+    scan = license_scan.scanner()
+    for i, rule in enumerate(scan.table):
+        hit = 0
+        for gap in ("\n", "  ", " \n\t", "\u00a0") * 3:
+            text = "x " + examples(rule.pattern, rng, gap) + " "
+            if scan.patterns[i].search(text):  # not so where a look-around forbids it
+                hit += 1
+                found = [(r, m.start(), m.end()) for r, p in zip(scan.table, scan.patterns) for m in p.finditer(text)] if hit == 1 else None
+                if found:
+                    found.sort(key=lambda d: (-d[0].priority, d[1] - d[2], d[1], d[0].name))
+                    assert scan.detections(text) == license_scan.suppressed(found), (rule.name, text)
+                assert scan.detections(text), (rule.name, text)
+        assert hit, rule.name
+    names = lambda t: [r.label for r, _, _ in scan.detections(t)]
+    assert names("the gnu general\npublic license") == ["gpl"] and names("all rights  reserved") == ["proprietary"]
+    assert names("dual  licensed") == ["dual-license"] and names("bsd \n3-clause") == ["bsd-3-clause"]
+
+
 def test_suppression_brute_force():
     import random
 
