@@ -93,9 +93,9 @@ SELECT DISTINCT 'rating-' || g, NULL, NULL, TRUE, 'parse_error', NULL::BIGINT, N
 
 # ------------------------------------------------------------------ E10, E10b
 def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One review page per order (key mod 8 = 1): its line items are questions; orders of status F are finished attempts."""
-    o = read_table(spark, sf_dir, "orders").where("o_orderkey % 8 = 1").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    li = read_table(spark, sf_dir, "lineitem").where("l_orderkey % 8 = 1").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+    """One review page per order: its line items are questions; orders of status F are finished attempts."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
     flag = F.col("l_returnflag")
     state = F.when(flag == "R", "correct").when(flag == "A", "incorrect").otherwise("partiallycorrect")
     tick = lambda n: F.when(F.col("l_suppkey") % 3 >= n, F.lit(" checked")).otherwise(F.lit(""))

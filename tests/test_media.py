@@ -9,6 +9,7 @@ from pagelake.operators import media
 from pagelake.operators.activities import extract_rating, extract_resource
 from pagelake.operators.review import extract_review
 from pagelake.operators.shred import shred_html
+from pagelake.plans import media_queries
 
 
 @pytest.mark.parametrize("page,want", [
@@ -66,3 +67,18 @@ def test_resource_prefers_plugin_file(spark):
     page = '<a href="/x?forcedownload=1">f</a><a href="/pluginfile.php/1/a%20b.pdf">p</a><div class="filedetails">12,5 MB</div>'
     row = extract_resource(shred(spark, [("1", 200, page)])).first()
     assert (row.download_url, row.filename, row.filesize, row.parser_degraded) == ("https://l/pluginfile.php/1/a%20b.pdf", "a b.pdf", "12,5 MB", False)
+
+
+def test_every_order_is_a_review_page(spark):
+    """The oracles hold only for keys with mod 8 = 1: over tables whose keys k read 8 k + 1 they cover every order."""
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW orders AS SELECT * REPLACE (o_orderkey * 8 + 1 AS o_orderkey) FROM read_parquet('{sf}/orders.parquet')")
+    con.sql(f"CREATE VIEW lineitem AS SELECT * REPLACE (l_orderkey * 8 + 1 AS l_orderkey) FROM read_parquet('{sf}/lineitem.parquet')")
+    for name in ("quiz_review_header", "quiz_questions"):
+        got = media_queries.QUERIES[name](spark, sf)
+        want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({media_queries.ORACLES[name]})").fetchall()
+        want = [(f"review-{(int(r[0].removeprefix('review-')) - 1) // 8}", *r[1:]) for r in want]
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
