@@ -10,10 +10,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boosted_quality, cuckoo_dedup, license_scan, simhash, sumsq_packing, text_cnn, token_cache, token_pack, warc, winnow
+from . import boosted_quality, cuckoo_dedup, license_scan, simhash, sumsq_packing, text_cnn, token_cache, token_pack, vector_packing, warc, winnow
 from .common import read_table, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 TOKEN_LIMIT = 1024
 QUALITY_AT = 0.7
@@ -97,6 +98,11 @@ def op10_sumsq_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op12_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = vector_packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), END_ID)
+    return got.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_token_pack": op1_token_pack,
     "op2_warc": op2_warc,
@@ -108,6 +114,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_cuckoo_dedup": op9_cuckoo_dedup,
     "op10_sumsq_packing": op10_sumsq_packing,
+    "op12_vector_packing": op12_vector_packing,
 }
 
 # ---------------------------------------------------------------- DuckDB oracles
