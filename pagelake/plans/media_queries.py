@@ -132,7 +132,7 @@ def q_quiz_review_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_QUIZ_REVIEW_HEADER = """
 SELECT 'review-' || o_orderkey AS page_key, 'Review' AS title, CASE WHEN o_orderstatus = 'F' THEN 'Finished' ELSE 'In progress' END AS state, o_orderpriority AS grade,
   NULL::VARCHAR AS marks, CASE WHEN o_orderstatus = 'F' THEN count(*) ELSE 0 END::BIGINT AS n_questions, o_orderstatus <> 'F' AS parser_degraded
-FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 8 = 1 GROUP BY o_orderkey, o_orderstatus, o_orderpriority"""
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderstatus, o_orderpriority"""
 
 
 def q_quiz_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +143,7 @@ def q_quiz_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_QUIZ_QUESTIONS = """
 WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS n,
-  CASE l_returnflag WHEN 'R' THEN 'correct' WHEN 'A' THEN 'incorrect' ELSE 'partiallycorrect' END AS s FROM lineitem WHERE l_orderkey % 8 = 1)
+  CASE l_returnflag WHEN 'R' THEN 'correct' WHEN 'A' THEN 'incorrect' ELSE 'partiallycorrect' END AS s FROM lineitem)
 SELECT 'review-' || l_orderkey AS page_key, n::BIGINT AS pos, l_linenumber::BIGINT AS number, s AS state, s = 'correct' AS is_correct, 'Mark 1 out of ' || l_linenumber AS marks,
   CASE WHEN l_partkey % 5 = 0 THEN 'Cloze' ELSE 'Part ' || l_partkey END AS question_text,
   CASE WHEN l_partkey % 5 = 0 THEN '' WHEN l_partkey % 2 = 1 THEN l_suppkey::VARCHAR WHEN l_suppkey % 3 = 0 THEN '' WHEN l_suppkey % 3 = 1 THEN 'Opt one' ELSE 'Opt one|Opt two' END AS your_answer,
