@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boosted_quality, cuckoo_dedup, license_scan, simhash, sumsq_packing, text_cnn, token_cache, token_pack, vector_packing, warc, winnow
+from . import boosted_quality, cuckoo_dedup, license_scan, simhash, sumsq_packing, text_cnn, token_cache, token_pack, turn_repair, vector_packing, warc, winnow
 from .common import read_table, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -103,6 +103,10 @@ def op12_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damaged(read_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_token_pack": op1_token_pack,
     "op2_warc": op2_warc,
@@ -115,6 +119,7 @@ QUERIES = {
     "op9_cuckoo_dedup": op9_cuckoo_dedup,
     "op10_sumsq_packing": op10_sumsq_packing,
     "op12_vector_packing": op12_vector_packing,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 # ---------------------------------------------------------------- DuckDB oracles
