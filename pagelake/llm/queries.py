@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boosted_quality, cuckoo_dedup, license_scan, simhash, sumsq_packing, text_cnn, token_cache, token_pack, turn_repair, vector_packing, warc, winnow
+from . import boosted_quality, collocation, cuckoo_dedup, license_scan, simhash, sumsq_packing, text_cnn, token_cache, token_pack, turn_repair, vector_packing, warc, winnow
 from .common import read_table, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -98,6 +98,11 @@ def op10_sumsq_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = collocation.top_phrases(collocation.phrases(read_table(spark, sf_dir, "documents")))
+    return got.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def op12_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = vector_packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), END_ID)
     return got.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -118,6 +123,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_cuckoo_dedup": op9_cuckoo_dedup,
     "op10_sumsq_packing": op10_sumsq_packing,
+    "op11_collocation": op11_collocation,
     "op12_vector_packing": op12_vector_packing,
     "op13_turn_repair": op13_turn_repair,
 }
