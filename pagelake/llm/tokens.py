@@ -120,10 +120,11 @@ class TextEncoder:
         return [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _pieces(self, pieces: list[bytes], is_word: list[bool]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, counts) of pieces.  A piece that is one pre-token (letters after an optional space)
-        goes straight to the library's merge model, any other through its whole encoder."""
+        """(ids, counts) of pieces.  A piece that is one pre-token (letters after an optional space, or after
+        white space that is dropped) goes straight to the library's merge model, any other through its whole encoder."""
         tokenize, table = self.lib.model.tokenize, _BYTE_CHARS
-        got = [[t.id for t in tokenize(p.decode("latin-1").translate(table))] if w else None for p, w in zip(pieces, is_word)]
+        bare = (lambda p: p.decode().lower().encode().lstrip()) if self.cuts == "white" else lambda p: p
+        got = [[t.id for t in tokenize(bare(p).decode("latin-1").translate(table))] if w else None for p, w in zip(pieces, is_word)]
         rest = [i for i, g in enumerate(got) if g is None]
         for i, ids in zip(rest, self._library([pieces[i].decode("utf-8") for i in rest])):
             got[i] = ids
@@ -215,12 +216,13 @@ class TextEncoder:
         which = np.fromiter((known.setdefault(raw[a : a + m], len(known)) for a, m in zip(starts[rest].tolist(), lens[rest].tolist())), np.int64, len(rest))
         pick = np.concatenate([pick, rest[np.unique(which, return_index=True)[1]]])
         p0, p1 = starts[pick], starts[pick] + lens[pick]
+        letters = np.concatenate([[0], np.cumsum(letter[: len(data)], dtype=np.int32)])
         if self.cuts == "byte":
-            letters = np.concatenate([[0], np.cumsum(letter[: len(data)], dtype=np.int32)])
             space = data[p0] == 32 if len(p0) else np.zeros(0, bool)
-            plain = (p1 > p0 + space) & (letters[p1] - letters[p0] == p1 - p0 - space)
-        else:
-            plain = np.zeros(len(p0), bool)
+        else:  # white space stands only in front of a piece
+            white = np.concatenate([[0], np.cumsum(_WHITE[data], dtype=np.int32)])
+            space = white[p1] - white[p0]
+        plain = (p1 > p0 + space) & (letters[p1] - letters[p0] == p1 - p0 - space)
         pool, size = self._pieces([raw[a:b] for a, b in zip(p0.tolist(), p1.tolist())], plain.tolist())
         begin = np.cumsum(size) - size
         count, first = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
