@@ -42,8 +42,9 @@ MIN_COUNT = 10
 TOP = 2000
 COVER_PERCENT = 50
 SHARD = 1 << 18
-BLOCK = 1 << 22
-_STREAM = 1 << 23  # word numbers that a task walks through all shards at a time
+BLOCK = 1 << 21
+_PROBES = 128  # bases tried for one set of children
+_STREAM = 1 << 20  # word numbers that a task walks through all shards at a time
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -208,32 +209,32 @@ class Trie:
         size = int(rows.max()) + 1
         base, check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
         check[np.unique(rows[:, 0])] = -2  # children of the root
-        state = rows[:, 0].astype(np.int64)
+        state, rng = rows[:, 0].astype(np.int64), np.random.default_rng(0)  # the same trie in every attempt
         for level in range(1, rows.shape[1]):
             prefix = np.concatenate([[True], (rows[1:, : level + 1] != rows[:-1, : level + 1]).any(1)])
             child = np.flatnonzero(prefix)
             owner, x = state[child], rows[child, level].astype(np.int64)
             cut = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
             number = np.diff(np.append(cut, len(owner)))
-            low = size if level == 1 else len(check)
+            low, used = size, len(check)
             for g in np.argsort(-number, kind="stable").tolist():
                 if number[g] == 1:
                     break
                 mine = x[cut[g] : cut[g] + number[g]]
-                offset, step = low - int(mine[0]), 0
-                while True:  # the first base where all children's places are free
-                    tries = offset + step + np.arange(64)
-                    need = int(tries[-1] + mine[-1]) + 1
-                    if need > len(check):
-                        grow = max(need, len(check) * 5 // 4) - len(check)
+                lowest, highest = low - int(mine[0]), used - int(mine[-1])
+                tries = rng.integers(lowest, highest, max(1, min(_PROBES, (1 << 20) // len(mine)))) if highest > lowest else np.zeros(0, np.int64)
+                good = (check[tries[:, None] + mine] == -1).all(1)
+                if good.any():
+                    b = int(tries[np.argmax(good)])
+                else:  # behind all others; the places between the children stay free for smaller sets
+                    b = used - int(mine[0])
+                    used += int(mine[-1] - mine[0]) + 1
+                    if used > len(check):
+                        grow = max(used, len(check) * 5 // 4) - len(check)
                         base, check = np.append(base, np.zeros(grow, np.int32)), np.append(check, np.full(grow, -1, np.int32))
-                    good = (check[tries[:, None] + mine] == -1).all(1)
-                    if good.any():
-                        b = int(tries[np.argmax(good)])
-                        break
-                    step = step * 5 // 4 + 64
                 base[owner[cut[g]]] = b
                 check[b + mine] = owner[cut[g]]
+            base, check = base[:used], check[:used]
             lone = cut[number == 1]
             free = low + np.flatnonzero(check[low:] == -1)[: len(lone)]
             if len(free) < len(lone):
@@ -315,10 +316,11 @@ def _counted(streams: DataFrame, candidates: DataFrame, columns: list[str], fold
 
 def _bounded(local: DataFrame, columns: list[str], min_count: int) -> DataFrame:
     """Distinct candidates of ``local`` (bucket, columns, n) whose bucket's sum reaches ``min_count``."""
-    key = F.struct(*columns)
-    sums = materialize(local.groupBy("bucket").agg(F.sum("n").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).where(F.col("n") >= min_count), "buckets")
-    alone = sums.where("lo = hi").select("lo.*")
-    shared = sums.where("lo <> hi").select("bucket")
+    ends = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("lo", F.min), ("hi", F.max))]
+    sums = materialize(local.groupBy("bucket").agg(F.sum("n").alias("n"), *ends).where(F.col("n") >= min_count), "buckets")
+    one = F.expr(" AND ".join(f"lo_{c} = hi_{c}" for c in columns))
+    alone = sums.where(one).select(*[F.col(f"lo_{c}").alias(c) for c in columns])
+    shared = sums.where(~one).select("bucket")
     if shared.isEmpty():
         return alone
     return alone.union(local.join(shared, "bucket", "left_semi").select(*columns).distinct())
