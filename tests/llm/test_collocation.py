@@ -63,16 +63,32 @@ def test_phrases(spark):
 
 
 def test_small_shards_blocks_and_cap(spark, monkeypatch):
-    """Many shards, blocks smaller than a text, and shared buckets give the same counts."""
+    """Many shards give the same counts; the cap keeps the first phrases."""
     rows = corpus(2) + [("en", "a b The, " * 500 + "é" * 300 + " a b" * 200)]
     df = spark.createDataFrame(rows, "lang string, text string").repartition(2)
     monkeypatch.setattr(collocation, "SHARD", 4)
-    monkeypatch.setattr(collocation, "BLOCK", 100)
-    monkeypatch.setattr(collocation, "_STREAM", 50)
-    monkeypatch.setattr(collocation, "mix64", lambda x: (x % np.uint64(3)) << np.uint64(24))
     compare(df, rows, 3, 7)
 
 
+def test_shared_buckets(spark):
+    """Candidates that share a bucket are all kept while the bucket's sum reaches the minimum."""
+    local = spark.createDataFrame([(1, 5, 6, 4), (1, 7, 8, 6), (1, 6, 1, 1), (2, 1, 1, 9), (3, 2, 2, 5), (3, 2, 2, 5)], "bucket long, a long, b long, n long")
+    got = {tuple(r) for r in collocation._bounded(local, ["a", "b"], 10).collect()}
+    assert got == {(5, 6), (7, 8), (6, 1), (2, 2)}
+
+
+def test_long_text_in_blocks(monkeypatch):
+    """A text beyond a block is cut behind separators only and loses nothing."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(collocation, "BLOCK", 100)
+    text = "a b The, " * 500 + "é" * 300 + " a b" * 200
+    batch = pa.RecordBatch.from_pydict({"lang": pa.array(["en", None]), "text": pa.array([text, None])})
+    parts = [data.tobytes() for _, data, offs in collocation._blocks(batch) if len(data)]
+    assert len(parts) > 10 and b"".join(parts) == low(text).encode()
+    assert all(p[-1:] in b".,;:!?" for p in parts[:-1])
+
+
 @pytest.mark.parametrize("length", [2, 3])
 def test_trie_equals_search(length):
     rng = np.random.default_rng(length)
