@@ -152,11 +152,17 @@ def select_within(nodes: Column, outer: Pred, inner: Pred) -> Column:
     return F.transform(pres, lambda i: F.get(nodes, i))
 
 
+def ancestors(nodes: Column, x: Column) -> Column:
+    """Ancestors of ``x``, root first, read through its list of indices.  Nodes too deep to carry
+    one get the ancestors among all earlier nodes."""
+    listed = F.transform(x["anc"], lambda i: F.get(nodes, i))
+    return F.coalesce(listed, F.filter(F.slice(nodes, 1, x["pre"]), lambda a: a["post"] >= x["pre"]))
+
+
 def inside(nodes: Column, root: Column, d: Column, pred: Pred) -> Column:
     """``d`` has an ancestor strictly between ``root`` and ``d`` that matches ``pred``
     (the descendant combinator evaluated relative to ``root``)."""
-    between = F.slice(nodes, root["pre"] + 2, F.greatest(d["pre"] - root["pre"] - 1, F.lit(0)))
-    return F.exists(between, lambda a: (a["post"] >= d["pre"]) & pred(a))
+    return F.exists(ancestors(nodes, d), lambda a: (a["pre"] > root["pre"]) & pred(a))
 
 
 def find(nodes: Column, root: Column, pred: Pred, within: Pred | None = None) -> Column:
@@ -198,8 +204,7 @@ def last(arr: Column) -> Column:
 
 def closest(nodes: Column, x: Column, pred: Pred) -> Column:
     """Nearest ancestor-or-self of ``x`` matching ``pred`` (largest ``pre``)."""
-    anc = F.filter(F.slice(nodes, 1, x["pre"] + 1), lambda a: (a["post"] >= x["pre"]) & pred(a))
-    return last(anc)
+    return last(F.filter(F.concat(ancestors(nodes, x), F.array(x)), pred))
 
 
 def next_siblings(nodes: Column, x: Column, pred: Pred | None = None) -> Column:
@@ -234,14 +239,9 @@ def first_text(nodes: Column, pred: Pred, skip_chrome: bool = False) -> Column:
 
 
 def remove(nodes: Column, pred: Pred) -> Column:
-    """Drop every node matching ``pred`` together with its subtree."""
-    return F.filter(
-        nodes,
-        lambda d: ~F.exists(
-            F.slice(nodes, 1, d["pre"] + 1),
-            lambda a: (a["post"] >= d["pre"]) & pred(a),
-        ),
-    )
+    """Drop every node matching ``pred`` together with its subtree.  The nodes that stay keep
+    their numbers, so the result is for reading, not for further steps by index."""
+    return F.filter(nodes, lambda d: ~F.coalesce(pred(d) | F.exists(ancestors(nodes, d), pred), F.lit(False)))
 
 
 def cascade_text(nodes: Column, preds: list[Pred], max_len: int | None = None, skip_chrome: bool = False) -> Column:

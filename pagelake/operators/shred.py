@@ -19,6 +19,8 @@ Node layout (one struct per element or text run, in document order):
                .navbar, #nav-drawer, [role=navigation], script, style, noscript)
     text       decoded text for ``#text`` nodes, else null
     data       raw text for ``#data`` nodes, else null
+    anc        indices of the node's ancestors, root first; null for nodes deeper than
+               ``ANC_DEPTH``, whose ancestors are searched among all earlier nodes instead
 
 Because ``pre`` equals the array index, the subtree of node ``a`` is the
 contiguous slice ``nodes[a.pre+1 .. a.post]``; descendant queries never scan
@@ -46,9 +48,11 @@ NODE_TYPE = T.StructType(
         T.StructField("in_chrome", T.BooleanType(), False),
         T.StructField("text", T.StringType(), True),
         T.StructField("data", T.StringType(), True),
+        T.StructField("anc", T.ArrayType(T.IntegerType(), False), True),
     ]
 )
 NODES_TYPE = T.ArrayType(NODE_TYPE, False)
+ANC_DEPTH = 64  # longer ancestor lists would grow with the square of a chain of nested elements
 
 _ARROW_NODE = pa.struct(
     [
@@ -62,6 +66,7 @@ _ARROW_NODE = pa.struct(
         pa.field("in_chrome", pa.bool_(), False),
         pa.field("text", pa.string()),
         pa.field("data", pa.string()),
+        pa.field("anc", pa.list_(pa.field("element", pa.int32(), False))),
     ]
 )
 
@@ -370,6 +375,20 @@ def _spans(column) -> list[tuple[int, int]]:
     return [*out, (lo, len(column))] if len(column) else []
 
 
+def _ancestors(parents: list[int]) -> list[list[int] | None]:
+    """Ancestors of every node, root first; null beyond ``ANC_DEPTH``.  Siblings share one list."""
+    below: dict[int, list[int] | None] = {-1: []}
+    out = []
+    for parent in parents:
+        path = below.get(parent, ())
+        if path == ():
+            up = out[parent]
+            path = None if up is None or len(up) >= ANC_DEPTH else [*up, parent]
+            below[parent] = path
+        out.append(path)
+    return out
+
+
 def _nodes_array(htmls) -> tuple[pa.Array, pa.Array]:
     """Parse pages into one Arrow ``list<struct>`` column and one of parse errors."""
     offsets = [0]
@@ -380,6 +399,7 @@ def _nodes_array(htmls) -> tuple[pa.Array, pa.Array]:
     attr_vals: list[str] = []
     cls_offsets = [0]
     cls_vals: list[str] = []
+    anc: list[list[int] | None] = []
     for html in htmls:
         tb = parse_html(html)
         errors.append(tb.error)
@@ -392,6 +412,7 @@ def _nodes_array(htmls) -> tuple[pa.Array, pa.Array]:
         cols["chrome"].extend(tb.chrome)
         cols["text"].extend(tb.text)
         cols["data"].extend(tb.data)
+        anc.extend(_ancestors(tb.parent))
         for items in tb.attrs:
             for k, v in items:
                 attr_keys.append(k)
@@ -417,6 +438,7 @@ def _nodes_array(htmls) -> tuple[pa.Array, pa.Array]:
             pa.array(cols["chrome"], pa.bool_()),
             pa.array(cols["text"], pa.string()),
             pa.array(cols["data"], pa.string()),
+            pa.array(anc, _ARROW_NODE.field("anc").type),
         ],
         fields=list(_ARROW_NODE),
     )

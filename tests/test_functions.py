@@ -134,3 +134,38 @@ def test_dom_selectors(spark, shred_one):
     ).first()
     assert r.correct == 1 and r.li0 == "x" and r.closest == "div" and r.sibs == 1
     assert r.l1 == "L1" and r.l2 == "L2" and r.casc == "T"
+
+
+def test_ancestors_of_shallow_and_deep_nodes(spark):
+    """closest, inside and remove against a walk over parent numbers, on both sides of the depth limit."""
+    from pagelake.operators.shred import ANC_DEPTH, shred_html
+
+    deep = ANC_DEPTH + 9
+    html = '<body><div class="keep"><p>a</p></div>' + '<div class="x">' + "<section>" * deep + '<div class="y"><a href="u">t</a></div>' + "</section>" * deep + "</div><p>z</p></body>"
+    df = shred_html(spark.createDataFrame([("0", html), ("1", ""), ("2", None)], "page_key string, body string"), partitions=1)
+    n = F.col("nodes")
+    pre = lambda arr: F.transform(arr, lambda d: d["pre"])
+    rows = df.select(
+        "page_key", "nodes",
+        F.transform(n, lambda d: D.closest(n, d, D.cls("x"))["pre"]).alias("x"),
+        F.transform(n, lambda d: D.closest(n, d, D.tag("section"))["pre"]).alias("section"),
+        pre(D.remove(n, D.cls("y"))).alias("kept"),
+        pre(D.remove(n, D.attr_eq("href", "none"))).alias("all"),
+        pre(F.filter(n, lambda d: D.inside(n, F.get(n, 0), d, D.cls("y")))).alias("in_y"),
+    ).orderBy("page_key").collect()
+    for r in rows:
+        up = {d.pre: d.parent for d in r.nodes}
+
+        def line(i):
+            return [i] + (line(up[i]) if up[i] >= 0 else [])
+
+        def nearest(i, hit):
+            return next((j for j in line(i) if hit(r.nodes[j])), None)
+
+        is_x, is_y = (lambda d: "x" in d.class_tokens), (lambda d: "y" in d.class_tokens)
+        assert r.x == [nearest(i, is_x) for i in up]
+        assert r.section == [nearest(i, lambda d: d.tag == "section") for i in up]
+        assert r.kept == [i for i in up if nearest(i, is_y) is None] and r.all == list(up)
+        assert r.in_y == [i for i in up if any(is_y(r.nodes[j]) for j in line(i)[1:] if j > 0)]
+        assert all((d.anc is None) == (d.depth > ANC_DEPTH) for d in r.nodes)
+    assert any(d.anc is None for d in rows[0].nodes)
