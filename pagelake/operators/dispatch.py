@@ -1,63 +1,82 @@
-"""Mixed activity responses to one typed table, one row per page.
+"""Mixed activity responses to one typed table, one row per response.
 
-Each page is routed by ``modtype`` before it is shredded, so it is parsed once
-and by one extractor; where the table is partitioned by modtype every branch
-reads its own files.  Fields beyond the title go into ``content`` as JSON
-without nulls (P11).  A page whose extractor finds markup it does not know
-falls back to its plain text and carries the error record (Q2).
+Every page is parsed once, in one Python stage.  The extractors then run one after another as
+projections over the same rows: each sees the nodes of its own ``modtype`` and null for all other
+rows, and its fields are kept as ``title``, ``content`` (JSON without nulls, P11), ``parser_degraded``
+and ``error``.  No row is joined, grouped or split off, so null and repeated keys keep every row.
+A page of an unknown type, or whose extractor finds markup it does not know, gives its plain text in
+the same last projection and carries the error record (Q2).
 """
 
 from __future__ import annotations
 
-from functools import partial, reduce
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import lms
 from .activities import extract_rating, extract_resource, extract_url
-from .pages import fallback_text, page_text
+from .pages import fallback_columns, page_text
 from .quality import error_record
 from .shred import shred_html
 
+Extractor = Callable[..., DataFrame]
 KEEP = ("page_key", "modtype")
+PAGE = ("base_url", "status", "headers", "cmid")
+_REGISTERED: dict[str, Extractor] = {}
 
 
-def extractors(as_of: float) -> dict:
+def register_extractor(modtype: str, extract: Extractor) -> None:
+    """Use ``extract`` for pages of ``modtype``, in place of the library's own if there is one.
+
+    ``extract(pages, keep=...)`` gets shredded responses (``nodes``, status, headers, base_url, cmid,
+    modtype, page_key; nodes are null on rows of other types) and returns exactly one row per input row:
+    the ``keep`` columns unchanged, title, parser_degraded, any fields, and ``error`` if it can fail."""
+    _REGISTERED[modtype] = extract
+
+
+def extractors(as_of: float) -> dict[str, Extractor]:
     """modtype -> extractor (shredded responses, keep) of one row per page."""
     return {
         "resource": extract_resource,
         "url": extract_url,
+        "page": page_text,
         "forum": lms.extract_forum,
         "assign": lms.extract_assign,
         "quiz": partial(lms.extract_quiz, as_of=as_of),
         "ratingallocate": extract_rating,
+        "folder": lms.extract_folder_page,
         "workshop": lms.extract_workshop,
         "lesson": lms.extract_lesson,
+        "choice": lms.extract_choice,
         "feedback": lms.extract_feedback,
+        **_REGISTERED,
     }
 
 
-def extract_activity(responses: DataFrame, as_of: float, partitions: int | None = None) -> DataFrame:
-    """page_key, modtype, title, content (JSON), parser_degraded and error of every response."""
-    known = extractors(as_of)
+def extract_activity(responses: DataFrame, as_of: float, partitions: int | None = None, known: dict[str, Extractor] | None = None) -> DataFrame:
+    """page_key, modtype, title, content (JSON), parser_degraded and error of every response.
+
+    ``known`` names the extractors to use (default: all); pages of other types give their plain text.
+    Each extractor adds its expressions to the plan, so a table of few types plans faster with few."""
     none = error_record(F.lit(None).cast("string"))
-    shred = partial(shred_html, keep_html=False, partitions=partitions)
-    parts, failed = [], None
-    for modtype, extract in known.items():
-        rows = extract(shred(responses.where(F.col("modtype") == modtype)), keep=KEEP)
-        fields = [c for c in rows.columns if c not in (*KEEP, "title", "parser_degraded", "error")]
-        out = rows.select(*KEEP, "title", F.to_json(F.struct(*fields)).alias("content"), "parser_degraded", (F.col("error") if "error" in rows.columns else none).alias("error"))
-        if "error" in rows.columns:
-            failed = out.where("error IS NOT NULL").select("page_key", "error") if failed is None else failed.union(out.where("error IS NOT NULL").select("page_key", "error"))
-            out = out.where("error IS NULL")
-        parts.append(out)
-    other = responses.where(F.col("modtype").isNull() | ~F.col("modtype").isin(*known, "page"))
-    text = [(other, None)] + ([(responses.join(failed.select("page_key"), "page_key", "left_semi"), failed)] if failed is not None else [])
-    for rows, errors in text:
-        plain = fallback_text(shred(rows), keep=KEEP)
-        plain = plain.join(errors, "page_key") if errors is not None else plain.withColumn("error", none)
-        parts.append(plain.select(*KEEP, "title", F.to_json(F.struct("raw_text")).alias("content"), "parser_degraded", "error"))
-    page = page_text(shred(responses.where("modtype = 'page'")), keep=KEEP)
-    parts.append(page.select(*KEEP, "title", F.to_json(F.struct("text")).alias("content"), "parser_degraded", none.alias("error")))
-    return reduce(DataFrame.unionByName, parts)
+    pages = shred_html(responses.select(*KEEP, *PAGE, "body"), keep_html=False, partitions=partitions)
+    staged = pages.select(F.struct(*KEEP, *PAGE, "nodes").alias("_page"), F.lit(None).alias("_found"))
+    for modtype, extract in (extractors(as_of) if known is None else known).items():
+        mine = F.col("_page.modtype") == modtype
+        own = staged.select("_page", "_found", *[F.col(f"_page.{c}") for c in (*KEEP, *PAGE)], F.when(mine, F.col("_page.nodes")).alias("nodes"))
+        rows = extract(own, keep=("_page", "_found"))
+        fields = [c for c in rows.columns if c not in ("_page", "_found", "title", "parser_degraded", "error")]
+        found = F.struct("title", F.to_json(F.struct(*fields)).alias("content"), "parser_degraded", (F.col("error") if "error" in rows.columns else none).alias("error"))
+        staged = rows.select("_page", F.when(mine, found).otherwise(F.col("_found")).alias("_found"))
+    failed = F.col("_found").isNull() | F.col("_found.error").isNotNull()
+    page = staged.select("_found", failed.alias("_failed"), *[F.col(f"_page.{c}") for c in (*KEEP, *PAGE)], F.when(failed, F.col("_page.nodes")).alias("nodes"))
+    plain = fallback_columns(F.col("nodes"), F.concat_ws(" ", F.col("modtype"), F.col("cmid").cast("string")))
+    read = page.select(*KEEP, "_found", "_failed", *[c.alias(f"_{k}") for k, c in plain.items()])
+    choose = lambda own, text: F.when(F.col("_failed"), text).otherwise(F.col(f"_found.{own}")).alias(own)
+    return read.select(
+        *KEEP, choose("title", F.col("_title")), choose("content", F.to_json(F.struct(F.col("_raw_text").alias("raw_text")))),
+        choose("parser_degraded", F.col("_parser_degraded")), F.col("_found.error").alias("error"),
+    )

@@ -477,12 +477,15 @@ def extract_course_activities(df: DataFrame, keep: tuple[str, ...] = ("page_key"
 
 # ------------------------------------------------------------------ E12
 
-def extract_folder(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
-    """The first of five link selectors (``.foldertree``, ``.fp-filename-icon``,
+def extract_folder_page(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+    """E12, one row per page: title, description, ``entries`` and parser_degraded.
+
+    Entries come from the first of five link selectors (``.foldertree``, ``.fp-filename-icon``,
     ``.filemanager``, ``#region-main``, anywhere; each ``a[href*=pluginfile.php]``)
     that yields links; first link per raw href wins; name from ``.fp-filename`` /
-    ``.filename``, the link text or the decoded last URL segment (≤ 300); size
-    from ``.fp-size`` / ``.filesize`` in the enclosing ``li`` / ``tr``."""
+    ``.filename``, the link text or the decoded last URL segment; size from ``.fp-size`` /
+    ``.filesize`` in the enclosing ``li`` / ``tr``.  A page on another status than 2xx has no
+    entries; degraded iff neither a description nor an entry was found."""
     from ..functions.urls import uri_decode
 
     nodes = _nodes()
@@ -491,7 +494,7 @@ def extract_folder(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Data
     lists = [D.select_within(nodes, w, pf) for w in (D.cls("foldertree"), D.cls("fp-filename-icon"), D.cls("filemanager"),
                                                      D.id_is("region-main"))] + [F.filter(nodes, pf)]
     lists = [F.filter(l, lambda a: F.coalesce(D.attr(a, "href"), F.lit("")) != "") for l in lists]
-    staged = df.select(*keep, "base_url", "nodes", *[l.alias(f"_l{i}") for i, l in enumerate(lists)])
+    staged = df.select(*keep, "base_url", "status", "cmid", "nodes", *[l.alias(f"_l{i}") for i, l in enumerate(lists)])
     chosen = F.coalesce(*[F.when(F.size(f"_l{i}") > 0, F.col(f"_l{i}")) for i in range(len(lists))], F.array())
     chosen = first_wins(chosen, lambda a: D.attr(a, "href"))
 
@@ -506,13 +509,35 @@ def extract_folder(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Data
         return F.struct(name.alias("name"), absolute_url(base, href).alias("download_url"),
                         F.nullif(size, F.lit("")).alias("size"))
 
-    out = staged.select(*keep, F.posexplode(F.transform(chosen, entry)).alias("pos", "e"))
+    entries = F.transform(chosen, entry)
+    return _typed_page(staged, keep, "Folder", {}, "entries", entries)
+
+
+def _typed_page(staged: DataFrame, keep: tuple[str, ...], label: str, fields: dict[str, Column], items: str, found: Column) -> DataFrame:
+    """Title, description, ``fields`` and the array ``items`` of a 2xx page; defaults and degraded on any other."""
+    nodes, ok = _nodes(), _ok()
+    read = staged.select(
+        *keep, "status", "cmid", F.when(ok, D.first_text(nodes, D.tag("h1", "h2"))).alias("_h"),
+        F.when(ok, F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit(""))).alias("description"),
+        *[F.when(ok, c).alias(k) for k, c in fields.items()], F.when(ok, found).otherwise(F.filter(found, lambda _: F.lit(False))).alias(items),
+    )
+    return read.select(
+        *keep,
+        F.coalesce(F.nullif("_h", F.lit("")), F.concat(F.lit(f"{label} "), F.col("cmid").cast("string"))).alias("title"),
+        "description", *fields, items,
+        (F.col("description").isNull() & (F.coalesce(F.size(items), F.lit(0)) <= 0)).alias("parser_degraded"),
+    )
+
+
+def extract_folder(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+    """E12, one row per entry: pos, name, download_url, size."""
+    out = extract_folder_page(df, keep).select(*keep, F.posexplode("entries").alias("pos", "e"))
     return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "e.*")
 
 
 # ------------------------------------------------------------------ E15
 
-def extract_choice_options(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+def _choice_options(nodes: Column) -> Column:
     """Options from ``.option, .choiceoption, input[type=radio][name=answer]``.
 
     Deliberate difference from the reference (which emits a wrapper and its
@@ -521,10 +546,8 @@ def extract_choice_options(df: DataFrame, keep: tuple[str, ...] = ("page_key",))
     first ``.choicetext, .text, label`` text (else its own text), votes from
     ``.count`` / ``.numvotes`` (0 -> null); a standalone radio takes its label via
     ``label[for=id]``, else the enclosing label, else a label in the enclosing div."""
-    nodes = _nodes()
     wrapper = D.cls("option") | D.cls("choiceoption")
     radio = D.tag("input") & D.attr_eq("type", "radio") & D.attr_eq("name", "answer")
-    standalone = F.filter(nodes, lambda n: radio(n) & D.closest(nodes, n, wrapper).isNull())
     matches = F.filter(nodes, lambda n: wrapper(n) | (radio(n) & D.closest(nodes, n, wrapper).isNull()))
 
     def row(el):
@@ -545,8 +568,27 @@ def extract_choice_options(df: DataFrame, keep: tuple[str, ...] = ("page_key",))
             F.when(is_input, D.attr(el, "checked").isNotNull()).otherwise(inner_checked).alias("selected"),
         )
 
-    opts = F.filter(F.transform(matches, row), lambda o: o["label"] != "")
-    out = df.select(*keep, F.posexplode(opts).alias("pos", "o"))
+    return F.filter(F.transform(matches, row), lambda o: o["label"] != "")
+
+
+def extract_choice(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+    """E15, one row per page: title, description, opens and closes from header lines (last line of a
+    label wins), the user's selection from ``.choiceresponse, .userresponse, .currentchoice``, the
+    ``options`` and parser_degraded (neither a description nor an option, or another status than 2xx)."""
+    nodes = _nodes()
+    mine = D.cls("choiceresponse") | D.cls("userresponse") | D.cls("currentchoice")
+    staged = df.select(*keep, "status", "cmid", "nodes", labelled_lines(header_lines(nodes), FEEDBACK_DATE_RE).alias("_kv"), _choice_options(nodes).alias("_options"))
+    fields = {
+        "opens": F.nullif(last_labelled(F.col("_kv"), ("open",)), F.lit("")),
+        "closes": F.nullif(last_labelled(F.col("_kv"), ("close",)), F.lit("")),
+        "user_selection": F.nullif(D.first_text(nodes, mine), F.lit("")),
+    }
+    return _typed_page(staged, keep, "Choice", fields, "options", F.col("_options"))
+
+
+def extract_choice_options(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
+    """E15, one row per option: pos, label, votes, selected."""
+    out = extract_choice(df, keep).select(*keep, F.posexplode("options").alias("pos", "o"))
     return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "o.*")
 
 
