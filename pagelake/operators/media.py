@@ -194,6 +194,7 @@ def recording_names(rows: DataFrame, order: list[str]) -> DataFrame:
         for pdf in batches:
             names = []
             for c, s, e in zip(pdf["course_id"], pdf["slug"], pdf["episode_id"]):
+                c = None if pd.isna(c) else c  # rows without a course are one group
                 if c != course:
                     course, used, tried = c, set(), {}
                 name = f"{s}.mp4"

@@ -82,3 +82,9 @@ def test_every_order_is_a_review_page(spark):
         want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({media_queries.ORACLES[name]})").fetchall()
         want = [(f"review-{(int(r[0].removeprefix('review-')) - 1) // 8}", *r[1:]) for r in want]
         assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_recording_names_without_course(spark):
+    rows = [(None, 1, "Intro", None), (None, 2, "Intro", None), (None, 3, "Intro", "abcdefgh-1"), (7, 4, "Intro", None), (7, 5, None, None)]
+    got = media.recording_names(spark.createDataFrame(rows, "course_id bigint, cmid bigint, title string, episode_id string"), ["cmid"])
+    assert {r.cmid: r.file_name for r in got.collect()} == {1: "intro.mp4", 2: "intro-2.mp4", 3: "intro-abcdefgh.mp4", 4: "intro.mp4", 5: "recording-5.mp4"}
