@@ -474,3 +474,94 @@ SELECT 'choice-' || n_regionkey, count(*)::BIGINT, 'Enthaltung', NULL::BIGINT, f
 
 QUERIES["choice_options"] = q_choice_options
 ORACLES["choice_options"] = SQL_CHOICE_OPTIONS
+
+
+# ------------------------------------------------------------------ R2
+from ..operators.sanitize import sanitize_feed  # noqa: E402
+
+
+def q_feed_sanitized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: every event of every sanitised feed, read back from its JSON."""
+    feeds = R.feed_pages(spark, sf_dir).select("page_key", F.regexp_extract("page_key", r"\d+$", 0).cast("bigint").alias("block"), "body")
+    v = F.try_parse_json("sanitized")
+    rows = sanitize_feed(feeds, "block").select("page_key", F.posexplode(F.try_variant_get(v, "$[0].data.events", "array<variant>")).alias("pos", "e"))
+    read = lambda path, kind: F.try_variant_get(F.col("e"), path, kind)
+    return rows.select(
+        "page_key", F.col("pos").cast("bigint").alias("pos"), read("$.id", "bigint").alias("id"), read("$.instance", "bigint").alias("instance"), read("$.name", "string").alias("name"),
+        read("$.course.id", "bigint").alias("course_id"), read("$.course.fullname", "string").alias("course_name"), read("$.action.url", "string").alias("action_url"),
+        read("$.url", "string").alias("url"), read("$.eventtype", "string").alias("event_type"),
+    )
+
+
+def _sql_letters(i: str, most: int = 6) -> str:
+    """'A' for 0, 'AA' for 26, … for numbers of up to ``most`` letters."""
+    first = [(26**n - 26) // 25 for n in range(1, most + 2)]
+    chars = lambda n: " || ".join(f"chr(65 + ((({i} - {first[n - 1]}) // {26**k}) % 26)::INT)" for k in reversed(range(n)))
+    return "CASE " + " ".join(f"WHEN {i} < {first[n]} THEN {chars(n)}" for n in range(1, most + 1)) + " END"
+
+
+SQL_FEED_SANITIZED = f"""
+WITH e AS (SELECT *, event_id // 50 AS block, row_number() OVER (PARTITION BY event_id // 50 ORDER BY event_id) - 1 AS pos FROM ({_EV}) WHERE event_id // 50 % 17 <> 5),
+n AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS i FROM e),
+c AS (SELECT user_id, row_number() OVER (ORDER BY min(event_id)) - 1 AS i FROM e GROUP BY user_id)
+SELECT 'feed-' || block AS page_key, pos::BIGINT AS pos, (9000 + pos)::BIGINT AS id, (4000 + pos)::BIGINT AS instance, 'Event ' || {_sql_letters('n.i')} AS name,
+  (7000 + pos)::BIGINT AS course_id, 'Course ' || {_sql_letters('c.i')} AS course_name,
+  CASE WHEN modtype IS NOT NULL THEN '/mod/' || modtype || '/view.php?id=' || (4000 + pos) END AS action_url,
+  CASE WHEN modtype IS NULL THEN '{B}/calendar/view.php?view=day&time=' || epoch END AS url, event_type
+FROM e JOIN n USING (event_id) JOIN c USING (user_id)"""
+
+QUERIES["feed_sanitized"] = q_feed_sanitized
+ORACLES["feed_sanitized"] = SQL_FEED_SANITIZED
+
+
+# ------------------------------------------------------------------ E12, E15 whole
+from ..operators.lms import extract_choice, extract_folder_page  # noqa: E402
+from ..sources import read_table  # noqa: E402
+
+
+def q_folder_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per folder page; every seventh folder answers 500, every third has a description."""
+    g = F.col("cmid")
+    intro = F.concat(F.lit('<div class="activity-description">Files  of '), R._s("cmid"), F.lit("</div>"))
+    pages = R.folder_pages(spark, sf_dir).withColumn("status", F.when(g % 7 == 3, 500).otherwise(F.col("status"))).withColumn(
+        "body", F.when(g % 3 == 0, F.replace("body", F.lit('<div class="foldertree">'), F.concat(intro, F.lit('<div class="foldertree">')))).otherwise(F.col("body")))
+    out = extract_folder_page(_shred(pages))
+    return out.select("page_key", "title", "description", F.size("entries").cast("bigint").alias("n_entries"), F.get("entries", 0)["size"].alias("first_size"), "parser_degraded")
+
+
+SQL_FOLDER_CONTENT = """
+WITH f AS (SELECT p_partkey // 25 AS g, count(DISTINCT p_name) AS n, arg_min(p_size, p_partkey) AS s FROM part GROUP BY 1)
+SELECT 'folder-' || g AS page_key, CASE WHEN g % 7 = 3 THEN 'Folder ' || g ELSE 'Ordner ' || g END AS title,
+  CASE WHEN g % 7 <> 3 AND g % 3 = 0 THEN 'Files of ' || g END AS description, CASE WHEN g % 7 = 3 THEN 0 ELSE n END::BIGINT AS n_entries,
+  CASE WHEN g % 7 <> 3 THEN s || ' KB' END AS first_size, g % 7 = 3 AS parser_degraded
+FROM f"""
+
+
+def q_choice_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per poll of ten customers: error pages (key mod 7 = 3), polls without options (mod 5 = 1), a chosen option (mod 2 = 0)."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.floor(F.col("c_custkey") / 10).cast("bigint").alias("g"))
+    option = F.concat(F.lit('<div class="option"><span class="text">'), R.esc("c_name"), F.lit('</span><span class="count">'), R._s("c_custkey"), F.lit("</span></div>"))
+    polls = c.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("c_custkey", option.alias("o")))).alias("items"))  # ten rows a page
+    g, s = F.col("g"), R._s("g")
+    inner = F.concat(
+        F.lit('<h2>Poll '), s, F.lit('</h2><div class="activity-header"><div>Opens: day '), s, F.lit("</div><div>Closes: then</div></div>"),
+        F.when(g % 2 == 0, F.concat(F.lit('<div class="currentchoice">Yours: '), s, F.lit("</div>"))).otherwise(F.lit("")),
+        F.when(g % 5 == 1, F.lit("<p>none</p>")).otherwise(F.array_join(F.transform("items", lambda x: x["o"]), "")),
+    )
+    pages = R.responses(polls, key=F.concat(F.lit("poll-"), s), path=F.concat(F.lit("/mod/choice/view.php?id="), s), body=R.page(F.lit("Poll"), inner), kind="activity", cmid=g, modtype="choice")
+    out = extract_choice(_shred(pages.withColumn("status", F.when(F.col("cmid") % 7 == 3, 503).otherwise(F.col("status")))))
+    return out.select("page_key", "title", "opens", "closes", "user_selection", F.size("options").cast("bigint").alias("n_options"),
+                      F.aggregate("options", F.lit(0).cast("bigint"), lambda a, o: a + F.coalesce(o["votes"], F.lit(0))).alias("votes"), "parser_degraded")
+
+
+SQL_CHOICE_CONTENT = """
+WITH p AS (SELECT c_custkey // 10 AS g, count(*) AS n, sum(c_custkey) AS v, c_custkey // 10 % 7 = 3 AS bad, c_custkey // 10 % 5 = 1 AS blank FROM customer GROUP BY 1, 4, 5)
+SELECT 'poll-' || g AS page_key, CASE WHEN bad THEN 'Choice ' ELSE 'Poll ' END || g AS title, CASE WHEN NOT bad THEN 'day ' || g END AS opens, CASE WHEN NOT bad THEN 'then' END AS closes,
+  CASE WHEN NOT bad AND g % 2 = 0 THEN 'Yours: ' || g END AS user_selection, CASE WHEN bad OR blank THEN 0 ELSE n END::BIGINT AS n_options,
+  CASE WHEN bad OR blank THEN 0 ELSE v END::BIGINT AS votes, bad OR blank AS parser_degraded
+FROM p"""
+
+QUERIES["folder_content"] = q_folder_content
+ORACLES["folder_content"] = SQL_FOLDER_CONTENT
+QUERIES["choice_content"] = q_choice_content
+ORACLES["choice_content"] = SQL_CHOICE_CONTENT
