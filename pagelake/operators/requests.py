@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 # Input limits of the tool layer.
 MODTYPE_RE = r"^[a-z_]+$"
 FORUM_MAX_LIMIT = 25
+SEARCH_MAX_LIMIT = 50
 QUERY_MIN, QUERY_MAX = 2, 200
 SEARCH_MAX_PAGE = 20
 YEAR_MIN, YEAR_MAX = 2020, 2100
 
 
-def validate_requests(df: DataFrame) -> DataFrame:
+def validate_requests(df: DataFrame, max_limit: int = FORUM_MAX_LIMIT) -> DataFrame:
     """Adds ``reasons`` (comma-joined failed checks, '' when none) and ``valid``.
     Checks apply to the columns present: cmid, modtype, limit, offset, query,
-    page, year, month (a null optional value passes)."""
+    page, year, month (a null optional value passes).  ``max_limit`` is that of the
+    tool at hand: ``SEARCH_MAX_LIMIT`` for searches."""
     c = F.col
     checks = []
     cols = set(df.columns)
@@ -25,7 +27,7 @@ def validate_requests(df: DataFrame) -> DataFrame:
     if "modtype" in cols:
         checks.append(("modtype", c("modtype").isNull() | ~c("modtype").rlike(MODTYPE_RE)))
     if "limit" in cols:
-        checks.append(("limit", c("limit").isNotNull() & ((c("limit") < 1) | (c("limit") > FORUM_MAX_LIMIT))))
+        checks.append(("limit", c("limit").isNotNull() & ((c("limit") < 1) | (c("limit") > max_limit))))
     if "offset" in cols:
         checks.append(("offset", c("offset").isNotNull() & (c("offset") < 0)))
     if "query" in cols:

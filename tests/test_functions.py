@@ -169,3 +169,12 @@ def test_ancestors_of_shallow_and_deep_nodes(spark):
         assert r.in_y == [i for i in up if any(is_y(r.nodes[j]) for j in line(i)[1:] if j > 0)]
         assert all((d.anc is None) == (d.depth > ANC_DEPTH) for d in r.nodes)
     assert any(d.anc is None for d in rows[0].nodes)
+
+
+def test_request_limits_per_tool(spark):
+    from pagelake.operators.requests import SEARCH_MAX_LIMIT, validate_requests
+
+    df = spark.createDataFrame([(0,), (1,), (25,), (26,), (50,), (51,), (None,)], "limit int")
+    flags = lambda out: [r.valid for r in out.collect()]
+    assert flags(validate_requests(df)) == [False, True, True, False, False, False, True]
+    assert flags(validate_requests(df, SEARCH_MAX_LIMIT)) == [False, True, True, True, True, False, True]
