@@ -6,9 +6,8 @@ selector string: callers build the few selectors they need from the helpers
 below, the way a Spark user writes ``col('x') == 1``.
 
 Because the shredder numbers nodes in pre-order and stores node ``i`` at array
-index ``i``, the subtree of ``a`` is the contiguous slice
-``nodes[a.pre+1 .. a.post]`` (``slice(nodes, a.pre + 2, a.post - a.pre)`` with
-Spark's 1-based ``slice``).  Descendant searches and text extraction therefore
+index ``i``, the subtree of ``a`` is the contiguous range
+``nodes[a.pre+1 .. a.post]``.  Descendant searches and text extraction therefore
 touch only the subtree, never the whole page.
 
 ANSI mode is on by default: use ``get`` / ``try_element_at`` (null on a miss),
@@ -19,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import normalize_text, truncate
@@ -109,9 +108,30 @@ def any_of(sels: Iterable[Sel]) -> Sel:
 
 # ---------------------------------------------------------------- structure
 
+def bind(expr: Column, fn) -> Column:
+    """Evaluate ``expr`` once and hand it to ``fn`` as a lambda variable, so ``fn``
+    may reference it many times without copying the expression tree."""
+    return F.get(F.transform(F.array(expr), fn), 0)
+
+
+def exploded(df: DataFrame, keep: Iterable, items: Column, pos: str = "pos", item: str = "e") -> DataFrame:
+    """``keep``, position and element of every item of an array, like ``posexplode``.  Spark puts a test of
+    the array below a plain ``posexplode`` and computes the whole array for that test once more, so the
+    outer form is used and its rows without an item are dropped."""
+    return df.select(*keep, F.posexplode_outer(items).alias(pos, item)).where(F.col(pos).isNotNull())
+
+
+def nonempty(x: Column) -> Column:
+    """``x``, null for ''; unlike ``nullif`` inside a lambda it evaluates ``x`` once."""
+    return bind(x, lambda v: F.when(v != "", v))
+
+
 def subtree(nodes: Column, a: Column) -> Column:
-    """Strict descendants of ``a`` in document order (a contiguous slice)."""
-    return F.slice(nodes, a["pre"] + 2, a["post"] - a["pre"])
+    """Strict descendants of ``a`` in document order.  They are read by index: ``slice`` on the page
+    would copy all its nodes for every subtree.  ``a`` is evaluated once."""
+    return bind(a, lambda x: F.when(
+        x["post"] > x["pre"], F.transform(F.sequence(x["pre"] + 1, x["post"]), lambda i: F.get(nodes, i))
+    ).when(x.isNotNull(), F.filter(F.array(x), lambda _: F.lit(False))))
 
 
 def select(nodes: Column, pred: Pred) -> Column:
@@ -128,8 +148,8 @@ def descendants(nodes: Column, a: Column, pred: Pred | None = None) -> Column:
 def children(nodes: Column, a: Column, pred: Pred | None = None) -> Column:
     """Children of ``a`` (``>`` combinator)."""
     if pred is None:
-        return F.filter(subtree(nodes, a), lambda d: d["parent"] == a["pre"])
-    return F.filter(subtree(nodes, a), lambda d: (d["parent"] == a["pre"]) & pred(d))
+        return bind(a, lambda x: F.filter(subtree(nodes, x), lambda d: d["parent"] == x["pre"]))
+    return bind(a, lambda x: F.filter(subtree(nodes, x), lambda d: (d["parent"] == x["pre"]) & pred(d)))
 
 
 def select_within(nodes: Column, outer: Pred, inner: Pred) -> Column:
@@ -178,12 +198,6 @@ def parent_of(nodes: Column, d: Column) -> Column:
     return F.get(nodes, d["parent"])
 
 
-def bind(expr: Column, fn) -> Column:
-    """Evaluate ``expr`` once and hand it to ``fn`` as a lambda variable, so ``fn``
-    may reference it many times without copying the expression tree."""
-    return F.get(F.transform(F.array(expr), fn), 0)
-
-
 def let(arr: Column, **fields) -> Column:
     """A ``let`` for array lambdas: each element becomes ``struct(_ = element,
     <name> = fn(element), …)``.  Later stages read the fields instead of
@@ -204,16 +218,17 @@ def last(arr: Column) -> Column:
 
 def closest(nodes: Column, x: Column, pred: Pred) -> Column:
     """Nearest ancestor-or-self of ``x`` matching ``pred`` (largest ``pre``)."""
-    return last(F.filter(F.concat(ancestors(nodes, x), F.array(x)), pred))
+    return bind(x, lambda y: last(F.filter(F.concat(ancestors(nodes, y), F.array(y)), pred)))
 
 
 def next_siblings(nodes: Column, x: Column, pred: Pred | None = None) -> Column:
     """Later siblings of ``x``."""
-    par = F.get(nodes, x["parent"])
-    window = F.slice(nodes, x["post"] + 2, F.greatest(par["post"] - x["post"], F.lit(0)))
-    if pred is None:
-        return F.filter(window, lambda s: s["parent"] == x["parent"])
-    return F.filter(window, lambda s: (s["parent"] == x["parent"]) & pred(s))
+    def later(y):
+        par = F.get(nodes, y["parent"])
+        window = F.slice(nodes, y["post"] + 2, F.greatest(par["post"] - y["post"], F.lit(0)))
+        return F.filter(window, lambda s: (s["parent"] == y["parent"]) & (F.lit(True) if pred is None else pred(s)))
+
+    return bind(x, later)
 
 
 def text_of(nodes: Column, a: Column, skip_chrome: bool = False) -> Column:
@@ -246,7 +261,7 @@ def remove(nodes: Column, pred: Pred) -> Column:
 
 def cascade_text(nodes: Column, preds: list[Pred], max_len: int | None = None, skip_chrome: bool = False) -> Column:
     """Text of the first selector whose first match has non-empty text ('' if none)."""
-    parts = [F.nullif(first_text(nodes, p, skip_chrome), F.lit("")) for p in preds]
+    parts = [nonempty(first_text(nodes, p, skip_chrome)) for p in preds]
     out = F.coalesce(*parts, F.lit(""))
     return truncate(out, max_len) if max_len else out
 
@@ -266,9 +281,9 @@ def label_for(nodes: Column, inp: Column) -> Column:
     div = closest(nodes, inp, tag("div"))
     in_div = first(descendants(nodes, div, tag("label")))
     return F.coalesce(
-        F.nullif(node_text(nodes, by_for), F.lit("")),
-        F.nullif(node_text(nodes, enclosing), F.lit("")),
-        F.nullif(node_text(nodes, in_div), F.lit("")),
+        nonempty(node_text(nodes, by_for)),
+        nonempty(node_text(nodes, enclosing)),
+        nonempty(node_text(nodes, in_div)),
     )
 
 

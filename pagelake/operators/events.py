@@ -40,12 +40,12 @@ FEED_EVENT_TYPE = T.ArrayType(T.StructType([
 
 def _nz(x: Column) -> Column:
     """JS ``x || undefined`` for numbers: 0 and null become null."""
-    return F.when(x != 0, x)
+    return D.bind(x, lambda v: F.when(v != 0, v))
 
 
 def _ne(x: Column) -> Column:
     """JS ``x || undefined`` for strings: '' and null become null."""
-    return F.nullif(x, F.lit(""))
+    return D.nonempty(x)
 
 
 def _event(title=None, course_id=None, course_name=None, modtype=None, event_type=None, cmid=None, event_id=None,
@@ -62,7 +62,7 @@ def _event(title=None, course_id=None, course_name=None, modtype=None, event_typ
 
 
 def _explode_events(df: DataFrame, events: Column, keep: tuple[str, ...], extra: list[Column] | None = None) -> DataFrame:
-    out = df.select(*keep, *(extra or []), F.posexplode(events).alias("pos", "e"))
+    out = D.exploded(df, [*keep, *(extra or [])], events)
     return out.select(*keep, *[F.col(c) for c in out.columns if c not in (*keep, "pos", "e")],
                       F.col("pos").cast("bigint").alias("pos"), *[F.col("e")[k].alias(k) for k in EVENT_FIELDS])
 
@@ -261,7 +261,7 @@ def extract_month(df: DataFrame, course_id=None, keep: tuple[str, ...] = ("page_
     err = F.when((F.size("_ev") == 0) & ~F.col("_has"), F.array(_event())).otherwise(F.array())
     rows = F.concat(F.transform("_ev", lambda e: F.struct(e.alias("e"), F.lit(None).cast("string").alias("error_code"))),
                     F.transform(err, lambda e: F.struct(e.alias("e"), F.lit("parse_error").alias("error_code"))))
-    out = staged.select(*keep, F.posexplode(rows).alias("pos", "r"))
+    out = D.exploded(staged, keep, rows, item="r")
     return out.select(*keep, F.when(F.col("r.error_code").isNull(), F.col("pos")).cast("bigint").alias("pos"),
                       *[F.col("r.e")[k].alias(k) for k in EVENT_FIELDS], F.col("r.error_code").alias("error_code"))
 
@@ -314,7 +314,7 @@ def read_event_feed(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Dat
                F.array(F.struct(_event().alias("e"), F.col("f.error_code").alias("error_code"),
                                 F.col("f.message").alias("message")))).otherwise(F.array()),
     )
-    out = staged.select(*keep, F.posexplode(rows).alias("pos", "r"))
+    out = D.exploded(staged, keep, rows, item="r")
     return out.select(*keep, F.when(F.col("r.error_code").isNull(), F.col("pos")).cast("bigint").alias("pos"),
                       *[F.col("r.e")[k].alias(k) for k in EVENT_FIELDS], "r.error_code", "r.message")
 
@@ -328,11 +328,10 @@ def timeline_source(pages: DataFrame, feeds: DataFrame | None = None, tz: str =
     (b) block items, (c) calendar block, then (d) the feed stored for the same
     ``page_key`` (a left join: pages without a feed keep their HTML result)."""
     nodes, base = F.col("nodes"), F.col("base_url")
-    a, b, c = upcoming_items(nodes, base, tz), block_items(nodes, base), calendar_block(nodes, base, tz)
-    staged = pages.select(*keep, a.alias("_a"), b.alias("_b"), c.alias("_c"))
-    html = F.coalesce(
-        F.when(F.size("_a") > 0, F.col("_a")), F.when(F.size("_b") > 0, F.col("_b")), F.when(F.size("_c") > 0, F.col("_c")))
-    staged = staged.select(*keep, html.alias("_html"))
+    # a later source is read only where all before it are empty
+    filled = lambda items: D.bind(items, lambda v: F.when(F.size(v) > 0, v))
+    html = F.coalesce(filled(upcoming_items(nodes, base, tz)), filled(block_items(nodes, base)), filled(calendar_block(nodes, base, tz)))
+    staged = pages.select(*keep, html.alias("_html"))
     if feeds is not None:
         f = feeds.select(*keep, feed_events(F.col("body"), F.col("base_url"))["events"].alias("_feed"))
         staged = staged.join(f, list(keep), "left")

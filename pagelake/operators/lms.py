@@ -53,7 +53,7 @@ def extract_courses(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Dat
     links = F.filter(nodes, lambda a: (a["tag"] == "a") & F.contains(D.attr(a, "href"), F.lit("/course/view.php?id=")))
     items = F.transform(links, lambda a: F.struct(
         a["pre"].alias("pre"),
-        F.nullif(F.regexp_extract(D.attr(a, "href"), r"[?&]id=(\d+)", 1), F.lit("")).try_cast("bigint").alias("cid"),
+        D.nonempty(F.regexp_extract(D.attr(a, "href"), r"[?&]id=(\d+)", 1)).try_cast("bigint").alias("cid"),
     ))
     items = first_wins(F.filter(items, lambda x: x["cid"].isNotNull()), lambda x: x["cid"])
     staged = df.select(*keep, "base_url", "nodes", items.alias("_items"))
@@ -61,12 +61,12 @@ def extract_courses(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Dat
     def row(x):
         a = F.get(nodes, x["pre"])
         title = normalize_text(D.attr(a, "title"))
-        name = F.coalesce(F.nullif(title, F.lit("")), F.nullif(_text(nodes, a), F.lit("")),
+        name = F.coalesce(D.nonempty(title), D.nonempty(_text(nodes, a)),
                           F.concat(F.lit("Course "), x["cid"].cast("string")))
         return F.struct(x["cid"].alias("course_id"), name.alias("name"),
                         absolute_url(F.col("base_url"), D.attr(a, "href")).alias("url"))
 
-    out = staged.select(*keep, F.posexplode(F.transform(F.col("_items"), row)).alias("pos", "c"))
+    out = D.exploded(staged, keep, F.transform(F.col("_items"), row), item="c")
     return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "c.course_id", "c.name", "c.url")
 
 
@@ -124,14 +124,14 @@ def extract_search_results(df: DataFrame, keep: tuple[str, ...] = ("page_key",))
         cid = x["cid"].cast("string")
         return F.struct(
             x["cid"].alias("course_id"),
-            F.when(full == "", F.concat(F.lit("Course "), cid)).otherwise(full).alias("fullname"),
-            F.nullif(cat, F.lit("")).alias("category"),
+            F.coalesce(D.nonempty(full), F.concat(F.lit("Course "), cid)).alias("fullname"),
+            D.nonempty(cat).alias("category"),
             truncate_snippet(summary).alias("summary_snippet"),
             absolute_url(F.col("base_url"), href).alias("url"),
             absolute_url(F.col("base_url"), F.concat(F.lit("/enrol/index.php?id="), cid)).alias("enrol_url"),
         )
 
-    out = staged.select(*keep, F.posexplode(F.transform(F.col("_items"), row)).alias("pos", "r"))
+    out = D.exploded(staged, keep, F.transform(F.col("_items"), row), item="r")
     return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "r.*")
 
 
@@ -150,20 +150,19 @@ def _discussion(nodes: Column, tr: Column) -> Column:
                                 & F.array_contains(D.parent_of(nodes, d)["class_tokens"], "author-info")
                                 & D.inside(nodes, tr, D.parent_of(nodes, d), cell_pred)))
 
-    author_raw = F.coalesce(F.nullif(_raw_text(nodes, info_div(D.tag("td") & D.cls("author"))), F.lit("")),
+    author_raw = F.coalesce(D.nonempty(_raw_text(nodes, info_div(D.tag("td") & D.cls("author")))),
                             _raw_text(nodes, D.first(D.find(nodes, tr, D.tag("td") & D.cls("author")))))
-    last_raw = F.coalesce(F.nullif(_raw_text(nodes, info_div(D.tag("td") & D.cls("text-start"))), F.lit("")),
+    last_raw = F.coalesce(D.nonempty(_raw_text(nodes, info_div(D.tag("td") & D.cls("text-start")))),
                           _raw_text(nodes, D.first(D.find(nodes, tr, D.tag("td") & D.cls("lastpost")))))
     spans = D.find(nodes, tr, D.tag("span"), within=D.tag("td"))
     replies = D.first(F.filter(F.transform(spans, lambda s: js_parse_int(_text(nodes, s))), lambda v: v.isNotNull()))
-    t = item_title
     return F.struct(
         js_parse_int(D.attr(tr, "data-discussionid")).alias("discussion_id"),
-        F.when(t == "", F.lit("(ohne Titel)")).otherwise(t).alias("title"),
-        F.nullif(normalize_text(author_raw), F.lit("")).alias("author"),
-        F.nullif(normalize_text(last_raw), F.lit("")).alias("last_post"),
+        F.coalesce(D.nonempty(item_title), F.lit("(ohne Titel)")).alias("title"),
+        D.nonempty(normalize_text(author_raw)).alias("author"),
+        D.nonempty(normalize_text(last_raw)).alias("last_post"),
         replies.alias("replies"),
-        F.when(href.isNotNull(), absolute_url(F.col("base_url"), href)).alias("url"),
+        absolute_url(F.col("base_url"), href).alias("url"),
     )
 
 
@@ -187,7 +186,7 @@ def extract_forum(df: DataFrame, limit=10, offset: int = 0, keep: tuple[str, ...
     return staged.select(
         *keep,
         F.when(ok & (title != ""), title).otherwise(F.concat(F.lit("Forum "), F.col("cmid").cast("string"))).alias("title"),
-        F.when(ok, F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit(""))).alias("description"),
+        F.when(ok, D.nonempty(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]))).alias("description"),
         F.when(ok, discussions).otherwise(F.array()).alias("discussions"),
         F.when(ok, total).otherwise(F.lit(0)).cast("bigint").alias("total_on_page"),
         F.when(ok, (offset + F.size(sliced)) < total).otherwise(F.lit(False)).alias("has_more"),
@@ -201,7 +200,7 @@ def forum_threads(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataF
     """E7 as rows: every discussion of every forum page (no paging), with position."""
     nodes = _nodes()
     staged = df.select(*keep, "base_url", "nodes", _discussion_rows(nodes).alias("_rows"))
-    out = staged.select(*keep, F.posexplode(F.transform(F.col("_rows"), lambda tr: _discussion(nodes, tr))).alias("pos", "d"))
+    out = D.exploded(staged, keep, F.transform(F.col("_rows"), lambda tr: _discussion(nodes, tr)), item="d")
     return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "d.*")
 
 
@@ -273,10 +272,10 @@ def extract_assign(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Data
         return D.last(F.filter(F.col("_rows"), lambda r: r["label"] == label))["value"]
 
     cols = {
-        "description": F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit("")),
-        "deadline": F.nullif(last_labelled(kv, ("due", "fäll")), F.lit("")),
-        "opens": F.nullif(last_labelled(kv, ("open",)), F.lit("")),
-        "closes": F.nullif(last_labelled(kv, ("close",)), F.lit("")),
+        "description": D.nonempty(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")])),
+        "deadline": D.nonempty(last_labelled(kv, ("due", "fäll"))),
+        "opens": D.nonempty(last_labelled(kv, ("open",))),
+        "closes": D.nonempty(last_labelled(kv, ("close",))),
         **{name: last_value(label) for label, name in ASSIGN_LABELS.items()},
     }
     ok = _ok()
@@ -334,7 +333,7 @@ def _attempt(base: Column, cells: Column) -> Column:
         last_where(lambda t: t.rlike(STATE_RE)).alias("state"),
         last_where(lambda t: t.rlike(MARKS_RE) & F.contains(t, F.lit("/"))).alias("marks"),
         last_where(lambda t: t.rlike(PERCENT_RE)).alias("grade"),
-        F.when(review.isNotNull(), absolute_url(base, review)).alias("review_url"),
+        absolute_url(base, review).alias("review_url"),
     )
 
 
@@ -355,7 +354,7 @@ def _last_info(texts: Column, pattern: str) -> Column:
         return cond
 
     hit = D.last(F.filter(texts, takes))
-    return F.nullif(F.trim(F.regexp_extract(hit, pattern, 1)), F.lit(""))
+    return D.nonempty(F.trim(F.regexp_extract(hit, pattern, 1)))
 
 
 def extract_quiz(df: DataFrame, *, as_of: float, tz: str = "Europe/Berlin", keep: tuple[str, ...] = ("page_key",),
@@ -379,12 +378,12 @@ def extract_quiz(df: DataFrame, *, as_of: float, tz: str = "Europe/Berlin", keep
     found = staged.select(
         *keep, "status", "cmid",
         F.transform(F.col("_att"), lambda a: a.dropFields("_cells")).alias("att"),
-        F.nullif(last_labelled(kv, ("open", "geöff", "öffn")), F.lit("")).alias("opens"),
-        F.nullif(last_labelled(kv, ("close", "schließ")), F.lit("")).alias("closes"),
+        D.nonempty(last_labelled(kv, ("open", "geöff", "öffn"))).alias("opens"),
+        D.nonempty(last_labelled(kv, ("close", "schließ"))).alias("closes"),
         _last_info(F.col("_info"), ALLOWED_RE).alias("allowed"),
         _last_info(F.col("_info"), GRADING_RE).alias("grading"),
         _last_info(F.col("_info"), GRADE_RE).alias("overall"),
-        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit("")).alias("desc"),
+        D.nonempty(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")])).alias("desc"),
         D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
     )
     # stage 2: derived numbers
@@ -452,8 +451,8 @@ def extract_course_activities(df: DataFrame, keep: tuple[str, ...] = ("page_key"
             name = F.when(named != "", named).otherwise(_text(nodes, D.first(D.find(nodes, li, D.cls("instancename")))))
             name = F.when(name != "", name).otherwise(F.concat(F.lit("Activity "), r["cmid"].cast("string")))
             link = F.coalesce(
-                F.nullif(D.attr(D.first(D.find(nodes, li, D.tag("a") & D.cls("aalink"))), "href"), F.lit("")),
-                F.nullif(D.attr(D.first(D.find(nodes, li, D.tag("a") & D.cls("stretched-link"))), "href"), F.lit("")))
+                D.nonempty(D.attr(D.first(D.find(nodes, li, D.tag("a") & D.cls("aalink"))), "href")),
+                D.nonempty(D.attr(D.first(D.find(nodes, li, D.tag("a") & D.cls("stretched-link"))), "href")))
             synth = F.concat(F.lit("/mod/"), r["mt"], F.lit("/view.php?id="), r["cmid"].cast("string"))
             return F.struct(r["cmid"].alias("cmid"), name.alias("name"),
                             r["mt"].alias("modtype"), absolute_url(base, F.coalesce(link, synth)).alias("url"))
@@ -461,17 +460,17 @@ def extract_course_activities(df: DataFrame, keep: tuple[str, ...] = ("page_key"
         return F.when(cmlist.isNotNull(), F.transform(raw, act)).otherwise(F.array())
 
     secs = D.let(sections, name=lambda sec: F.coalesce(
-        F.nullif(D.attr(sec, "data-sectionname"), F.lit("")),
-        F.nullif(_text(nodes, D.first(D.find(nodes, sec, D.tag("h3", "h4")))), F.lit("")), F.lit("")),
+        D.nonempty(D.attr(sec, "data-sectionname")),
+        D.nonempty(_text(nodes, D.first(D.find(nodes, sec, D.tag("h3", "h4"))))), F.lit("")),
         acts=items_of)
     secs = F.filter(secs, lambda s: F.size(s["acts"]) > 0)
     title_text = normalize_text(F.regexp_replace(F.coalesce(D.text_of(nodes, D.first(F.filter(nodes, D.tag("title")))),
                                                             F.lit("")), ":.*$", ""))
-    course_name = F.coalesce(F.nullif(D.first_text(nodes, D.tag("h1")), F.lit("")), F.nullif(title_text, F.lit("")),
+    course_name = F.coalesce(D.nonempty(D.first_text(nodes, D.tag("h1"))), D.nonempty(title_text),
                              F.concat(F.lit("Course "), F.col("course_id").cast("string")))
-    staged = df.select(*keep, course_name.alias("course_name"), F.posexplode(secs).alias("section_pos", "s"))
-    out = staged.select(*keep, "course_name", F.col("section_pos").cast("bigint").alias("section_pos"),
-                        F.col("s.name").alias("section_name"), F.posexplode("s.acts").alias("pos", "a"))
+    staged = D.exploded(df, [*keep, course_name.alias("course_name")], secs, "section_pos", "s")
+    out = D.exploded(staged, [*keep, "course_name", F.col("section_pos").cast("bigint").alias("section_pos"),
+                               F.col("s.name").alias("section_name")], F.col("s.acts"), item="a")
     return out.select(*keep, "course_name", "section_pos", "section_name", F.col("pos").cast("bigint").alias("pos"), "a.*")
 
 
@@ -501,13 +500,13 @@ def extract_folder_page(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) ->
     def entry(a):
         href = D.attr(a, "href")
         name_el = D.first(D.find(nodes, a, D.cls("fp-filename") | D.cls("filename")))
-        raw = F.coalesce(F.nullif(_raw_text(nodes, name_el), F.lit("")), _raw_text(nodes, a))
+        raw = F.coalesce(D.nonempty(_raw_text(nodes, name_el)), _raw_text(nodes, a))
         seg = F.element_at(F.split(F.element_at(F.split(href, "/"), -1), r"\?"), 1)
-        name = F.coalesce(F.nullif(normalize_text(raw), F.lit("")), F.coalesce(uri_decode(seg), seg))
+        name = F.coalesce(D.nonempty(normalize_text(raw)), F.coalesce(uri_decode(seg), seg))
         holder = D.closest(nodes, a, D.tag("li", "tr"))
         size = _text(nodes, D.first(D.find(nodes, holder, D.cls("fp-size") | D.cls("filesize"))))
         return F.struct(name.alias("name"), absolute_url(base, href).alias("download_url"),
-                        F.nullif(size, F.lit("")).alias("size"))
+                        D.nonempty(size).alias("size"))
 
     entries = F.transform(chosen, entry)
     return _typed_page(staged, keep, "Folder", {}, "entries", entries)
@@ -518,7 +517,7 @@ def _typed_page(staged: DataFrame, keep: tuple[str, ...], label: str, fields: di
     nodes, ok = _nodes(), _ok()
     read = staged.select(
         *keep, "status", "cmid", F.when(ok, D.first_text(nodes, D.tag("h1", "h2"))).alias("_h"),
-        F.when(ok, F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit(""))).alias("description"),
+        F.when(ok, D.nonempty(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]))).alias("description"),
         *[F.when(ok, c).alias(k) for k, c in fields.items()], F.when(ok, found).otherwise(F.filter(found, lambda _: F.lit(False))).alias(items),
     )
     return read.select(
@@ -531,7 +530,7 @@ def _typed_page(staged: DataFrame, keep: tuple[str, ...], label: str, fields: di
 
 def extract_folder(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
     """E12, one row per entry: pos, name, download_url, size."""
-    out = extract_folder_page(df, keep).select(*keep, F.posexplode("entries").alias("pos", "e"))
+    out = D.exploded(extract_folder_page(df, keep), keep, F.col("entries"))
     return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "e.*")
 
 
@@ -553,13 +552,13 @@ def _choice_options(nodes: Column) -> Column:
     def row(el):
         is_input = el["tag"] == "input"
         w_label_el = D.first(D.find(nodes, el, D.cls("choicetext") | D.cls("text") | D.tag("label")))
-        w_label = normalize_text(F.coalesce(F.nullif(_raw_text(nodes, w_label_el), F.lit("")), _raw_text(nodes, el)))
+        w_label = normalize_text(F.coalesce(D.nonempty(_raw_text(nodes, w_label_el)), _raw_text(nodes, el)))
         votes_text = _text(nodes, D.first(D.find(nodes, el, D.cls("count") | D.cls("numvotes"))))
         votes = F.when(votes_text != "", F.when(js_parse_int(votes_text) != 0, js_parse_int(votes_text)))
         inner_checked = F.exists(D.find(nodes, el, radio), lambda r: D.attr(r, "checked").isNotNull())
         i_id = D.attr(el, "id")
         by_for = _text(nodes, D.first(F.filter(nodes, lambda l: (l["tag"] == "label") & (D.attr(l, "for") == i_id))))
-        enclosing = F.coalesce(F.nullif(_raw_text(nodes, D.closest(nodes, el, D.tag("label"))), F.lit("")),
+        enclosing = F.coalesce(D.nonempty(_raw_text(nodes, D.closest(nodes, el, D.tag("label")))),
                                _raw_text(nodes, D.first(D.find(nodes, D.closest(nodes, el, D.tag("div")), D.tag("label")))))
         i_label = F.when(i_id.isNotNull(), by_for).otherwise(normalize_text(enclosing))
         return F.struct(
@@ -579,16 +578,16 @@ def extract_choice(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Data
     mine = D.cls("choiceresponse") | D.cls("userresponse") | D.cls("currentchoice")
     staged = df.select(*keep, "status", "cmid", "nodes", labelled_lines(header_lines(nodes), FEEDBACK_DATE_RE).alias("_kv"), _choice_options(nodes).alias("_options"))
     fields = {
-        "opens": F.nullif(last_labelled(F.col("_kv"), ("open",)), F.lit("")),
-        "closes": F.nullif(last_labelled(F.col("_kv"), ("close",)), F.lit("")),
-        "user_selection": F.nullif(D.first_text(nodes, mine), F.lit("")),
+        "opens": D.nonempty(last_labelled(F.col("_kv"), ("open",))),
+        "closes": D.nonempty(last_labelled(F.col("_kv"), ("close",))),
+        "user_selection": D.nonempty(D.first_text(nodes, mine)),
     }
     return _typed_page(staged, keep, "Choice", fields, "options", F.col("_options"))
 
 
 def extract_choice_options(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> DataFrame:
     """E15, one row per option: pos, label, votes, selected."""
-    out = extract_choice(df, keep).select(*keep, F.posexplode("options").alias("pos", "o"))
+    out = D.exploded(extract_choice(df, keep), keep, F.col("options"), item="o")
     return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "o.*")
 
 
@@ -612,9 +611,9 @@ def extract_feedback(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Da
     found = staged.select(
         *keep, "status", "cmid",
         D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
-        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit("")).alias("description"),
-        F.nullif(last_labelled(labelled_lines(F.col("_lines"), FEEDBACK_DATE_RE), ("open",)), F.lit("")).alias("opens"),
-        F.nullif(last_labelled(labelled_lines(F.col("_lines"), FEEDBACK_DATE_RE), ("close",)), F.lit("")).alias("closes"),
+        D.nonempty(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")])).alias("description"),
+        D.nonempty(last_labelled(labelled_lines(F.col("_lines"), FEEDBACK_DATE_RE), ("open",))).alias("opens"),
+        D.nonempty(last_labelled(labelled_lines(F.col("_lines"), FEEDBACK_DATE_RE), ("close",))).alias("closes"),
         F.when(body_text.rlike(ALREADY_RE), F.lit(True)).alias("already_submitted"),
         D.last(counts).try_cast("bigint").alias("submission_count"),
     )
@@ -651,11 +650,11 @@ def extract_lesson(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Data
     found = staged.select(
         *keep, "status", "cmid",
         D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
-        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit("")).alias("description"),
-        F.nullif(last_labelled(labelled_lines(F.col("_lines"), LESSON_DATE_RE), ("open", "avail")), F.lit("")).alias("opens"),
-        F.nullif(last_labelled(labelled_lines(F.col("_lines"), LESSON_DATE_RE), ("close", "dead")), F.lit("")).alias("closes"),
+        D.nonempty(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")])).alias("description"),
+        D.nonempty(last_labelled(labelled_lines(F.col("_lines"), LESSON_DATE_RE), ("open", "avail"))).alias("opens"),
+        D.nonempty(last_labelled(labelled_lines(F.col("_lines"), LESSON_DATE_RE), ("close", "dead"))).alias("closes"),
         F.regexp_extract(attempts, LESSON_ATTEMPTS_RE, 1).try_cast("bigint").alias("attempts_used"),
-        F.nullif(F.trim(F.regexp_extract(score, LESSON_SCORE_RE, 1)), F.lit("")).alias("best_score"),
+        D.nonempty(F.trim(F.regexp_extract(score, LESSON_SCORE_RE, 1))).alias("best_score"),
     )
     ok = _ok()
     c = F.col
@@ -699,10 +698,10 @@ def extract_workshop(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Da
     found = staged.select(
         *keep, "status", "cmid",
         D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
-        F.nullif(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]), F.lit("")).alias("description"),
-        F.nullif(last_labelled(labelled_lines(F.col("_lines"), WORKSHOP_DATE_RE), ("open",)), F.lit("")).alias("opens"),
-        F.nullif(last_labelled(labelled_lines(F.col("_lines"), WORKSHOP_DATE_RE), ("close", "fäll", "due")), F.lit("")).alias("closes"),
-        F.coalesce(F.nullif(active, F.lit("")), F.nullif(current, F.lit(""))).alias("current_phase"),
+        D.nonempty(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")])).alias("description"),
+        D.nonempty(last_labelled(labelled_lines(F.col("_lines"), WORKSHOP_DATE_RE), ("open",))).alias("opens"),
+        D.nonempty(last_labelled(labelled_lines(F.col("_lines"), WORKSHOP_DATE_RE), ("close", "fäll", "due"))).alias("closes"),
+        F.coalesce(D.nonempty(active), D.nonempty(current)).alias("current_phase"),
         D.last(F.filter(r, lambda x: F.contains(x["label"], F.lit("submission")) | F.contains(x["label"], F.lit("abgabe"))))["value"]
         .alias("submission_status"),
         D.last(F.filter(r, lambda x: F.contains(x["label"], F.lit("grade")) | F.contains(x["label"], F.lit("note"))))["value"]

@@ -119,7 +119,7 @@ def listed_episodes(df: DataFrame, keep: tuple[str, ...] = ("page_key",)) -> Dat
         F.lower(F.regexp_extract(D.attr(a, "href"), r"(?i)[?&]lang=(de|en)\b", 1)).alias("lang"), absolute_url(base, D.attr(a, "href")).alias("link"),
     ))
     staged = df.select(*keep, F.filter(parsed, lambda l: l["id"] != "").alias("_links"))
-    rows = staged.select(*keep, F.posexplode("_links").alias("at", "l")).select(*keep, "at", "l.*").withColumn("switch", F.lower("text").isin("de", "en"))
+    rows = D.exploded(staged, keep, F.col("_links"), "at", "l").select(*keep, "at", "l.*").withColumn("switch", F.lower("text").isin("de", "en"))
     better = (F.col("lang") == "de") & ~F.col("switch")
     packed = F.struct("text", "link", "switch")
     one = rows.groupBy(*keep, "id").agg(F.min("at").alias("first_at"), F.min_by(packed, "at").alias("first"), F.max_by(packed, F.when(better, F.col("at"))).alias("german"))

@@ -21,7 +21,7 @@ def explode_matches(df: DataFrame, matches: Column, fields: dict[str, Callable[[
     ``fn(nodes, node) -> Column``.  Output: ``keep`` + ``pos`` + fields."""
     nodes = F.col("nodes")
     structs = F.transform(matches, lambda a: F.struct(*[fn(nodes, a).alias(k) for k, fn in fields.items()]))
-    return df.select(*keep, F.posexplode(structs).alias(pos_name, "_m")).select(
+    return D.exploded(df, keep, structs, pos_name, "_m").select(
         *keep, F.col(pos_name).cast("bigint").alias(pos_name), *[F.col("_m")[k].alias(k) for k in fields]
     )
 

@@ -60,7 +60,7 @@ def error_record(code: Column, parser: Column | None = None, selector: Column |
 
 def data_attr_names(n: Column) -> Column:
     """Sorted ``data-*`` attribute names of a node (empty for a missing node)."""
-    return F.coalesce(F.array_sort(F.filter(F.map_keys(n["attrs"]), lambda k: k.startswith("data-"))),
+    return F.coalesce(F.sort_array(F.filter(F.map_keys(n["attrs"]), lambda k: k.startswith("data-"))),
                       F.array().cast("array<string>"))
 
 
@@ -76,5 +76,5 @@ def attr_profile(df: DataFrame, anchors_fn, keep: tuple[str, ...] = ("page_key",
         F.to_json(data_attr_names(r["td"])).alias("table_cell_data_attrs"),
         F.coalesce(D.attr(r["td"], "data-day-timestamp").isNotNull(), F.lit(False)).alias("has_td_day_timestamp"),
     ))
-    out = df.select(*keep, F.posexplode(prof).alias("pos", "p"))
+    out = D.exploded(df, keep, prof, item="p")
     return out.select(*keep, F.col("pos").cast("bigint").alias("pos"), "p.*")

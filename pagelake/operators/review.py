@@ -33,7 +33,7 @@ def _chosen(nodes: Column, que: Column) -> Column:
     options = F.filter(D.find(nodes, que, D.tag("div")), lambda d: F.array_contains(D.parent_of(nodes, d)["class_tokens"], "answer"))
     ticked = F.filter(options, lambda o: F.exists(D.subtree(nodes, o), D.tag("input") & D.has_attr("checked")))
     label = D.cls("flex-fill") | D.attr_eq("data-region", "answer-label") | D.tag("label", "p")
-    marked = F.transform(ticked, lambda o: F.coalesce(F.nullif(_text(nodes, D.first(D.find(nodes, o, label))), F.lit("")), _text(nodes, o)))
+    marked = F.transform(ticked, lambda o: F.coalesce(D.nonempty(_text(nodes, D.first(D.find(nodes, o, label)))), _text(nodes, o)))
     number = D.tag("input") & D.attr_eq("type", "number")
     typed = F.filter(D.subtree(nodes, que), lambda n: (D.tag("input")(n) & (D.attr(n, "type") == "text") & D.inside(nodes, que, n, D.cls("answer") | D.cls("ablock")))
                      | (number(n) & D.inside(nodes, que, n, D.cls("answer"))))
@@ -48,15 +48,15 @@ def _question(nodes: Column, que: Column) -> Column:
     hidden = D.cls("accesshide")
     visible = F.filter(D.subtree(nodes, form), lambda n: (n["tag"] == "#text") & ~D.inside(nodes, form, n, hidden))
     fallback = normalize_text(F.array_join(visible["text"], ""))
-    text = F.coalesce(F.nullif(_text(nodes, D.first(D.find(nodes, que, D.cls("qtext")))), F.lit("")), F.nullif(fallback, F.lit("")))
-    number = F.coalesce(F.nullif(_info(nodes, que, "qno"), F.lit("")), _info(nodes, que, "no"))
+    text = F.coalesce(D.nonempty(_text(nodes, D.first(D.find(nodes, que, D.cls("qtext"))))), D.nonempty(fallback))
+    number = F.coalesce(D.nonempty(_info(nodes, que, "qno")), _info(nodes, que, "no"))
     tokens = que["class_tokens"]
-    one = lambda name: F.nullif(_text(nodes, D.first(D.find(nodes, que, D.cls(name)))), F.lit(""))
+    one = lambda name: D.nonempty(_text(nodes, D.first(D.find(nodes, que, D.cls(name)))))
     return F.struct(
         js_parse_int(F.regexp_extract(number, r"\d+", 0)).alias("number"),
-        F.nullif(_info(nodes, que, "state"), F.lit("")).alias("state"),
+        D.nonempty(_info(nodes, que, "state")).alias("state"),
         F.when(F.array_contains(tokens, "correct"), True).when(F.arrays_overlap(tokens, F.array(*map(F.lit, ("incorrect", "partiallycorrect", "notanswered")))), False).alias("is_correct"),
-        F.nullif(_info(nodes, que, "grade"), F.lit("")).alias("marks"),
+        D.nonempty(_info(nodes, que, "grade")).alias("marks"),
         text.alias("question_text"),
         _chosen(nodes, que).alias("your_answer"),
         strip_answer_prefix(one("rightanswer")).alias("correct_answer"),

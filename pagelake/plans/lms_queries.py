@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dom import exploded
 from ..operators.lms import extract_assign, extract_courses, extract_forum, extract_quiz, forum_threads
 from ..operators.shred import shred_html
 from . import render as R
@@ -134,7 +135,7 @@ FROM q
 
 def q_quiz_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E9b + W5: attempt rows (all of a quiz) with state, marks, grade and review link."""
-    q = _quiz(spark, sf_dir).select("page_key", F.posexplode("attempts").alias("pos", "a"))
+    q = exploded(_quiz(spark, sf_dir), ["page_key"], F.col("attempts"), item="a")
     return q.select("page_key", F.col("pos").cast("bigint").alias("pos"), "a.*")
 
 
@@ -484,7 +485,7 @@ def q_feed_sanitized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: every event of every sanitised feed, read back from its JSON."""
     feeds = R.feed_pages(spark, sf_dir).select("page_key", F.regexp_extract("page_key", r"\d+$", 0).cast("bigint").alias("block"), "body")
     v = F.try_parse_json("sanitized")
-    rows = sanitize_feed(feeds, "block").select("page_key", F.posexplode(F.try_variant_get(v, "$[0].data.events", "array<variant>")).alias("pos", "e"))
+    rows = exploded(sanitize_feed(feeds, "block"), ["page_key"], F.try_variant_get(v, "$[0].data.events", "array<variant>"))
     read = lambda path, kind: F.try_variant_get(F.col("e"), path, kind)
     return rows.select(
         "page_key", F.col("pos").cast("bigint").alias("pos"), read("$.id", "bigint").alias("id"), read("$.instance", "bigint").alias("instance"), read("$.name", "string").alias("name"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dom import exploded
 from ..operators import media
 from ..operators.activities import extract_rating, extract_resource
 from ..operators.dispatch import extract_activity
@@ -136,7 +137,7 @@ FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orde
 
 
 def q_quiz_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _reviews(spark, sf_dir).select("page_key", F.posexplode("questions").alias("pos", "q"))
+    rows = exploded(_reviews(spark, sf_dir), ["page_key"], F.col("questions"), item="q")
     return rows.select("page_key", F.col("pos").cast("bigint").alias("pos"), "q.number", "q.state", "q.is_correct", "q.marks", "q.question_text",
                        F.array_join("q.your_answer", "|").alias("your_answer"), "q.correct_answer")
 

@@ -153,3 +153,35 @@ def test_clean_page_with_unclosed_nav_items(spark):
     row = clean_page(shred_html(df, keep_html=False)).first()
     assert row.title == "T" and row.text == ("T Body " + "word " * 7000).strip() or row.text.endswith("word")
     assert row.length == len(row.text) > 30_000 and "Home" not in row.text
+
+
+_markup = st.sampled_from([
+    "<p>", "</p>", "<b>", "</b>", "<br>", "<br/>", "<li>", "<ul>", "</ul>", "<div>", "</div>", "<td>", "<tr>", "<table>", "</table>", "<h1>", "</h2>", "<title>", "</title>",
+    "<body>", "</body>", "<option>", "<select>", '<a href="/x?a=1&amp;b=2" class="q  r">', "</a>", '<div class="navbar" id="a" id="b">', "<input checked>", "<!-- c -->", "<!-->", "<script>",
+    "</script>", "<textarea>", "</textarea>", "<A>", "< ", "x > y", "&amp;", "&lt", '<a href="&copy=1">', "<a b=c>", "</p >", "<div/>", "<p", " ", "é",
+])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(_markup, max_size=14))
+def test_plain_markup_is_read_as_by_the_standard_parser(frags):
+    from pagelake.operators.shred import _TreeBuilder
+
+    html = "".join(frags)
+    got, ref = parse_html(html), _TreeBuilder()
+    ref.feed(html)
+    ref.close()
+    fields = ("tag", "parent", "depth", "post", "attrs", "cls", "chrome", "text", "data")
+    assert [getattr(got, f) for f in fields] == [getattr(ref, f) for f in fields]
+
+
+def test_plain_pages_need_no_standard_parser():
+    from pagelake.operators.shred import _TreeBuilder
+
+    plain = '<!DOCTYPE html><html><head><title>T &amp; U</title></head><body><!-- c --><a href="/x?a=1&amp;b=2">x</a><br/></body></html>'
+    tb = _TreeBuilder()
+    assert tb.read_plain(plain)
+    assert dict(tb.attrs[tb.tag.index("a")]) == {"href": "/x?a=1&b=2"} and "T & U" in tb.text
+    for other in ("<script>1</script>", "<a href=x>", "a < b", "<title><b></title>", "<title>x"):
+        tb = _TreeBuilder()
+        assert not tb.read_plain(other) and not tb.tag, other
