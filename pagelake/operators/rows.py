@@ -70,20 +70,21 @@ def alpha_label(idx: Column) -> Column:
     )
 
 
-def dense_index(df: DataFrame, order: str, tie: str, name: str = "idx", span: int = 1 << 16) -> DataFrame:
-    """0-based position of every row by (``order``, ``tie``), for an integral ``order`` column (null first).
+def dense_index(df: DataFrame, order: str, tie: str, name: str = "idx", span: int = 1 << 16, by: tuple[str, ...] = ()) -> DataFrame:
+    """0-based position of every row by (``order``, ``tie``), for an integral ``order`` column (null first);
+    rows of each combination of the columns ``by``, which are not null, are numbered by themselves.
 
     Rows fall into buckets of ``span`` consecutive order values; a bucket's rows are numbered by themselves
     and moved up by the number of rows in lower buckets, a running sum over one row per bucket.  All lazy:
     nothing runs before the action, and no intermediate table is written."""
     keyed = df.withColumn("_b", F.coalesce(F.floor(F.col(order).cast("bigint") / span), F.lit(-(1 << 62))))
-    counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    below = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_b").orderBy(F.col(order).asc_nulls_first(), tie)
+    counts = keyed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    below = (Window.partitionBy(*by) if by else Window).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*by, "_b", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*by, "_b").orderBy(F.col(order).asc_nulls_first(), tie)
     return (
         keyed.withColumn("_rn", F.row_number().over(inside) - 1)
-        .join(offsets, "_b")
+        .join(offsets, [*by, "_b"])
         .withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint"))
         .drop("_b", "_rn", "_off")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dom import bind, exploded
 from ..functions.text import redact_text
 from .rows import alpha_label, dense_index
 
@@ -33,8 +34,8 @@ def _name(v: Column, path: str, prefix: str, i: Column) -> Column:
 
 def _id(v: Column, new: Column) -> Column:
     """The new id for a number, a truth value or a numeric text; null, which drops the member, for anything else."""
-    text = F.trim(_text(v))
-    number = _is(v, "BIGINT") | _is(v, "DECIMAL") | _is(v, "DOUBLE") | _is(v, "BOOLEAN") | (_is(v, "STRING") & ((text == "") | text.try_cast("double").isNotNull()))
+    numeric = bind(F.trim(_text(v)), lambda t: (t == "") | t.try_cast("double").isNotNull())
+    number = bind(F.coalesce(F.schema_of_variant(v), F.lit("")), lambda kind: F.when(kind.startswith("STRING"), numeric).otherwise(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|BOOLEAN)")))
     return F.when(number, new.cast("bigint").cast("variant"))
 
 
@@ -47,11 +48,14 @@ def _replace(members: Column, new: dict[str, Column]) -> Column:
 
 
 def _event(ev: Column, i: Column, labels: Column) -> Column:
-    members = F.coalesce(_get(ev, "$", _MEMBERS), F.create_map().cast(_MEMBERS))
+    return bind(F.coalesce(_get(ev, "$", _MEMBERS), F.create_map().cast(_MEMBERS)), lambda members: _clean_event(members, ev, i, labels))
+
+
+def _clean_event(members: Column, ev: Column, i: Column, labels: Column) -> Column:
     instance = (i + INSTANCE_IDS).cast("string")
 
     def url(v: Column) -> Column:
-        return F.when(_is(v, "STRING"), F.regexp_replace(_text(v), r"id=\d+", F.concat(F.lit("id="), instance)).cast("variant")).otherwise(v)
+        return bind(v, lambda u: F.when(_is(u, "STRING"), F.regexp_replace(_text(u), r"id=\d+", F.concat(F.lit("id="), instance)).cast("variant")).otherwise(u))
 
     action, course = members["action"], members["course"]
     named = lambda kind, name: labels[F.concat(F.lit(kind), name)].cast("variant")
@@ -74,25 +78,24 @@ def sanitize_feed(feeds: DataFrame, order: str, body: str = "body", out: str = "
     other members stay; an id that is no number goes.  ``limit`` keeps that many events a feed, default all.
     Other envelopes come back as they are; null and texts that are no JSON (or repeat a member) give null.
     Every row stays, repeated rows too: labels are looked up by the text's digest.  Labels are counted per 1024 feeds of
-    consecutive order; the sums over these run in one task."""
+    consecutive order; the sums over these run in one task a kind."""
     first = _get(F.col("_v"), "$[0]", "variant")
     read = feeds.withColumn("_v", F.try_parse_json(redact_text(F.col(body), **site))).withColumn("_first", F.when(_is(F.col("_v"), "ARRAY") & _is(first, "OBJECT"), first))
     events = _get(F.col("_first"), "$.data.events", "array<variant>")
     read = read.withColumn("_events", events if limit is None else F.slice(events, 1, limit)).withColumn("_digest", F.sha2(F.col(body), 256))
 
     at = F.coalesce(F.col(order).cast("bigint"), F.lit(-1)) * F.lit(SLOTS)
-    seen = read.select("_digest", at.alias("_at"), F.posexplode("_events").alias("_i", "_e"))
+    seen = exploded(read, ["_digest", at.alias("_at")], F.col("_events"), "_i", "_e")
     course = _get(F.col("_e"), "$.course", "variant")
     names = seen.select("_digest", (F.col("_at") + F.col("_i")).alias("_at"), F.explode(F.array(
         F.struct(F.lit("e").alias("kind"), _name(F.col("_e"), "$.name", "Event", F.col("_i")).alias("name")),
         F.struct(F.lit("c").alias("kind"), F.when(_is(course, "OBJECT"), _name(course, "$.fullname", "Course", F.col("_i"))).alias("name")),
     )).alias("_n")).select("_digest", "_at", "_n.*").where("name IS NOT NULL")
     firsts = names.groupBy("kind", "name").agg(F.min("_at").alias("_at"))
-    label = None
-    for kind, prefix in (("e", "Event "), ("c", "Course ")):
-        one = dense_index(firsts.where(F.col("kind") == kind), "_at", "name", "_idx", span=SLOTS * FEEDS_PER_BUCKET)
-        one = one.select("kind", "name", F.concat(F.lit(prefix), alpha_label(F.col("_idx"))).alias("label"))
-        label = one if label is None else label.unionAll(one)
+    # both kinds in one pass: a pass per kind would read and parse every feed again
+    prefix = F.when(F.col("kind") == "e", F.lit("Event ")).otherwise(F.lit("Course "))
+    label = dense_index(firsts, "_at", "name", "_idx", span=SLOTS * FEEDS_PER_BUCKET, by=("kind",)).select(
+        "kind", "name", F.concat(prefix, alpha_label(F.col("_idx"))).alias("label"))
     used = names.select("_digest", "kind", "name").distinct().join(label, ["kind", "name"])
     pairs = F.collect_list(F.struct(F.concat("kind", "name"), F.col("label")))  # at most two names an event of one feed
     labels = used.groupBy("_digest").agg(F.map_from_entries(pairs).alias("_labels"))

@@ -89,3 +89,42 @@ def test_dates(spark, text, want):
 
     row = spark.createDataFrame([(text,)], "t string").select(parse_lms_date("t").cast("string").alias("d")).first()
     assert row.d == want
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["quiz_attempts", "quiz_questions", "events_upcoming", "events_month", "attr_profile", "feed_sanitized"])
+def test_exploded_arrays_are_computed_once(spark, name):
+    """A filter on the array's size below the explode would compute the whole array a second time."""
+    plan = _plan(E.queries()[name](spark, SF))
+    assert "posexplode" in plan
+    assert not [line for line in plan.splitlines() if "Filter" in line and "size(" in line]
+
+
+def test_located_node_is_evaluated_once(spark):
+    from pagelake.functions import dom as D
+    from pagelake.functions.urls import absolute_url
+    from pagelake.operators.shred import shred_html
+
+    df = shred_html(spark.createDataFrame([('<ul><li>x<li><a href="/a/../b c">t<b>u</b></a></ul><p></p>', "https://h")], "body string, base string"), keep_html=False)
+    nodes = F.col("nodes")
+    link = D.first(F.filter(nodes, D.tag("a") & D.attr_contains("href", "/a/")))
+    cols = [D.node_text(nodes, link), D.attr(D.closest(nodes, link, D.tag("a")), "href"), absolute_url(F.col("base"), D.attr(link, "href")), D.node_text(nodes, D.first(F.filter(nodes, D.tag("p"))))]
+    for c in cols[:3]:
+        assert _plan(df.select(c.alias("c"))).count("/a/") == 1
+    assert tuple(df.select(*cols).first()) == ("tu", "/a/../b c", "https://h/b%20c", "")
+
+
+def test_dense_index_by_group(spark):
+    df = spark.createDataFrame([(g, i * 100_000, f"{g}{i}") for g in "ab" for i in range(5)], "g string, pos long, v string")
+    assert {r.v: r.idx for r in rows.dense_index(df, "pos", "v", by=("g",)).collect()} == {f"{g}{i}": i for g in "ab" for i in range(5)}
+
+
+def test_sanitized_feeds_are_opened_three_times(spark):
+    from pagelake.operators.sanitize import sanitize_feed
+
+    feeds = spark.createDataFrame([(1, "[]")], "o long, body string")
+    # the first names (once for their counts, once for their numbers) and the names per feed
+    assert _plan(sanitize_feed(feeds, "o")).count("posexplode(") == 3
