@@ -42,9 +42,11 @@ MIN_COUNT = 10
 TOP = 2000
 COVER_PERCENT = 50
 SHARD = 1 << 18
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 _PROBES = 128  # bases tried for one set of children
 _STREAM = 1 << 20  # word numbers that a task walks through all shards at a time
+_PIECE = 1 << 18  # places of these that are sorted at a time
+_ROWS = 1 << 16  # rows that a task hands to Spark at a time
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -147,8 +149,10 @@ def _streams(docs: DataFrame, folder: str, shards: int) -> DataFrame:
             if k not in kept:
                 kept.clear()
                 with open_read(f"{folder}/words-{k}") as f:
-                    table = pq.read_table(f).to_pandas()
-                kept[k] = {lang: (pa.array(part["word"], pa.large_string()), part["id"].to_numpy()) for lang, part in table.groupby("lang")}
+                    table = pq.read_table(f).combine_chunks()  # in the order of the languages
+                for lang in pc.unique(table["lang"]).to_pylist():
+                    part = table.filter(pc.equal(table["lang"], lang)).combine_chunks()
+                    kept.setdefault(k, {})[lang] = (part["word"].chunk(0), part["id"].to_numpy())
             return kept[k]
 
         there = [k for k in range(shards) if _exists(f"{folder}/words-{k}")]
@@ -191,6 +195,12 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
+def _handed(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of ``_ROWS``."""
+    for lo in range(0, len(columns[0]), _ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(x[lo : lo + _ROWS]) for x in columns], names)
+
+
 # ---------------------------------------------------------------- tries
 
 
@@ -305,7 +315,7 @@ def _counted(streams: DataFrame, candidates: DataFrame, columns: list[str], fold
                     last[k] = Trie.load(f"{folder}/trie-{k}")
                 count = np.bincount(last[k].walk(ids, length)[1])
                 hit = np.flatnonzero(count)
-                yield pa.RecordBatch.from_pydict({"shard": pa.array(np.full(len(hit), k, np.int32)), "place": pa.array(hit), "f": pa.array(count[hit])})
+                yield from _handed([np.full(len(hit), k, np.int32), hit, count[hit]], ["shard", "place", "f"])
 
     found = streams.mapInArrow(run, "shard int, place long, f long").groupBy("shard", "place").agg(F.sum("f").alias("f"))
     return materialize(dealt.join(found.where(F.col("f") >= min_count), ["shard", "place"]), "counted"), shards
@@ -335,8 +345,10 @@ def _bucketed(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.nda
 def _pairs(streams: DataFrame, min_count: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids in _joined(batches):
-            at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _bucketed(ids[at], ids[at + 1])], ["bucket", "a", "b", "n"])
+            every = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+            for lo in range(0, len(every), _PIECE):
+                at = every[lo : lo + _PIECE]
+                yield from _handed(_bucketed(ids[at], ids[at + 1]), ["bucket", "a", "b", "n"])
 
     return _bounded(streams.mapInArrow(run, "bucket long, a long, b long, n long"), ["a", "b"], min_count)
 
@@ -355,16 +367,18 @@ def _triples(streams: DataFrame, pairs: DataFrame, folder: str, min_count: int)
                     last.clear()
                     last[k] = Trie.load(f"{folder}/trie-{k}")
                 pair[last[k].walk(ids, 2)[0]] = True
-            at = np.flatnonzero(pair[:-1] & pair[1:])
-            a, b, c = ids[at].astype(np.int64), ids[at + 1].astype(np.int64), ids[at + 2].astype(np.int64)
-            order = np.lexsort((c, b, a))
-            a, b, c = a[order], b[order], c[order]
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])
-            start = np.flatnonzero(new)
-            a, b, c, n = a[start], b[start], c[start], np.diff(np.append(start, len(new)))
-            bucket = (mix64(mix64((a << 32 | b).astype(np.uint64)) ^ c.astype(np.uint64)) >> np.uint64(24)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket, a, b, c, n)], ["bucket", "a", "b", "c", "n"])
+            every = np.flatnonzero(pair[:-1] & pair[1:])
+            for lo in range(0, len(every), _PIECE):
+                at = every[lo : lo + _PIECE]
+                a, b, c = ids[at].astype(np.int64), ids[at + 1].astype(np.int64), ids[at + 2].astype(np.int64)
+                order = np.lexsort((c, b, a))
+                a, b, c = a[order], b[order], c[order]
+                new = np.ones(len(a), bool)
+                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])
+                start = np.flatnonzero(new)
+                a, b, c, n = a[start], b[start], c[start], np.diff(np.append(start, len(new)))
+                bucket = (mix64(mix64((a << 32 | b).astype(np.uint64)) ^ c.astype(np.uint64)) >> np.uint64(24)).astype(np.int64)
+                yield from _handed([bucket, a, b, c, n], ["bucket", "a", "b", "c", "n"])
 
     return _bounded(streams.mapInArrow(run, "bucket long, a long, b long, c long, n long"), ["a", "b", "c"], min_count)
 
