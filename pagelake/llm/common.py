@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _LOCAL_ROOT: list[str] = []
 
 
@@ -53,6 +56,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
+    """Within, Spark hands rows to Python in Arrow batches of about ``size`` bytes at most.
+
+    An executor holds a batch several times over outside its heap (vectors that double, the stream's buffer), as does
+    the Python worker; by default a batch may have 10,000 texts.  Holds for jobs that run within; rows stay the same.
+    """
+    before = spark.conf.get(_BATCH_SETTING)
+    given = before.lower().rstrip("b")
+    if not given.isdigit() or not 0 < int(given) <= size:
+        spark.conf.set(_BATCH_SETTING, f"{size}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -116,6 +136,23 @@ def text_blocks(column, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.
         yield lo, hi, data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
 
 
+def joined_blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, bytes and offsets of their texts) in blocks of about ``size`` bytes, wherever Spark cut its batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) > size:
+            rows = pa.concat_batches(held)
+            *full, last = text_blocks(rows.column("text"), size)
+            for lo, hi, data, offs in full:
+                yield rows.slice(lo, hi - lo), data, offs
+            held = [rows.slice(last[0])]
+    if held:
+        rows = pa.concat_batches(held)
+        for lo, hi, data, offs in text_blocks(rows.column("text"), size):
+            yield rows.slice(lo, hi - lo), data, offs
+
+
 # ---------------------------------------------------------------- bytes and words
 
 LOWER = np.arange(256, dtype=np.uint8)

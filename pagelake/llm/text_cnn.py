@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, WORD_BYTE, crc_split, documents_of, row_id, runs, scratch_path, span_hashes, text_blocks
+from .common import LOWER, WORD_BYTE, crc_split, documents_of, joined_blocks, row_id, runs, scratch_path, span_hashes, text_blocks
 from .files import filesystem, open_read, open_write
 from .labelled import labelled_rows, prior_shift, training_labels
 
@@ -212,20 +212,18 @@ def _write_shards(docs: DataFrame, known: DataFrame, rows: int, folder: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         used, out, writer = np.zeros(BUCKETS, bool), None, None
-        for batch in batches:
-            for lo, hi, data, offs in text_blocks(batch.column("text"), TRAIN_BYTES):
-                ids, counts = word_ids(data, offs)
-                part = batch.slice(lo, hi - lo)
-                ends = np.concatenate([[0], np.cumsum(counts)]) * ids.shape[1]
-                table = pa.table({
-                    "label": part.column("label"), "lang": part.column("lang"), "apart": part.column("apart"),
-                    "ids": pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(ids.ravel(), pa.int32())),
-                })
-                used[ids[np.repeat(~part.column("apart").to_numpy(zero_copy_only=False), counts)].ravel()] = True
-                if writer is None:  # a second attempt writes the same rows
-                    out = open_write(f"{folder}/shard-{TaskContext.get().partitionId()}")
-                    writer = pq.ParquetWriter(out, table.schema, compression="zstd")
-                writer.write_table(table)  # a row group
+        for part, data, offs in joined_blocks(batches, TRAIN_BYTES):
+            ids, counts = word_ids(data, offs)
+            ends = np.concatenate([[0], np.cumsum(counts)]) * ids.shape[1]
+            table = pa.table({
+                "label": part.column("label"), "lang": part.column("lang"), "apart": part.column("apart"),
+                "ids": pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(ids.ravel(), pa.int32())),
+            })
+            used[ids[np.repeat(~part.column("apart").to_numpy(zero_copy_only=False), counts)].ravel()] = True
+            if writer is None:  # a second attempt writes the same rows
+                out = open_write(f"{folder}/shard-{TaskContext.get().partitionId()}")
+                writer = pq.ParquetWriter(out, table.schema, compression="zstd")
+            writer.write_table(table)  # a row group
         if writer is not None:
             writer.close()
             out.close()
