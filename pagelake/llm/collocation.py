@@ -35,7 +35,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, materialize, mix64, runs, scratch_path, text_blocks
+from .common import LOWER, materialize, mix64, runs, scratch_path, small_batches, text_blocks
 from .files import filesystem, open_read, open_write
 
 MIN_COUNT = 10
@@ -333,7 +333,7 @@ def _bounded(local: DataFrame, columns: list[str], min_count: int) -> DataFrame:
     shared = sums.where(~one).select("bucket")
     if shared.isEmpty():
         return alone
-    return alone.union(local.join(shared, "bucket", "left_semi").select(*columns).distinct())
+    return materialize(alone.union(local.join(shared, "bucket", "left_semi").select(*columns).distinct()), "bounded")
 
 
 def _bucketed(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -395,13 +395,14 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, cover_percent: int = CO
     """Every phrase that stays after the drop rule: lang, phrase, a, l, r, n, score."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = materialize(_word_counts(texts), "word-counts")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     folder = scratch_path(spark, "tries")
-    words, shards = _numbered(counts.where(F.col("n") >= min_count), folder)
-    streams = _streams(texts, folder, shards)
-    two, _ = _counted(streams, _pairs(streams, min_count), ["a", "b"], f"{folder}/2", min_count)
-    three, _ = _counted(streams, _triples(streams, two, f"{folder}/2f", min_count), ["a", "b", "c"], f"{folder}/3", min_count)
+    with small_batches(spark):  # all Python steps run here
+        counts = materialize(_word_counts(texts), "word-counts")
+        words, shards = _numbered(counts.where(F.col("n") >= min_count), folder)
+        streams = _streams(texts, folder, shards)
+        two, _ = _counted(streams, _pairs(streams, min_count), ["a", "b"], f"{folder}/2", min_count)
+        three, _ = _counted(streams, _triples(streams, two, f"{folder}/2f", min_count), ["a", "b", "c"], f"{folder}/3", min_count)
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
 
     def word(number: str) -> DataFrame:
         return words.select(F.col("id").alias(number), F.col("lang").alias(f"lang_{number}"), F.col("word").alias(f"w_{number}"), F.col("n").alias(f"n_{number}"))

@@ -66,3 +66,9 @@ def test_blocks_do_not_depend_on_batches(step):
     assert [(p["id"][0].as_py(), p["id"][-1].as_py() + 1, d.tobytes()) for p, d, _ in got] == want
     assert all(offs[-1] == len(data) and len(offs) == p.num_rows + 1 for p, data, offs in got)
     assert not list(common.joined_blocks(iter([rows.slice(0, 0)]), 200))
+
+
+def test_phrases_run_in_small_batches(spark, docs, seen):
+    with pytest.raises(Stop):
+        collocation.phrases(docs)
+    assert seen == [f"{common.BATCH_BYTES}b"]
