@@ -3,9 +3,10 @@
 Each stage takes (spark, docs, sf_dir), where ``docs`` is the table of documents
 that its predecessor wrote, and returns the documents that stay, all columns
 unchanged; the last returns packed pieces.  Decisions are made per row: a stage
-numbers its documents once and writes them with their numbers, writes the numbers
-of the rows that go and takes them out by an anti join, which Spark broadcasts only
-below its own size limit.  Operator and anti join read the same stored numbers:
+numbers its documents, writes the numbers of the rows that go and takes them out by
+an anti join, which Spark broadcasts only below its own size limit.  Operator and
+anti join find the same numbers: those of a table just read from Parquet files are
+the places of its rows in them, those of any other frame are written with its rows.
 Spark's own would differ between two scans when executors come or go.
 
 An empty table passes every stage as an empty table; null ids and texts follow

@@ -11,11 +11,13 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,12 +93,44 @@ def row_id(stored: str | None = None) -> Column:
     return (F.monotonically_increasing_id() if stored is None else F.col(f"`{stored}`").cast("bigint")).alias("row")
 
 
+def _just_read(df: DataFrame) -> bool:
+    """Whether ``df`` is a Parquet file or folder read by its absolute path, without options or any further step."""
+    for file in df.inputFiles()[:1]:
+        for listed in (file, os.path.dirname(file)):
+            for path in (listed, urlsplit(listed).path):
+                with suppress(AnalysisException):  # no such path: its name is not written as it was listed
+                    if df.sameSemantics(df.sparkSession.read.schema(df.schema).parquet(path)):
+                        return True
+    return False
+
+
+def _file_rows(df: DataFrame) -> list[tuple[str, int]] | None:
+    """(path, rows) of the Parquet files that ``df`` reads whole; None for any other frame."""
+    if not _just_read(df):
+        return None
+    at = df.metadataColumn("_metadata")
+    sizes = df.groupBy(at["file_path"].alias("path")).agg(F.count(F.lit(1)).alias("n"), F.max(at["row_index"]).alias("last"))
+    files = sorted(tuple(r) for r in sizes.collect())  # one row per file
+    return [(path, n) for path, n, _ in files] if all(n == last + 1 for _, n, last in files) else None  # else a file is read twice
+
+
 def number_rows(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """``df`` written with a number for each row, and the column that holds it (``row``, lengthened where taken)."""
+    """``df`` with a number for each row that every scan finds again, and the column that holds it (``row``, lengthened where taken).
+
+    A table just read from Parquet files takes the place of the row in its file, after the rows of the files before it,
+    and is not written again.  Any other frame is written with its numbers."""
     taken, name = {c.lower() for c in df.columns}, "row"
-    while name in taken:
+    while any(c.startswith(name) for c in taken):
         name += "_"
-    return materialize(df.withColumn(name, F.monotonically_increasing_id()), label), name
+    files = _file_rows(df)
+    if files is None:
+        return materialize(df.withColumn(name, F.monotonically_increasing_id()), label), name
+    path, place, before = f"{name}_path", f"{name}_place", f"{name}_before"
+    starts = np.cumsum([0] + [n for _, n in files]).tolist()
+    first = df.sparkSession.createDataFrame([(p, start) for (p, _), start in zip(files, starts)], f"{path} string, {before} long")
+    at = df.metadataColumn("_metadata")
+    placed = df.select("*", at["file_path"].alias(path), at["row_index"].alias(place)).join(F.broadcast(first), path)
+    return placed.withColumn(name, F.col(before) + F.col(place)).drop(path, place, before), name
 
 
 def crc_split(doc_id: Column) -> Column:
