@@ -6,7 +6,8 @@
 2. Candidate pairs: each block adds its pairs into hashed buckets of 40 bits; a
    bucket's sum bounds the count of each pair in it, so that pairs of buckets below
    ``min_count`` are left out.  Candidate triples: places where both pairs reach
-   ``min_count``, under the same bound.
+   ``min_count``, under the same bound.  Pairs and triples are shuffled packed, one
+   row per piece of a stream and part of the hashes, and a part is summed in numpy.
 3. Candidates are dealt to shards of about ``SHARD`` and each shard becomes a
    double-array trie in a file of the shared folder, of a size that does not follow
    the corpus except for the word numbers.  A task loads one shard after the other,
@@ -35,7 +36,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, materialize, mix64, runs, scratch_path, small_batches, text_blocks
+from .common import LOWER, materialize, mix64, runs, scratch_path, shuffle_tasks, small_batches, text_blocks
 from .files import filesystem, open_read, open_write
 
 MIN_COUNT = 10
@@ -47,6 +48,8 @@ _PROBES = 128  # bases tried for one set of children
 _STREAM = 1 << 20  # word numbers that a task walks through all shards at a time
 _PIECE = 1 << 18  # places of these that are sorted at a time
 _ROWS = 1 << 16  # rows that a task hands to Spark at a time
+_PART = 1 << 19  # occurrences in a part of the candidates, on average at most
+_PACKED = "part long, rows binary, n binary"
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -271,6 +274,12 @@ class Trie:
             at, state = at[go], to[go]
         return at, self.accept[state]
 
+    def walks(self, ids: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``walk`` over ``_PIECE`` positions at a time."""
+        for lo in range(0, len(ids), _PIECE):
+            at, place = self.walk(ids[lo : lo + _PIECE + length - 1], length)
+            yield at + lo, place
+
     def save(self, path: str) -> None:
         with open_write(path) as out:
             out.write(np.array([len(self.check)], "<i8").tobytes())
@@ -313,9 +322,12 @@ def _counted(streams: DataFrame, candidates: DataFrame, columns: list[str], fold
                 if k not in last:
                     last.clear()
                     last[k] = Trie.load(f"{folder}/trie-{k}")
-                count = np.bincount(last[k].walk(ids, length)[1])
+                count = np.zeros(len(last[k].accept), np.int32)
+                for _, place in last[k].walks(ids, length):
+                    found = np.bincount(place)
+                    count[: len(found)] += found.astype(np.int32)
                 hit = np.flatnonzero(count)
-                yield from _handed([np.full(len(hit), k, np.int32), hit, count[hit]], ["shard", "place", "f"])
+                yield from _handed([np.full(len(hit), k, np.int32), hit, count[hit].astype(np.int64)], ["shard", "place", "f"])
 
     found = streams.mapInArrow(run, "shard int, place long, f long").groupBy("shard", "place").agg(F.sum("f").alias("f"))
     return materialize(dealt.join(found.where(F.col("f") >= min_count), ["shard", "place"]), "counted"), shards
@@ -336,24 +348,83 @@ def _bounded(local: DataFrame, columns: list[str], min_count: int) -> DataFrame:
     return materialize(alone.union(local.join(shared, "bucket", "left_semi").select(*columns).distinct()), "bounded")
 
 
-def _bucketed(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket, first, second, count) of the distinct pairs of numbers below 2^32."""
-    code, n = np.unique(first.astype(np.int64) << 32 | second, return_counts=True)
-    return (mix64(code.astype(np.uint64)) >> np.uint64(24)).astype(np.int64), code >> 32, code & 0xFFFFFFFF, n
+def _hashes(rows: np.ndarray) -> np.ndarray:
+    """A hash of each pair or triple of numbers below 2^32, whose upper 40 bits are its bucket."""
+    out = mix64(rows[:, 0].astype(np.uint64) << np.uint64(32) | rows[:, 1].astype(np.uint64))
+    return out if rows.shape[1] == 2 else mix64(out ^ rows[:, 2].astype(np.uint64))
+
+
+def _summed(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, rows, sums of n) in the order of the hashes; equal rows are one, but for those of two rows with one hash."""
+    hashes = _hashes(rows)
+    order = np.argsort(hashes)
+    hashes, rows, n = hashes[order], rows[order], n[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(rows)), bool), (rows[1:] != rows[:-1]).any(1)]))
+    return hashes[first], rows[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _packed(rows: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Occurrences as one row per part of the hashes: its distinct candidates and their counts as 32-bit integers."""
+    hashes, rows, n = _summed(rows, np.ones(len(rows), np.int32))
+    part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(part)), bool), part[1:] != part[:-1]]))
+    bounds = np.append(first, len(part)).astype(np.int32)
+    packed = [pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(bounds * (4 * width)), pa.py_buffer(x.astype("<i4").tobytes())]) for x, width in ((rows, rows.shape[1]), (n, 1))]
+    return pa.RecordBatch.from_arrays([pa.array(part[first]), *packed], ["part", "rows", "n"])
+
 
+def _unpacked(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(32-bit integers [n, width] of all binary values, where each value begins and the last ends)."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] // 4
+    values = np.frombuffer(column.buffers()[2], "<i4")[offsets[0] : offsets[-1]]
+    return values.reshape(-1, width), (offsets - offsets[0]) // width
 
-def _pairs(streams: DataFrame, min_count: int) -> DataFrame:
+
+def _reaching(packed: DataFrame, columns: list[str], min_count: int) -> DataFrame:
+    """Rows (bucket, columns, n) of the buckets whose sum reaches ``min_count``; a task sums one part after the other."""
+    width = len(columns)
+
+    def reaching(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        hashes, rows, n = _summed(np.concatenate([r for r, _ in held]), np.concatenate([c for _, c in held]).astype(np.int64))
+        if len(rows):
+            bucket = (hashes >> np.uint64(24)).astype(np.int64)
+            first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            keep = np.repeat(np.add.reduceat(n, first) >= min_count, np.diff(np.append(first, len(n))))
+            yield from _handed([bucket[keep], *rows[keep].astype(np.int64).T, n[keep]], ["bucket", *columns, "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None  # of the last part, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = batch.column("part").to_numpy()
+            (rows, starts), (n, _) = _unpacked(batch.column("rows"), width), _unpacked(batch.column("n"), 1)
+            n, at = n[:, 0], 0
+            if part[-1] != last:
+                at = starts[np.searchsorted(part, part[-1])]
+                yield from reaching([*held, (rows[:at], n[:at])])
+                held, last = [], part[-1]
+            held.append((rows[at:], n[at:]))
+        if held:
+            yield from reaching(held)
+
+    spread = packed.repartition(shuffle_tasks(packed.sparkSession), "part").sortWithinPartitions("part")
+    return materialize(spread.mapInArrow(run, "bucket long, " + ", ".join(f"{c} long" for c in columns) + ", n long"), "reaching")
+
+
+def _pairs(streams: DataFrame, min_count: int, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids in _joined(batches):
             every = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
             for lo in range(0, len(every), _PIECE):
                 at = every[lo : lo + _PIECE]
-                yield from _handed(_bucketed(ids[at], ids[at + 1]), ["bucket", "a", "b", "n"])
+                yield _packed(np.stack([ids[at], ids[at + 1]], 1), parts)
 
-    return _bounded(streams.mapInArrow(run, "bucket long, a long, b long, n long"), ["a", "b"], min_count)
+    columns = ["a", "b"]
+    return _bounded(_reaching(streams.mapInArrow(run, _PACKED), columns, min_count), columns, min_count)
 
 
-def _triples(streams: DataFrame, pairs: DataFrame, folder: str, min_count: int) -> DataFrame:
+def _triples(streams: DataFrame, pairs: DataFrame, folder: str, min_count: int, parts: int) -> DataFrame:
     """Triples whose two pairs are both in ``pairs``, marked position by position with the pairs' tries."""
     _, shards = _build_tries(pairs.select("a", "b"), ["a", "b"], folder)
 
@@ -366,21 +437,15 @@ def _triples(streams: DataFrame, pairs: DataFrame, folder: str, min_count: int)
                 if k not in last:
                     last.clear()
                     last[k] = Trie.load(f"{folder}/trie-{k}")
-                pair[last[k].walk(ids, 2)[0]] = True
+                for at, _ in last[k].walks(ids, 2):
+                    pair[at] = True
             every = np.flatnonzero(pair[:-1] & pair[1:])
             for lo in range(0, len(every), _PIECE):
                 at = every[lo : lo + _PIECE]
-                a, b, c = ids[at].astype(np.int64), ids[at + 1].astype(np.int64), ids[at + 2].astype(np.int64)
-                order = np.lexsort((c, b, a))
-                a, b, c = a[order], b[order], c[order]
-                new = np.ones(len(a), bool)
-                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])
-                start = np.flatnonzero(new)
-                a, b, c, n = a[start], b[start], c[start], np.diff(np.append(start, len(new)))
-                bucket = (mix64(mix64((a << 32 | b).astype(np.uint64)) ^ c.astype(np.uint64)) >> np.uint64(24)).astype(np.int64)
-                yield from _handed([bucket, a, b, c, n], ["bucket", "a", "b", "c", "n"])
+                yield _packed(np.stack([ids[at], ids[at + 1], ids[at + 2]], 1), parts)
 
-    return _bounded(streams.mapInArrow(run, "bucket long, a long, b long, c long, n long"), ["a", "b", "c"], min_count)
+    columns = ["a", "b", "c"]
+    return _bounded(_reaching(streams.mapInArrow(run, _PACKED), columns, min_count), columns, min_count)
 
 
 # ---------------------------------------------------------------- scores
@@ -400,8 +465,9 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, cover_percent: int = CO
         counts = materialize(_word_counts(texts), "word-counts")
         words, shards = _numbered(counts.where(F.col("n") >= min_count), folder)
         streams = _streams(texts, folder, shards)
-        two, _ = _counted(streams, _pairs(streams, min_count), ["a", "b"], f"{folder}/2", min_count)
-        three, _ = _counted(streams, _triples(streams, two, f"{folder}/2f", min_count), ["a", "b", "c"], f"{folder}/3", min_count)
+        parts = max(4 * shuffle_tasks(spark), (words.agg(F.sum("n")).first()[0] or 0) // _PART)
+        two, _ = _counted(streams, _pairs(streams, min_count, parts), ["a", "b"], f"{folder}/2", min_count)
+        three, _ = _counted(streams, _triples(streams, two, f"{folder}/2f", min_count, parts), ["a", "b", "c"], f"{folder}/3", min_count)
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
 
     def word(number: str) -> DataFrame:

@@ -99,3 +99,29 @@ def test_trie_equals_search(length):
     known = {tuple(r): k for k, r in enumerate(rows.tolist())}
     want = [(i, known[t]) for i in range(len(ids) - length + 1) if (t := tuple(ids[i : i + length].tolist())) in known]
     assert list(zip(at.tolist(), place.tolist())) == want
+
+
+@pytest.mark.parametrize("width", [2, 3])
+def test_packed_candidates_equal_counting(spark, monkeypatch, width):
+    """Few rows leave a step for many occurrences, and every candidate of a bucket that reaches the minimum comes back with its count."""
+    rng = np.random.default_rng(width)
+    rows = (rng.zipf(1.4, (20000, width)) % 300).astype(np.int32)
+    rows[:500] = [2**31 - 1, 0, 7][:width]  # a very common one
+    pieces = [collocation._packed(p, 5) for p in np.array_split(rows, 8)] + [collocation._packed(rows[:0], 5)]
+    assert sum(p.num_rows for p in pieces) <= 40
+    frame = spark.createDataFrame([r for p in pieces for r in zip(*(c.to_pylist() for c in p.columns))], collocation._PACKED).repartition(3)
+    monkeypatch.setattr(collocation, "shuffle_tasks", lambda spark: 2)
+    names = ["a", "b", "c"][:width]
+    got = collocation._reaching(frame, names, 4).collect()
+    count = collections.Counter(map(tuple, rows.tolist()))
+    assert {tuple(r[c] for c in names): r.n for r in got} == {k: n for k, n in count.items() if n >= 4}
+    assert len(got) == len({r.bucket for r in got})  # these rows share no bucket
+
+
+def test_walk_by_pieces(monkeypatch):
+    rng = np.random.default_rng(5)
+    trie = collocation.Trie.build(np.unique(rng.integers(0, 9, (200, 3)), axis=0))
+    ids = rng.integers(-1, 9, 1001).astype(np.int32)
+    want = [x.tolist() for x in trie.walk(ids, 3)]
+    monkeypatch.setattr(collocation, "_PIECE", 100)
+    assert [np.concatenate(x).tolist() for x in zip(*trie.walks(ids, 3))] == want
