@@ -8,11 +8,12 @@
    ``min_count`` are left out.  Candidate triples: places where both pairs reach
    ``min_count``, under the same bound.  Pairs and triples are shuffled packed, one
    row per piece of a stream and part of the hashes, and a part is summed in numpy.
-3. Candidates are dealt to shards of about ``SHARD`` and each shard becomes a
-   double-array trie in a file of the shared folder, of a size that does not follow
-   the corpus except for the word numbers.  A task loads one shard after the other,
-   advances all positions of its streams one level at a time in numpy, and bincounts
-   the accepting states; the counts of all tasks are summed.
+3. Candidates are dealt by a hash of their numbers to shards of about ``SHARD`` and each
+   shard becomes a double-array trie in a file of the shared folder, over the places of
+   its numbers in its own sorted list, so that its size does not follow the corpus.  A
+   task deals the positions of its streams by the same hash, each to the one shard that
+   may hold the phrase there, loads one shard after the other, advances its positions one
+   level at a time in numpy, and bincounts the accepting states; the counts are summed.
 
 Scores, the drop rule and the ranks are column expressions.  Decimal arithmetic is
 exact below 10^12 occurrences of one phrase.
@@ -45,7 +46,8 @@ COVER_PERCENT = 50
 SHARD = 1 << 18
 BLOCK = 1 << 20
 _PROBES = 128  # bases tried for one set of children
-_STREAM = 1 << 20  # word numbers that a task walks through all shards at a time
+_STREAM = 1 << 21  # word numbers whose positions a task deals to the shards at a time
+_NUMBERED = 1 << 24  # bytes of text whose words a task looks up in all shards of words at a time
 _PIECE = 1 << 18  # places of these that are sorted at a time
 _ROWS = 1 << 16  # rows that a task hands to Spark at a time
 _PART = 1 << 19  # occurrences in a part of the candidates, on average at most
@@ -159,22 +161,42 @@ def _streams(docs: DataFrame, folder: str, shards: int) -> DataFrame:
             return kept[k]
 
         there = [k for k in range(shards) if _exists(f"{folder}/words-{k}")]
+
+        def numbered(held: list[tuple[pa.DictionaryArray, np.ndarray, np.ndarray]], langs: list[str]) -> Iterator[pa.RecordBatch]:
+            words = pa.chunked_array([w for w, _, _ in held]).unify_dictionaries()
+            dictionary = words.chunk(0).dictionary
+            index = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in words.chunks])
+            code = np.concatenate([c for _, c, _ in held])
+            places = [np.flatnonzero(code == c) for c in range(len(langs))]
+            ids = np.full(len(index), -1, np.int32)
+            for k in there:
+                known = shard(k)
+                for lang, at in zip(langs, places):
+                    if lang in known:
+                        column, number = known[lang]
+                        found = pc.index_in(dictionary, value_set=column).fill_null(-1).to_numpy(zero_copy_only=False)[index[at]]
+                        ids[at[found >= 0]] = number[found[found >= 0]]
+            begin = 0
+            for w, _, joined in held:
+                part = ids[begin : begin + len(w)]
+                begin += len(w)
+                part = np.insert(part, np.flatnonzero(~joined), -1)
+                dull = (part[1:] < 0) & (part[:-1] < 0)
+                part = part[np.concatenate([[True], ~dull])] if len(part) else part
+                yield pa.RecordBatch.from_pydict({"ids": pa.array([part.astype("<i4").tobytes()], pa.binary())})
+
+        held, size, codes = [], 0, {}
         for batch in batches:
             for names, data, offs in _blocks(batch):
                 words, text, joined = _words(data, offs)
-                ids = np.full(len(text), -1, np.int32)
-                for k in there:
-                    known = shard(k)
-                    for lang, at, index in _per_lang(names, text, words):
-                        if lang in known:
-                            column, number = known[lang]
-                            found = pc.index_in(words.dictionary, value_set=column).fill_null(-1).to_numpy(zero_copy_only=False)
-                            hit = found[index]
-                            ids[at[hit >= 0]] = number[hit[hit >= 0]]
-                ids = np.insert(ids, np.flatnonzero(~joined), -1)
-                dull = (ids[1:] < 0) & (ids[:-1] < 0)
-                ids = ids[np.concatenate([[True], ~dull])] if len(ids) else ids
-                yield pa.RecordBatch.from_pydict({"ids": pa.array([ids.astype("<i4").tobytes()], pa.binary())})
+                lang = np.array([codes.setdefault(n, len(codes)) for n in names], np.int32)
+                held.append((words, lang[text] if len(text) else np.zeros(0, np.int32), joined))
+                size += len(data)
+                if size >= _NUMBERED:
+                    yield from numbered(held, list(codes))
+                    held, size, codes = [], 0, {}
+        if held:
+            yield from numbered(held, list(codes))
 
     return materialize(docs.mapInArrow(run, "ids binary"), "word-streams")
 
@@ -210,16 +232,20 @@ def _handed(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBa
 class Trie:
     """A double-array trie over number sequences of equal length: state ``s`` goes to ``base[s] + x`` if ``check`` there is ``s``.
 
-    States below ``size`` are the first numbers themselves; ``accept`` holds the place of a sequence in its sorted list.
+    The trie knows the numbers that occur in it by their places in ``letters``.  States below ``size`` are those of the first
+    numbers; ``accept`` holds the place of a sequence in its sorted list.
     """
 
-    def __init__(self, base: np.ndarray, check: np.ndarray, accept: np.ndarray):
-        self.base, self.check, self.accept = base, check, accept
+    def __init__(self, letters: np.ndarray, base: np.ndarray, check: np.ndarray, accept: np.ndarray):
+        self.letters, self.base, self.check, self.accept = letters, base, check, accept
 
     @classmethod
     def build(cls, rows: np.ndarray) -> "Trie":
         """From distinct rows [n, length] in ascending order."""
-        size = int(rows.max()) + 1
+        width = rows.shape[1]
+        letters, rows = np.unique(rows, return_inverse=True)
+        rows = rows.reshape(-1, width)
+        size = int(rows[:, 0].max()) + 1
         base, check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
         check[np.unique(rows[:, 0])] = -2  # children of the root
         state, rng = rows[:, 0].astype(np.int64), np.random.default_rng(0)  # the same trie in every attempt
@@ -259,39 +285,80 @@ class Trie:
             state = (base[owner] + x)[np.cumsum(prefix) - 1]
         accept = np.full(len(check), -1, np.int32)
         accept[state] = np.arange(len(rows))
-        return cls(base, check, accept)
-
-    def walk(self, ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """(position, place in the list) of every occurrence of a sequence in ``ids``."""
-        at = np.flatnonzero((ids[: max(0, len(ids) - length + 1)] >= 0) & (ids[: max(0, len(ids) - length + 1)] < len(self.check)))
-        at = at[self.check[ids[at]] == -2]
-        state = ids[at].astype(np.int64)
+        return cls(letters.astype(np.int32), base, check, accept)
+
+    def _letters(self, ids: np.ndarray) -> np.ndarray:
+        """Places of numbers in ``letters``, -1 for any other number."""
+        found = np.minimum(np.searchsorted(self.letters, ids), len(self.letters) - 1)
+        return np.where(self.letters[found] == ids, found, -1)
+
+    def walk(self, ids: np.ndarray, length: int, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(position, place in the list) of every occurrence of a sequence in ``ids``, or of those that begin at ``at``."""
+        if at is None:
+            at = np.arange(max(0, len(ids) - length + 1))
+        state = self._letters(ids[at])
+        go = (state >= 0) & (state < len(self.check))
+        go[go] = self.check[state[go]] == -2
+        at, state = at[go], state[go]
         for level in range(1, length):
-            x = ids[at + level]
+            x = self._letters(ids[at + level])
             to = self.base[state].astype(np.int64) + x
             go = (x >= 0) & (to >= 0) & (to < len(self.check))
             go[go] = self.check[to[go]] == state[go]
             at, state = at[go], to[go]
         return at, self.accept[state]
 
-    def walks(self, ids: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """``walk`` over ``_PIECE`` positions at a time."""
-        for lo in range(0, len(ids), _PIECE):
-            at, place = self.walk(ids[lo : lo + _PIECE + length - 1], length)
-            yield at + lo, place
+    def walks(self, ids: np.ndarray, length: int, at: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``walk`` from ``_PIECE`` positions at a time."""
+        at = np.arange(max(0, len(ids) - length + 1)) if at is None else at
+        for lo in range(0, len(at), _PIECE):
+            yield self.walk(ids, length, at[lo : lo + _PIECE])
 
     def save(self, path: str) -> None:
         with open_write(path) as out:
-            out.write(np.array([len(self.check)], "<i8").tobytes())
-            for a in (self.base, self.check, self.accept):
+            out.write(np.array([len(self.letters), len(self.check)], "<i8").tobytes())
+            for a in (self.letters, self.base, self.check, self.accept):
                 out.write(a.astype("<i4").tobytes())
 
     @classmethod
     def load(cls, path: str) -> "Trie":
         with open_read(path) as f:
             raw = f.read()
-        n = int(np.frombuffer(raw, "<i8", 1)[0])
-        return cls(*np.frombuffer(raw, "<i4", 3 * n, 8).reshape(3, n))
+        m, n = np.frombuffer(raw, "<i8", 2).tolist()
+        return cls(np.frombuffer(raw, "<i4", m, 16), *np.frombuffer(raw, "<i4", 3 * n, 16 + 4 * m).reshape(3, n))
+
+
+def _shard_of(rows: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each sequence [n, length] of word numbers."""
+    return ((_hashes(rows) >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
+
+
+def _dealt(ids: np.ndarray, length: int, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, the positions whose ``length`` numbers it may hold): every position without -1 goes to one shard."""
+    whole = ids >= 0
+    at = np.flatnonzero(np.logical_and.reduce([whole[i : max(0, len(ids) - length + 1) + i] for i in range(length)]))
+    if shards == 1:
+        yield 0, at
+        return
+    pieces = [at[lo : lo + _PIECE] for lo in range(0, len(at), _PIECE)]
+    shard = np.concatenate([_shard_of(np.stack([ids[x + i] for i in range(length)], 1), shards) for x in pieces] or [np.zeros(0, np.int32)])
+    order = np.argsort(shard.astype(np.uint16) if shards <= 1 << 16 else shard, kind="stable")
+    ends = np.cumsum(np.bincount(shard, minlength=shards))
+    for k in range(shards):
+        yield k, at[order[ends[k - 1] if k else 0 : ends[k]]]
+
+
+def _walked(streams: Iterator[np.ndarray], length: int, folder: str, shards: int) -> Iterator[tuple[np.ndarray, int, Trie, Iterator[tuple[np.ndarray, np.ndarray]]]]:
+    """(stream, shard, its trie, its ``walks`` from the positions dealt to it) of every shard, stream by stream."""
+    last: dict[int, Trie] = {}
+    there = {k for k in range(shards) if _exists(f"{folder}/trie-{k}")}
+    for ids in streams:
+        for k, at in _dealt(ids, length, shards):
+            if k in there and len(at):
+                if k not in last:
+                    last.clear()
+                    last[k] = Trie.load(f"{folder}/trie-{k}")
+                yield ids, k, last[k], last[k].walks(ids, length, at)
 
 
 def _build_tries(candidates: DataFrame, columns: list[str], folder: str) -> tuple[DataFrame, int]:
@@ -304,9 +371,14 @@ def _build_tries(candidates: DataFrame, columns: list[str], folder: str) -> tupl
         pdf["place"] = np.arange(len(pdf))
         return pdf
 
-    dealt = candidates.withColumn("shard", F.pmod(F.xxhash64(*columns), F.lit(shards)).cast("int"))
-    schema = ", ".join(f"{c} long" for c in columns) + ", shard int, place long"
-    return materialize(dealt.groupBy("shard").applyInPandas(build, schema), "candidates"), shards
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard = _shard_of(np.stack([batch.column(c).to_numpy() for c in columns], 1), shards)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(shard)], [*columns, "shard"])
+
+    schema = ", ".join(f"{c} long" for c in columns) + ", shard int"
+    dealt = candidates.select(*columns).mapInArrow(deal, schema)
+    return materialize(dealt.groupBy("shard").applyInPandas(build, f"{schema}, place long"), "candidates"), shards
 
 
 def _counted(streams: DataFrame, candidates: DataFrame, columns: list[str], folder: str, min_count: int) -> tuple[DataFrame, int]:
@@ -315,19 +387,13 @@ def _counted(streams: DataFrame, candidates: DataFrame, columns: list[str], fold
     length = len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: dict[int, Trie] = {}
-        there = [k for k in range(shards) if _exists(f"{folder}/trie-{k}")]
-        for ids in _joined(batches):
-            for k in there:
-                if k not in last:
-                    last.clear()
-                    last[k] = Trie.load(f"{folder}/trie-{k}")
-                count = np.zeros(len(last[k].accept), np.int32)
-                for _, place in last[k].walks(ids, length):
-                    found = np.bincount(place)
-                    count[: len(found)] += found.astype(np.int32)
-                hit = np.flatnonzero(count)
-                yield from _handed([np.full(len(hit), k, np.int32), hit, count[hit].astype(np.int64)], ["shard", "place", "f"])
+        for _, k, trie, walks in _walked(_joined(batches), length, folder, shards):
+            count = np.zeros(len(trie.accept), np.int32)
+            for _, place in walks:
+                found = np.bincount(place)
+                count[: len(found)] += found.astype(np.int32)
+            hit = np.flatnonzero(count)
+            yield from _handed([np.full(len(hit), k, np.int32), hit, count[hit].astype(np.int64)], ["shard", "place", "f"])
 
     found = streams.mapInArrow(run, "shard int, place long, f long").groupBy("shard", "place").agg(F.sum("f").alias("f"))
     return materialize(dealt.join(found.where(F.col("f") >= min_count), ["shard", "place"]), "counted"), shards
@@ -429,21 +495,23 @@ def _triples(streams: DataFrame, pairs: DataFrame, folder: str, min_count: int,
     _, shards = _build_tries(pairs.select("a", "b"), ["a", "b"], folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: dict[int, Trie] = {}
-        there = [k for k in range(shards) if _exists(f"{folder}/trie-{k}")]
-        for ids in _joined(batches):
-            pair = np.zeros(len(ids) + 1, bool)
-            for k in there:
-                if k not in last:
-                    last.clear()
-                    last[k] = Trie.load(f"{folder}/trie-{k}")
-                for at, _ in last[k].walks(ids, 2):
-                    pair[at] = True
+        def marked(ids: np.ndarray, pair: np.ndarray) -> Iterator[pa.RecordBatch]:
             every = np.flatnonzero(pair[:-1] & pair[1:])
             for lo in range(0, len(every), _PIECE):
                 at = every[lo : lo + _PIECE]
                 yield _packed(np.stack([ids[at], ids[at + 1], ids[at + 2]], 1), parts)
 
+        last, pair = None, None
+        for ids, _, _, walks in _walked(_joined(batches), 2, folder, shards):
+            if ids is not last:
+                if last is not None:
+                    yield from marked(last, pair)
+                last, pair = ids, np.zeros(len(ids) + 1, bool)
+            for at, _ in walks:
+                pair[at] = True
+        if last is not None:
+            yield from marked(last, pair)
+
     columns = ["a", "b", "c"]
     return _bounded(_reaching(streams.mapInArrow(run, _PACKED), columns, min_count), columns, min_count)
 

@@ -125,3 +125,25 @@ def test_walk_by_pieces(monkeypatch):
     want = [x.tolist() for x in trie.walk(ids, 3)]
     monkeypatch.setattr(collocation, "_PIECE", 100)
     assert [np.concatenate(x).tolist() for x in zip(*trie.walks(ids, 3))] == want
+
+
+def test_positions_are_dealt_to_one_shard():
+    """A position is walked in the one shard that may hold its phrase, however many shards there are, and a trie is no wider than its phrases ask."""
+    rng = np.random.default_rng(3)
+    ids = rng.integers(-1, 50, 5000).astype(np.int32)
+    for length in (2, 3):
+        windows = [i for i in range(len(ids) - length + 1) if (ids[i : i + length] >= 0).all()]
+        rows = np.unique(np.stack([ids[windows[::7]] if i == 0 else ids[np.array(windows[::7]) + i] for i in range(length)], 1), axis=0)
+        shard_of = collocation._shard_of(rows, 9)
+        got, dealt = [], []
+        for k, at in collocation._dealt(ids, length, 9):
+            dealt += at.tolist()
+            mine = rows[shard_of == k].astype(np.int64)
+            if len(mine):
+                found, place = collocation.Trie.build(mine).walk(ids, length, at)
+                assert (np.stack([ids[found + i] for i in range(length)], 1) == mine[place]).all()
+                got += found.tolist()
+        known = set(map(tuple, rows.tolist()))
+        assert sorted(dealt) == windows
+        assert sorted(got) == [i for i in windows if tuple(ids[i : i + length].tolist()) in known]
+    assert len(collocation.Trie.build(np.array([[10**6, 3 * 10**6], [10**6, 5 * 10**6]])).check) < 10
