@@ -59,6 +59,8 @@ def percent_encode(x, keep: str = r"[!-~]") -> Column:
 _PATH_KEEP = r"[!$-;=@-_a-z|~]"        # printable ASCII minus space " # < > ? ` { }
 _QUERY_KEEP = r"[!$-&(-;=?-~]"         # minus space " # < > '
 _FRAGMENT_KEEP = r"[!#-;=?-_a-~]"      # minus space " < > `
+# A root-relative reference that needs neither encoding nor dot removal: it goes behind the origin as it is.
+_PLAIN_REF = r"\A/(?!/)" + _PATH_KEEP + r"*(?:\?" + _QUERY_KEEP + r"*)?\z"
 
 
 def remove_dot_segments(path) -> Column:
@@ -96,7 +98,9 @@ def absolute_url(base, href) -> Column:
     fragment are percent-encoded with the WHATWG sets.  Empty stays empty.
     """
     base = _c(base)
-    return bind(F.trim(_c(href)), lambda h: _resolved(base, h))
+    return bind(F.trim(_c(href)), lambda h: F.when(
+        h.rlike(_PLAIN_REF) & ~F.contains(h, F.lit("/.")), F.concat(origin(F.concat(base, F.lit("/"))), h)
+    ).otherwise(_resolved(base, h)))
 
 
 def _resolved(base: Column, href: Column) -> Column:

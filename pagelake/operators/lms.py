@@ -8,6 +8,9 @@ and every extractor also runs on a stream.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from ..functions import dom as D
 from ..functions.dates import parse_lms_date
 from ..functions.text import JS_WS_CLASS, js_parse_int, normalize_text, truncate_snippet
 from ..functions.urls import absolute_url
+from .flat import Pages, grouped, listed
 from .rows import forum_limit
 
 WS = "[" + JS_WS_CLASS + "]"
@@ -320,19 +324,23 @@ def _attempt_cells(nodes: Column, tr: Column) -> Column:
     ))
 
 
+def _last_where(cells: Column, pred) -> Column:
+    return D.last(F.filter(cells, lambda c: pred(c["t"])))["t"]
+
+
+def _attempt_state(cells: Column) -> Column:
+    return _last_where(cells, lambda t: t.rlike(STATE_RE))
+
+
 def _attempt(base: Column, cells: Column) -> Column:
     """Column 0 is the attempt number; state, marks, grade and review link are
     recognised by content, the last matching cell winning."""
-    def last_where(pred):
-        return D.last(F.filter(cells, lambda c: pred(c["t"])))["t"]
-
     review = D.last(F.filter(cells, lambda c: c["review"].isNotNull()))["review"]
     return F.struct(
-        F.size(cells).alias("_cells"),
         js_parse_int(D.first(cells)["t"]).alias("attempt_number"),
-        last_where(lambda t: t.rlike(STATE_RE)).alias("state"),
-        last_where(lambda t: t.rlike(MARKS_RE) & F.contains(t, F.lit("/"))).alias("marks"),
-        last_where(lambda t: t.rlike(PERCENT_RE)).alias("grade"),
+        _attempt_state(cells).alias("state"),
+        _last_where(cells, lambda t: t.rlike(MARKS_RE) & F.contains(t, F.lit("/"))).alias("marks"),
+        _last_where(cells, lambda t: t.rlike(PERCENT_RE)).alias("grade"),
         absolute_url(base, review).alias("review_url"),
     )
 
@@ -342,6 +350,28 @@ def quizinfo_texts(nodes: Column) -> Column:
     return F.transform(D.select_within(nodes, D.cls("quizinfo"), D.tag("p", "li", "div")), lambda e: _text(nodes, e))
 
 
+QUIZ_FIELDS = "_lines array<string>, _info array<string>, _cells array<array<struct<t: string, review: string>>>, _desc string, _h string"
+
+
+def quiz_parts(p: Pages) -> dict[str, pa.Array]:
+    """The texts and links that ``extract_quiz`` works on, for ``located_html``."""
+    lines = p.under(p.cls("activity-header"), p.tag("div"))
+    info = p.under(p.cls("quizinfo"), p.tag("p", "li", "div"))
+    rows = p.under((p.tag("table") & p.cls("quizattemptsummary")) | p.cls("quizattempt"), p.tag("tr"))
+    rows = rows[p.tag("tbody")[p.parent[rows]]]
+    which, cells = p.pairs(rows, np.flatnonzero(p.tag("td", "th")))
+    link = p.first_in(cells, p.tag("a") & p.has("href", lambda v: "/mod/quiz/review.php" in v))
+    read = pa.StructArray.from_arrays([p.texts(cells), p.attr(link, "href")], ["t", "review"])
+    described, intro = (p.texts(p.first_of(m)) for m in (p.cls("activity-description"), p.has("id", lambda v: v == "intro")))
+    return {
+        "_lines": p.listed(lines, p.texts(lines)),
+        "_info": p.listed(info, p.texts(info)),
+        "_cells": p.listed(rows, listed(grouped(which, len(rows)), read)),
+        "_desc": pc.if_else(pc.equal(described, ""), intro, described),
+        "_h": p.texts(p.first_of(p.tag("h1", "h2"))),
+    }
+
+
 def _last_info(texts: Column, pattern: str) -> Column:
     # an element is consumed by the first rule it matches (grading, then attempts, then grade)
     order = [GRADING_RE, ALLOWED_RE, GRADE_RE]
@@ -359,42 +389,44 @@ def _last_info(texts: Column, pattern: str) -> Column:
 
 def extract_quiz(df: DataFrame, *, as_of: float, tz: str = "Europe/Berlin", keep: tuple[str, ...] = ("page_key",),
                  max_attempts: int | None = None) -> DataFrame:
-    """E9 + E9b + A4 + P7: dates, quiz info, attempts (all, or the first ``max_attempts``; all counted),
+    """E9 + E9b + A4 + P7, of pages with their nodes or with what ``quiz_parts`` found: dates, quiz info, attempts (all, or the first ``max_attempts``; all counted),
     remaining attempts, and the status at ``as_of`` (explicit unix seconds)."""
-    nodes = _nodes()
+    if "nodes" in df.columns:
+        nodes = _nodes()
+        df = df.select(
+            *keep, "status", "cmid", "base_url", header_lines(nodes).alias("_lines"), quizinfo_texts(nodes).alias("_info"),
+            F.transform(_attempt_rows(nodes), lambda tr: _attempt_cells(nodes, tr)).alias("_cells"),
+            D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")]).alias("_desc"),
+            D.first_text(nodes, D.tag("h1", "h2")).alias("_h"),
+        )
     base = F.col("base_url")
-    cells = df.select(
-        *keep, "status", "cmid", "base_url", "nodes", header_lines(nodes).alias("_lines"),
-        quizinfo_texts(nodes).alias("_info"),
-        F.transform(_attempt_rows(nodes), lambda tr: _attempt_cells(nodes, tr)).alias("_cells"),
-    )
-    staged = cells.select(
-        *keep, "status", "cmid", "base_url", "nodes", labelled_lines(F.col("_lines"), QUIZ_DATE_RE).alias("_kv"), "_info",
-        F.filter(F.transform("_cells", lambda cs: _attempt(base, cs)),
-                 lambda a: (a["_cells"] >= 2) & a["attempt_number"].isNotNull()).alias("_att"),
+    # the attempts are made apart from their number and states, so that a reader of those alone resolves no link
+    staged = df.select(
+        *keep, "status", "cmid", "base_url", labelled_lines(F.col("_lines"), QUIZ_DATE_RE).alias("_kv"), "_info", "_desc", "_h",
+        F.filter("_cells", lambda cs: (F.size(cs) >= 2) & js_parse_int(D.first(cs)["t"]).isNotNull()).alias("_att"),
     )
     kv = F.col("_kv")
     # stage 1: the located values (each is referenced several times below)
     found = staged.select(
         *keep, "status", "cmid",
-        F.transform(F.col("_att"), lambda a: a.dropFields("_cells")).alias("att"),
+        F.transform("_att", lambda cs: _attempt(base, cs)).alias("att"),
+        F.size("_att").alias("used"),
+        F.transform("_att", lambda cs: F.coalesce(_attempt_state(cs), F.lit(""))).alias("states"),
         D.nonempty(last_labelled(kv, ("open", "geöff", "öffn"))).alias("opens"),
         D.nonempty(last_labelled(kv, ("close", "schließ"))).alias("closes"),
         _last_info(F.col("_info"), ALLOWED_RE).alias("allowed"),
         _last_info(F.col("_info"), GRADING_RE).alias("grading"),
         _last_info(F.col("_info"), GRADE_RE).alias("overall"),
-        D.nonempty(D.cascade_text(nodes, [D.cls("activity-description"), D.id_is("intro")])).alias("desc"),
-        D.first_text(nodes, D.tag("h1", "h2")).alias("h"),
+        D.nonempty(F.col("_desc")).alias("desc"),
+        F.col("_h").alias("h"),
     )
     # stage 2: derived numbers
     c = F.col
     derived = found.select(
         "*",
-        F.size("att").alias("used"),
         js_parse_int(c("allowed")).alias("allowed_n"),
         F.unix_seconds(parse_lms_date(c("opens"), tz)).alias("open_ts"),
         F.unix_seconds(parse_lms_date(c("closes"), tz)).alias("close_ts"),
-        F.transform("att", lambda a: F.coalesce(a["state"], F.lit(""))).alias("states"),
     )
     used = c("used")
     remaining = F.when((used > 0) & c("allowed_n").isNotNull(), F.greatest(F.lit(0), c("allowed_n") - used))

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dom import exploded
-from ..operators.lms import extract_assign, extract_courses, extract_forum, extract_quiz, forum_threads
+from ..operators.flat import located_html
+from ..operators.lms import QUIZ_FIELDS, extract_assign, extract_courses, extract_forum, extract_quiz, forum_threads, quiz_parts
 from ..operators.shred import shred_html
 from . import render as R
 from .common import spread, sql_norm
@@ -103,7 +104,8 @@ QUIZ_AS_OF = 896659200  # 1998-06-01T00:00:00Z
 
 
 def _quiz(spark, sf_dir):
-    return extract_quiz(_shred(R.quiz_pages(spark, sf_dir)), as_of=QUIZ_AS_OF, tz="Europe/Berlin")
+    pages = R.quiz_pages(spark, sf_dir).select("page_key", "base_url", "status", "cmid", "body")
+    return extract_quiz(located_html(pages, quiz_parts, QUIZ_FIELDS, partitions=spread(spark, pages)), as_of=QUIZ_AS_OF, tz="Europe/Berlin")
 
 
 def q_quiz_status(spark: SparkSession, sf_dir: str) -> DataFrame:

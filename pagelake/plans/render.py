@@ -148,7 +148,7 @@ def quiz_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('">Review</a></td></tr>'),
     )
     att = li.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", row.alias("r")))).alias("items"))
+        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", row.alias("r")))).alias("items"))
     j = o.join(att, o.o_orderkey == att.l_orderkey, "left")
     ok_ = _s("o_orderkey")
     allowed = ((F.col("o_custkey") % 13) + 1).cast("string")
