@@ -13,7 +13,8 @@ from ..functions.dom import exploded
 from ..operators import media
 from ..operators.activities import extract_rating, extract_resource
 from ..operators.dispatch import extract_activity
-from ..operators.review import extract_review
+from ..operators.flat import located_html
+from ..operators.review import REVIEW_FIELDS, extract_review, review_parts
 from ..operators.shred import shred_html
 from ..sources import read_table
 from . import render as R
@@ -111,7 +112,7 @@ def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<div class="answer">'), F.when(F.col("l_partkey") % 5 == 0, F.lit("")).otherwise(answer), F.lit('</div></div><div class="outcome"><div class="rightanswer">The correct answer is: '),
         R._s("l_suppkey"), F.lit("</div></div></div></div>"),
     )
-    questions = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", que.alias("q")))).alias("items"))
+    questions = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", que.alias("q")))).alias("items"))
     j = o.join(questions, o["o_orderkey"] == questions["l_orderkey"])
     k = R._s("o_orderkey")
     inner = F.concat(
@@ -123,7 +124,8 @@ def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_review(_shred(review_pages(spark, sf_dir).select(*COLUMNS, "attempt")))
+    pages = review_pages(spark, sf_dir).select("page_key", "status", "attempt", "body")
+    return extract_review(located_html(pages, review_parts, REVIEW_FIELDS, partitions=spread(spark, pages)))
 
 
 def q_quiz_review_header(spark: SparkSession, sf_dir: str) -> DataFrame:
