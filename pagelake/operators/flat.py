@@ -120,7 +120,9 @@ class Pages:
     def attr(self, nodes: np.ndarray, name: str) -> pa.Array:
         """Attribute values of nodes; null where there is none, also for a node -1."""
         values = pa.array([a.get(name) for _, a, _ in self.known] + [None], pa.large_string())
-        return values.take(pa.array(np.where(nodes < 0, len(self.known), self.kind[nodes])))
+        kinds = np.full(len(nodes), len(self.known), np.int64)
+        kinds[nodes >= 0] = self.kind[nodes[nodes >= 0]]
+        return values.take(pa.array(kinds))
 
     def nearest(self, mask: np.ndarray) -> np.ndarray:
         """The deepest proper ancestor of each node that is in ``mask``, or -1."""
@@ -164,8 +166,10 @@ class Pages:
 
     def texts(self, nodes: np.ndarray) -> pa.Array:
         """Normalised texts of nodes; '' for a node -1."""
-        there = nodes >= 0
-        return normalized(*gathered(self.data, np.where(there, self.offs[nodes], 0), np.where(there, self.offs[self.post[nodes] + 1], 0)))
+        starts, ends = np.zeros((2, len(nodes)), np.int64)
+        there = np.flatnonzero(nodes >= 0)
+        starts[there], ends[there] = self.offs[nodes[there]], self.offs[self.post[nodes[there]] + 1]
+        return normalized(*gathered(self.data, starts, ends))
 
     def listed(self, nodes: np.ndarray, values: pa.Array) -> pa.Array:
         """The values of ascending nodes as one list a page."""

@@ -72,3 +72,14 @@ def test_parts_equal_the_selectors(spark):
         want, got = (sorted(map(repr, extract(f).collect())) for f in (shred_html(frame, keep_html=False), flat.located_html(frame, parts, fields)))
         assert got == want
         assert sum("[Row(" in x for x in got) > 8
+
+
+def test_parts_of_pages_without_nodes():
+    """Batches of null and empty pages alone, as they come from rows with null columns."""
+    for htmls in ([None], ["", None], ["<!DOCTYPE html>"], ["x", None]):
+        for places, p, _ in flat.read_pages(pa.array(htmls, pa.string())):
+            for parts in (quiz_parts, review_parts):
+                found = parts(p)
+                assert {len(x) for x in found.values()} == {len(places)}
+                assert found["_h"].to_pylist() == [""] * len(places)
+    assert flat.read_pages(pa.array([], pa.string())) == []
